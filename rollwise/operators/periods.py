@@ -44,11 +44,14 @@ def within_grace(df: DataFrame, reporting: str, periods: Sequence[Period], perio
 
 
 def period_sums(column: str, periods: Iterable[Period], values: dict[str, str]) -> list[Column]:
-    """One conditional sum per period and value, NULL when no row qualifies; ``values`` maps name to SQL."""
+    """One conditional sum per period and value, NULL when no row qualifies.
+
+    ``values`` maps the column prefix to the summed SQL; the period name is appended to the prefix.
+    """
     return [
-        F.expr(f"sum(CASE WHEN {in_days_sql(column, p.lo, p.hi)} THEN {value} END)").alias(f"{name}_{p.name}")
+        F.expr(f"sum(CASE WHEN {in_days_sql(column, p.lo, p.hi)} THEN {value} END)").alias(f"{prefix}{p.name}")
         for p in periods
-        for name, value in values.items()
+        for prefix, value in values.items()
     ]
 
 

@@ -16,7 +16,7 @@ def newsletter_funnel(clicks: DataFrame, params: Params) -> DataFrame:
     """Newsletters sent, clicked and opened per partner and contact period."""
     periods = params.contact_periods
     rows = clicks.filter((F.col("firmid") == params.firm_id) & covering_range(clicks, "datum", periods))
-    return rows.groupBy("bpid").agg(*period_sums("datum", periods, {step: step for step in FUNNEL}))
+    return rows.groupBy("bpid").agg(*period_sums("datum", periods, {f"{step}_": step for step in FUNNEL}))
 
 
 def permissions_as_of(permission_hist: DataFrame, params: Params) -> DataFrame:

@@ -66,4 +66,4 @@ def profit_by_period(order_profit: DataFrame, params: Params) -> DataFrame:
     rows = order_profit.filter(
         (F.col("firmid") == params.firm_id) & in_days(order_profit, "reportingdate", lo=periods[-1].lo)
     )
-    return rows.groupBy("bpid").agg(*period_sums("reportingdate", periods, {"orderprofit": "orderprofit_crm"}))
+    return rows.groupBy("bpid").agg(*period_sums("reportingdate", periods, {"orderprofit_": "orderprofit_crm"}))

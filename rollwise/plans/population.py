@@ -92,7 +92,7 @@ def _by_first_demand(values: tuple, params: Params) -> str:
     arms = []
     for k, value in enumerate(values, start=1):
         opened_by = s1.lo if k <= 2 else s2.lo
-        has_demand = f" AND bbw_S{k} > 0" if k <= len(params.periods) else ""
+        has_demand = f" AND bbwS{k} > 0" if k <= len(params.periods) else ""
         then = "NULL" if value is None else value
         arms.append(f"WHEN accountDate <= {day_literal(opened_by)}{has_demand} THEN {then}")
     return " ".join(arms)
@@ -119,7 +119,7 @@ def repeat_customer_sql(params: Params) -> str:
     """1 for accounts opened in S2 that also had demand in S2."""
     s2 = params.period(2)
     opened = f"accountDate BETWEEN {day_literal(s2.lo)} AND {day_literal(s2.hi)}"
-    return f"CASE WHEN {opened} AND bbw_S2 > 0 THEN 1 ELSE 0 END"
+    return f"CASE WHEN {opened} AND bbwS2 > 0 THEN 1 ELSE 0 END"
 
 
 def demand_profile(positions: DataFrame, params: Params) -> DataFrame:

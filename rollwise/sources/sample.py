@@ -27,6 +27,12 @@ def sample_params() -> Params:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash a scan over all cores when its files have fewer splits than that; large inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -48,7 +54,7 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         salutationid="c_nationkey % 3",
     )
     lines = (
-        table("lineitem")
+        spread(table("lineitem"), "l_orderkey")
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(customers, F.col("o_custkey") + 1 == F.col("bpid"))
@@ -57,7 +63,8 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
             "rectype",
             F.explode(
                 F.expr(
-                    """filter(array(1,
+                    """filter(array(
+                        CASE WHEN o_orderstatus != 'F' THEN 1 END,
                         CASE WHEN l_returnflag = 'A' THEN 3 ELSE 5 END,
                         CASE l_returnflag WHEN 'R' THEN 6 WHEN 'N' THEN 91 END,
                         CASE WHEN o_orderpriority = '5-LOW' AND l_linenumber = 1 THEN 701 END),

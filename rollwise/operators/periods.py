@@ -49,7 +49,7 @@ def period_sums(column: str, periods: Iterable[Period], values: dict[str, str])
     ``values`` maps the column prefix to the summed SQL; the period name is appended to the prefix.
     """
     return [
-        F.expr(f"sum(CASE WHEN {in_days_sql(column, p.lo, p.hi)} THEN {value} END)").alias(f"{prefix}{p.name}")
+        F.expr(f"sum(CASE WHEN {in_days_sql(column, p.lo, p.hi)} THEN {value} END) AS {prefix}{p.name}")
         for p in periods
         for prefix, value in values.items()
     ]
@@ -61,8 +61,7 @@ def period_columns(long: DataFrame, keys: Sequence[str], periods: Sequence[Perio
     A period without a row gives NULL, a zero in an existing row stays 0.
     """
     names = [p.name for p in periods]
-    # The pivot names its columns <period>_<value>; a single value would drop the suffix.
-    aggregates = [F.first(v).alias(v) for v in values]
-    wide = long.groupBy(*keys).pivot("period", names).agg(*aggregates)
-    source = (lambda p, v: f"{p}_{v}") if len(values) > 1 else (lambda p, v: p)
-    return wide.select(*keys, *[F.col(source(p, v)).alias(f"{v}_{p}") for p in names for v in values])
+    wide = long.groupBy(*keys).pivot("period", names).agg(*[F.expr(f"first({v}) AS {v}") for v in values])
+    # The pivot names its columns <period>_<value>, or <period> alone for a single value.
+    pivoted = "{p}_{v}" if len(values) > 1 else "{p}"
+    return wide.selectExpr(*keys, *[f"{pivoted.format(p=p, v=v)} AS {v}_{p}" for p in names for v in values])

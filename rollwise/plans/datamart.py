@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollwise.operators.numbering import number_rows
+from rollwise.operators.periods import period_columns
 from rollwise.params import Params
 from rollwise.plans.contacts import FUNNEL, newsletter_funnel, permissions_as_of
 from rollwise.plans.orders import profit_by_period
@@ -23,12 +24,13 @@ from rollwise.plans.positions import (
     LIFETIME_NAMES,
     activity_mask_sql,
     lifetime_kpis,
+    mask_long,
     masked_sql,
     position_kpis_long,
+    with_activity,
     with_breadth,
     with_rates,
 )
-from rollwise.operators.periods import period_columns
 from rollwise.plans.web import STYLE_OUTPUT, WEB_MEASURES, style_interest, web_features_wide
 from rollwise.sources.sinks import stage as stage_in_shared_folder
 from rollwise.sources.tables import Sources
@@ -80,12 +82,19 @@ def period_output(k: int) -> list[str]:
 
 
 def account_features(positions: DataFrame, params: Params) -> DataFrame:
-    """All position features, one row per account: half years, breadth, activity masks, lifetime."""
-    long = with_breadth(with_rates(position_kpis_long(positions, params)))
-    names = [*PERIOD_MEASURES, MATERNITY, "Nums_online", "AnzSorti"]
-    wide = period_columns(long, ACCOUNT, params.periods, names)
-    masks = {name: F.expr(activity_mask_sql(measure)) for name, measure in ACTIVITY_MASKS.items()}
-    wide = wide.withColumns(masks).drop(*[f"Nums_online_{p.name}" for p in params.periods])
+    """All position features, one row per account: half years, breadth, activity masks, lifetime.
+
+    Rates, masks and flags are computed while each half year is a row, that is once per measure
+    instead of once per measure and half year; the age mask may be, because an account is joined
+    to the population by its own opening date.
+    """
+    measures = [*PERIOD_MEASURES, MATERNITY]
+    long = with_activity(with_breadth(with_rates(position_kpis_long(positions, params))))
+    long = mask_long(long.select(*ACCOUNT, "period", *measures, "AnzSorti", *ACTIVITY_MASKS), params, measures)
+    wide = period_columns(long, ACCOUNT, params.periods, [*measures, "AnzSorti", *ACTIVITY_MASKS])
+    output = [name for k in range(1, len(params.periods) + 1) for name in period_output(k) if name in wide.columns]
+    masks = [f"{activity_mask_sql(name)} AS {name}" for name in ACTIVITY_MASKS]
+    wide = wide.selectExpr(*ACCOUNT, *output, *BREADTH, *masks)
     return wide.join(lifetime_kpis(positions, params), list(ACCOUNT), "full")
 
 
@@ -134,19 +143,18 @@ def repeated(rows: DataFrame, power: int) -> DataFrame:
 
 
 def with_transactions(rows: DataFrame, accounts: DataFrame, src: Sources, params: Params) -> DataFrame:
-    """Join newsletter, profit and account features onto the spine and mask them by account age."""
+    """Join newsletter, profit and account features onto the spine; mask what is joined by partner."""
     joined = (
         rows.join(newsletter_funnel(src.clicks, params), "bpid", "left")
         .join(profit_by_period(src.order_profit, params), "bpid", "left")
-        .join(accounts.drop(*BREADTH, "AnzSorti_S7", "AnzSorti_S8"), list(ACCOUNT), "left")
+        .join(accounts.drop(*BREADTH), list(ACCOUNT), "left")
     )
-    masked = {
-        name: masked_sql(name, params, k) for k in range(1, len(params.periods) + 1) for name in period_output(k)
-    }
-    masked |= {name: masked_sql(name, params, k) for k, name in enumerate(BREADTH, start=1)}
-    masked |= {name: f"coalesce({name}, 0)" for name in ACTIVITY_MASKS}
-    kept = [name for name in joined.columns if name not in masked]
-    return joined.selectExpr(*kept, *[f"{sql} AS {name}" for name, sql in masked.items()])
+    masked = {f"{name}_S{k}": k for k in range(1, FUNNEL_PERIODS + 1) for name in FUNNEL}
+    masked |= {f"orderprofit_S{k}": k for k in range(1, PROFIT_OUTPUT_PERIODS + 1)}
+    masked |= {name: k for k, name in enumerate(BREADTH, start=1)}
+    changed = {name: masked_sql(name, params, k) for name, k in masked.items()}
+    changed |= {name: f"coalesce({name}, 0)" for name in ACTIVITY_MASKS}
+    return joined.selectExpr(*[f"{changed[c]} AS {c}" if c in changed else c for c in joined.columns])
 
 
 def transaction_columns(params: Params) -> list[str]:
@@ -167,10 +175,6 @@ def with_web(rows: DataFrame, src: Sources, params: Params) -> DataFrame:
     return rows.join(sessions, "bpid", "left").join(styles.select("bpid", *STYLE_OUTPUT), "bpid", "left")
 
 
-def _unstaged(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
 def datamart_transactions(src: Sources, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
     """Keys, age and the 233 transaction features."""
     accounts = stage(account_features(src.positions, params), "accounts")

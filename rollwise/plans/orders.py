@@ -41,10 +41,10 @@ def order_counts(order_profit: DataFrame, params: Params, periods: tuple[Period,
         tests[f"Orders_{p.name}"] = inside
         tests[f"OrdersWithProfit_{p.name}"] = f"{inside} AND orderprofit_crm > 0"
     per_order = rows.groupBy("bpid", "orderid").agg(
-        *[F.expr(f"max(CASE WHEN {test} THEN 1 ELSE 0 END)").alias(name) for name, test in tests.items()]
+        *[F.expr(f"max(CASE WHEN {test} THEN 1 ELSE 0 END) AS {name}") for name, test in tests.items()]
     )
     return per_order.groupBy("bpid").agg(
-        *[F.expr(f"sum(CASE WHEN orderid IS NOT NULL THEN {name} ELSE 0 END)").alias(name) for name in tests]
+        *[F.expr(f"sum(CASE WHEN orderid IS NOT NULL THEN {name} ELSE 0 END) AS {name}") for name in tests]
     )
 
 
@@ -56,8 +56,8 @@ def order_quotes(accounts: DataFrame, order_profit: DataFrame, params: Params) -
     for p in periods:
         orders, profitable = f"Orders_{p.name}", f"OrdersWithProfit_{p.name}"
         rate = f"round(CASE WHEN {orders} > 0 THEN {profitable} / {orders} ELSE 0D END, 3)"
-        columns += [F.col(orders), F.col(profitable), F.expr(rate).alias(f"PositiveOrderRate_{p.name}")]
-    return accounts.select(*ACCOUNT).distinct().join(counts, "bpid").select(*ACCOUNT, *columns)
+        columns += [orders, profitable, f"{rate} AS PositiveOrderRate_{p.name}"]
+    return accounts.select(*ACCOUNT).distinct().join(counts, "bpid").selectExpr(*ACCOUNT, *columns)
 
 
 def profit_by_period(order_profit: DataFrame, params: Params) -> DataFrame:

@@ -60,16 +60,26 @@ class Measure:
         return f"max({self.name})"
 
 
-UNITS = round_to_long_sql("kpivalueqty")
-VALUE = round_to_long_sql("kpivaluevk")
+# Columns prepared once per position, so that no measure repeats a rounding or a prefix lookup.
+UNITS, VALUE = "units", "value"
+PREPARED = {
+    UNITS: round_to_long_sql("kpivalueqty"),
+    VALUE: round_to_long_sql("kpivaluevk"),
+    "online": f"catalogtypeid IN {ONLINE_CATALOGUES}",
+    "channel": "upper(orderchannelcd)",
+    "category": category_sql("promotionpurchasecd"),
+    "maternity": f"substring(promotionpurchasecd, 1, 2) = '{MATERNITY_PREFIX}'",
+    "big_size": big_size_sql("promotionpurchasecd", "itemsize"),
+}
 
 
 def _rectype(code: int, extra: str = "") -> str:
     return f"rectype = {code}" + (f" AND {extra}" if extra else "")
 
 
-_ONLINE = f"catalogtypeid IN {ONLINE_CATALOGUES}"
-_CATALOGUE = f"catalogtypeid NOT IN {ONLINE_CATALOGUES}"
+# A position without catalogue type is neither.
+_ONLINE = "online"
+_CATALOGUE = "NOT online"
 
 # Categories whose quantities are summed as they are; all others are rounded row by row.
 _UNROUNDED = ("Bade", "Sport", "Acc")
@@ -84,7 +94,7 @@ MEASURES = (
     Measure("Nabs_katbez", "sum", _rectype(NET, _CATALOGUE), UNITS),
     Measure("Nums_katbez", "sum", _rectype(NET, _CATALOGUE), VALUE),
     Measure("Orders_katbez", "orders", _rectype(DEMAND, _CATALOGUE)),
-    Measure("telbweg", "any", _rectype(DEMAND, f"contains(upper(orderchannelcd), '{PHONE}')")),
+    Measure("telbweg", "any", _rectype(DEMAND, f"contains(channel, '{PHONE}')")),
     Measure("brabs_ges", "sum", _rectype(GROSS), UNITS),
     Measure("brums_ges", "sum", _rectype(GROSS), VALUE),
     Measure("Retwert", "sum", _rectype(RETURN), VALUE),
@@ -93,7 +103,7 @@ MEASURES = (
     Measure("NFMenge_ges", "sum", _rectype(DEMAND), UNITS),
     Measure("Orders_ges", "orders", _rectype(DEMAND)),
     Measure("Orders_OLSArt", "orders", _rectype(DEMAND, _ONLINE)),
-    Measure("onlbweg", "any", _rectype(DEMAND, f"contains(upper(orderchannelcd), '{INTERNET}')")),
+    Measure("onlbweg", "any", _rectype(DEMAND, f"contains(channel, '{INTERNET}')")),
     *[
         Measure(
             f"{name}BM_ges",
@@ -105,12 +115,7 @@ MEASURES = (
     ],
     Measure("RiesigBM_ges", "sum", _rectype(DEMAND, "big_size"), UNITS),
     Measure("Nutzung_VKB", "orders", _rectype(VOUCHER)),
-    Measure(
-        "Umstand_BM",
-        "sum",
-        _rectype(DEMAND, f"substring(promotionpurchasecd, 1, 2) = '{MATERNITY_PREFIX}'"),
-        UNITS,
-    ),
+    Measure("Umstand_BM", "sum", _rectype(DEMAND, "maternity"), UNITS),
 )
 MEASURE_NAMES = tuple(m.name for m in MEASURES)
 
@@ -123,15 +128,16 @@ LIFETIME_MEASURES = (
     Measure("LifetimeReturnQty", "sum", _rectype(RETURN), VALUE),
     Measure("LifetimeNetSalesAmt", "sum", _rectype(NET), VALUE),
     Measure("LifetimeNetSalesQty", "sum", _rectype(NET), UNITS),
-    Measure("LifetimeOrdersOnline", "orders", _rectype(DEMAND, f"upper(orderchannelcd) = '{INTERNET}'")),
-    Measure("LifetimeOrdersOffline", "orders", _rectype(DEMAND, f"upper(orderchannelcd) IN ('{PHONE}', '{MAIL}')")),
+    Measure("LifetimeOrdersOnline", "orders", _rectype(DEMAND, f"channel = '{INTERNET}'")),
+    Measure("LifetimeOrdersOffline", "orders", _rectype(DEMAND, f"channel IN ('{PHONE}', '{MAIL}')")),
 )
 LIFETIME_NAMES = tuple(m.name for m in LIFETIME_MEASURES)
 
 
 def _two_levels(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    per_order = rows.groupBy(*keys, "orderid").agg(*[F.expr(m.per_order()).alias(m.name) for m in measures])
-    return per_order.groupBy(*keys).agg(*[F.expr(m.per_account()).alias(m.name) for m in measures])
+    prepared = rows.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
+    per_order = prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{m.per_order()} AS {m.name}") for m in measures])
+    return per_order.groupBy(*keys).agg(*[F.expr(f"{m.per_account()} AS {m.name}") for m in measures])
 
 
 def period_positions(positions: DataFrame, params: Params) -> DataFrame:
@@ -143,12 +149,9 @@ def position_kpis_long(
     positions: DataFrame, params: Params, names: Sequence[str] = MEASURE_NAMES
 ) -> DataFrame:
     """The measures ``names``, one row per account and half year with positions."""
-    rows = (
-        period_positions(positions, params)
-        .withColumn("category", F.expr(category_sql("promotionpurchasecd")))
-        .withColumn("big_size", F.expr(big_size_sql("promotionpurchasecd", "itemsize")))
+    return _two_levels(
+        period_positions(positions, params), [*ACCOUNT, "period"], [m for m in MEASURES if m.name in names]
     )
-    return _two_levels(rows, [*ACCOUNT, "period"], [m for m in MEASURES if m.name in names])
 
 
 def position_kpis_wide(
@@ -190,13 +193,28 @@ ACTIVITY_WEIGHTS = (32, 16, 8, 4, 2)
 ACTIVITY_MASKS = {"AktivKennzeichen": "Nums_ges", "AktivOLKennzeichen": "Nums_online"}
 
 
-def activity_mask_sql(measure: str) -> str:
-    """Weights of the half years with positive ``measure``, added up; missing ones add nothing."""
-    return " + ".join(
-        f"CASE WHEN {measure}_S{k} > 0 THEN {weight} ELSE 0 END" for k, weight in enumerate(ACTIVITY_WEIGHTS, start=1)
+def with_activity(long: DataFrame) -> DataFrame:
+    """Add the weight of the half year to each mask for which its (online) net sales are positive."""
+    weights = " ".join(f"WHEN 'S{k}' THEN {weight}" for k, weight in enumerate(ACTIVITY_WEIGHTS, start=1))
+    weight = f"CASE period {weights} ELSE 0 END"
+    return long.withColumns(
+        {name: F.expr(f"CASE WHEN {measure} > 0 THEN {weight} ELSE 0 END") for name, measure in ACTIVITY_MASKS.items()}
     )
 
 
+def activity_mask_sql(name: str) -> str:
+    """A mask from its weights per half year; missing half years add nothing."""
+    return " + ".join(f"coalesce({name}_S{k}, 0)" for k in range(1, len(ACTIVITY_WEIGHTS) + 1))
+
+
 def masked_sql(column: str, params: Params, k: int) -> str:
     """``column`` of half year k, NULL for accounts not older than the end of that half year."""
     return f"CASE WHEN accountDate >= {day_literal(params.period(k).hi)} THEN NULL ELSE {column} END"
+
+
+def mask_long(long: DataFrame, params: Params, names: Sequence[str]) -> DataFrame:
+    """``masked_sql`` applied to the measures ``names`` while each half year is still a row."""
+    ends = " ".join(f"WHEN '{p.name}' THEN {day_literal(p.hi)}" for p in params.periods)
+    too_new = f"accountDate >= CASE period {ends} END"
+    others = [name for name in long.columns if name not in names]
+    return long.selectExpr(*others, *[f"CASE WHEN {too_new} THEN NULL ELSE {name} END AS {name}" for name in names])

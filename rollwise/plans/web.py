@@ -82,8 +82,8 @@ def web_features_long(session: DataFrame, session_hist: DataFrame, params: Param
     """
     sessions = assign_period(customer_sessions(session, params), "partition_date", params.contact_periods)
     per_session = sessions.groupBy(F.col("ktnr_glob").alias("bpid"), "wkorbid", "period", "device").agg(
-        *[F.expr(sql).alias(name) for name, sql in SESSION_SUMS.items()],
-        *[F.expr(f"max(CASE WHEN {sql} THEN 1 ELSE 0 END)").alias(name) for name, sql in SESSION_FLAGS.items()],
+        *[F.expr(f"{sql} AS {name}") for name, sql in SESSION_SUMS.items()],
+        *[F.expr(f"max(CASE WHEN {sql} THEN 1 ELSE 0 END) AS {name}") for name, sql in SESSION_FLAGS.items()],
     )
     history = valid_history(session_hist, params, params.web_as_of, ["ktnr", "wkorbid"])
     joined = per_session.join(history.withColumnRenamed("ktnr", "bpid"), ["bpid", "wkorbid"])
@@ -114,7 +114,7 @@ def web_features_long(session: DataFrame, session_hist: DataFrame, params: Param
     }
     features = {name: f"sum({name})" for name in (*SESSION_SUMS, *SESSION_FLAGS)} | distinct
     features["avg_session_length"] = "CASE WHEN sum(timed) > 0 THEN sum(length) / sum(timed) END"
-    return per_item.groupBy("bpid", "period").agg(*[F.expr(features[name]).alias(name) for name in WEB_MEASURES])
+    return per_item.groupBy("bpid", "period").agg(*[F.expr(f"{features[name]} AS {name}") for name in WEB_MEASURES])
 
 
 def web_features_wide(

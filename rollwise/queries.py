@@ -287,10 +287,11 @@ def assortment_breadth(src: Sources, params: Params) -> DataFrame:
 
 @query
 def activity_bitmask(src: Sources, params: Params) -> DataFrame:
-    wide = positions.position_kpis_wide(src.positions, params, tuple(positions.ACTIVITY_MASKS.values()))
+    masks = list(positions.ACTIVITY_MASKS)
+    long = positions.with_activity(_long(src, params, *positions.ACTIVITY_MASKS.values()))
+    wide = period_columns(long, ACCOUNT, params.periods, masks)
     people = population.population(src, params).select(*ACCOUNT).join(wide, list(ACCOUNT), "left")
-    masks = positions.ACTIVITY_MASKS.items()
-    return people.select(*ACCOUNT, *[F.expr(positions.activity_mask_sql(m)).alias(name) for name, m in masks])
+    return people.selectExpr(*ACCOUNT, *[f"{positions.activity_mask_sql(name)} AS {name}" for name in masks])
 
 
 @query

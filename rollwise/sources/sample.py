@@ -38,8 +38,8 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def shaped(name: str, df: DataFrame, **columns: str) -> DataFrame:
-        return df.select(
-            *[F.expr(columns[f.name]).cast(f.dataType).alias(f.name) for f in schema_of(name).fields]
+        return df.selectExpr(
+            *[f"CAST({columns[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema_of(name).fields]
         )
 
     customer, orders, events = table("customer"), table("orders"), table("events")
@@ -58,19 +58,26 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(customers, F.col("o_custkey") + 1 == F.col("bpid"))
-        # One order line yields one row per record type it takes part in.
-        .withColumn(
-            "rectype",
-            F.explode(
-                F.expr(
-                    """filter(array(
-                        CASE WHEN o_orderstatus != 'F' THEN 1 END,
-                        CASE WHEN l_returnflag = 'A' THEN 3 ELSE 5 END,
-                        CASE l_returnflag WHEN 'R' THEN 6 WHEN 'N' THEN 91 END,
-                        CASE WHEN o_orderpriority = '5-LOW' AND l_linenumber = 1 THEN 701 END),
-                        t -> t IS NOT NULL)"""
-                )
-            ),
+        # Values of a line are derived once; then it yields one row per record type it takes part in.
+        .selectExpr(
+            "bpid",
+            "accountDate",
+            "o_orderdate",
+            "date_add(CAST(o_orderdate AS DATE), 7 * l_linenumber) AS reportingdate",
+            "o_orderkey",
+            "CAST(l_quantity AS DECIMAL(18,2)) AS quantity",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
+            "l_returnflag",
+            "CASE l_suppkey % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 10 END AS catalogtypeid",
+            "o_orderpriority",
+            "CAST(100 + l_partkey * 7 % 800 AS STRING) AS code",
+            "CASE WHEN p_size >= 46 THEN 'XL' ELSE CAST(p_size AS STRING) END AS size",
+            """explode(filter(array(
+                CASE WHEN o_orderstatus != 'F' THEN 1 END,
+                CASE WHEN l_returnflag = 'A' THEN 3 ELSE 5 END,
+                CASE l_returnflag WHEN 'R' THEN 6 WHEN 'N' THEN 91 END,
+                CASE WHEN o_orderpriority = '5-LOW' AND l_linenumber = 1 THEN 701 END),
+                t -> t IS NOT NULL)) AS rectype""",
         )
     )
     positions = shaped(
@@ -79,15 +86,15 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         bpid="bpid",
         accountDate="accountDate",
         orderdate="o_orderdate",
-        reportingdate="date_add(CAST(o_orderdate AS DATE), 7 * l_linenumber)",
+        reportingdate="reportingdate",
         rectype="rectype",
         orderid="o_orderkey",
-        kpivalueqty="l_quantity",
-        kpivaluevk="CASE WHEN rectype = 1 AND l_returnflag = 'A' THEN -l_extendedprice ELSE l_extendedprice END",
-        catalogtypeid="CASE l_suppkey % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 10 END",
+        kpivalueqty="quantity",
+        kpivaluevk="CASE WHEN rectype = 1 AND l_returnflag = 'A' THEN -price ELSE price END",
+        catalogtypeid="catalogtypeid",
         orderchannelcd="o_orderpriority",
-        promotionpurchasecd="CAST(100 + l_partkey * 7 % 800 AS STRING)",
-        itemsize="CASE WHEN p_size >= 46 THEN 'XL' ELSE CAST(p_size AS STRING) END",
+        promotionpurchasecd="code",
+        itemsize="size",
     )
     exclusions = shaped(
         "partner_exclusion",

@@ -58,10 +58,13 @@ def period_sums(column: str, periods: Iterable[Period], values: dict[str, str])
 def period_columns(long: DataFrame, keys: Sequence[str], periods: Sequence[Period], values: Sequence[str]) -> DataFrame:
     """Turn one row per key and period into one row per key with a column ``<value>_<period>``.
 
-    A period without a row gives NULL, a zero in an existing row stays 0.
+    A period without a row gives NULL, a zero in an existing row stays 0. The rows of a key travel
+    as one map from period to values, which has at most one entry per period; a pivot would carry
+    a buffer of periods x values columns per key through the aggregation instead.
     """
-    names = [p.name for p in periods]
-    wide = long.groupBy(*keys).pivot("period", names).agg(*[F.expr(f"first({v}) AS {v}") for v in values])
-    # The pivot names its columns <period>_<value>, or <period> alone for a single value.
-    pivoted = "{p}_{v}" if len(values) > 1 else "{p}"
-    return wide.selectExpr(*keys, *[f"{pivoted.format(p=p, v=v)} AS {v}_{p}" for p in names for v in values])
+    by_period = f"map_from_entries(collect_list(struct(period, struct({', '.join(values)})))) AS _by_period"
+    return (
+        long.groupBy(*keys)
+        .agg(F.expr(by_period))
+        .selectExpr(*keys, *[f"_by_period['{p.name}'].{v} AS {v}_{p.name}" for p in periods for v in values])
+    )

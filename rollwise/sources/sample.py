@@ -72,13 +72,13 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
             "o_orderpriority",
             "CAST(100 + l_partkey * 7 % 800 AS STRING) AS code",
             "CASE WHEN p_size >= 46 THEN 'XL' ELSE CAST(p_size AS STRING) END AS size",
-            """explode(filter(array(
+            """explode(array(
                 CASE WHEN o_orderstatus != 'F' THEN 1 END,
                 CASE WHEN l_returnflag = 'A' THEN 3 ELSE 5 END,
                 CASE l_returnflag WHEN 'R' THEN 6 WHEN 'N' THEN 91 END,
-                CASE WHEN o_orderpriority = '5-LOW' AND l_linenumber = 1 THEN 701 END),
-                t -> t IS NOT NULL)) AS rectype""",
+                CASE WHEN o_orderpriority = '5-LOW' AND l_linenumber = 1 THEN 701 END)) AS rectype""",
         )
+        .filter("rectype IS NOT NULL")
     )
     positions = shaped(
         "positions",

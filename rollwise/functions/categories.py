@@ -47,11 +47,10 @@ def _case(branches: dict[str, str]) -> str:
     return f"CASE {arms} END"
 
 
-def category_sql(code: str) -> str:
-    """Category of an order position by its article code; NULL outside all categories."""
-    prefix = f"substring({code}, 1, 2)"
+def category_sql(prefix: str) -> str:
+    """Category of an order position by its two-character prefix; NULL outside all categories."""
     branches = {name: _in(prefix, values) for name, values in PREFIXES.items()}
-    branches["Tex"] = f"substring({code}, 1, 1) = '{TEX_FIRST_CHARACTER}'"
+    branches["Tex"] = f"startswith({prefix}, '{TEX_FIRST_CHARACTER}')"
     return _case(branches)
 
 
@@ -62,8 +61,7 @@ def style_category_sql(prefix: str) -> str:
     return _case(branches)
 
 
-def big_size_sql(code: str, size: str) -> str:
+def big_size_sql(prefix: str, code: str, size: str) -> str:
     """True for a big size of an article that is sold in big sizes."""
-    prefix = f"substring({code}, 1, 2)"
     eligible = f"({_in(prefix, PREFIXES['Dob'] + BIG_SIZE_EXTRA_PREFIXES)} OR {_in(code, BIG_SIZE_CODES)})"
     return f"({eligible} AND {_in(size, BIG_SIZES)})"

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.functions.scalars import in_days, in_days_sql
+from rollwise.functions.scalars import day_literal, in_days, in_days_sql
 from rollwise.params import Period
 
 
@@ -17,30 +18,35 @@ def covering_range(df: DataFrame, column: str, periods: Iterable[Period]) -> Col
     return in_days(df, column, min(p.lo for p in periods), max(p.hi for p in periods))
 
 
-def period_sql(column: str, periods: Iterable[Period]) -> str:
-    """Name of the disjoint period a day falls in, else NULL."""
-    arms = " ".join(f"WHEN {in_days_sql(column, p.lo, p.hi)} THEN '{p.name}'" for p in periods)
-    return f"CASE {arms} END"
+def _adjacent(periods: Sequence[Period]) -> bool:
+    return all(newer.lo - older.hi == timedelta(days=1) for newer, older in zip(periods, periods[1:]))
 
 
-def assign_period(df: DataFrame, column: str, periods: Sequence[Period], out: str = "period") -> DataFrame:
-    """Keep the rows whose ``column`` lies in one of the disjoint ``periods`` and name the period.
+def _by_period_sql(column: str, periods: Sequence[Period], results: Sequence[str]) -> str:
+    """The result of the disjoint period the day of ``column`` falls in.
 
-    The periods are literals of the plan: no join, no extra shuffle, whatever their number.
+    Within the outer bounds of adjacent periods, newest first, the first day of each is enough.
     """
-    placed = df.filter(covering_range(df, column, periods)).withColumn(out, F.expr(period_sql(column, periods)))
-    return placed.filter(F.col(out).isNotNull())
+    tests = [in_days_sql(column, p.lo, p.hi) for p in periods]
+    if _adjacent(periods):
+        tests = [f"to_date({column}) >= {day_literal(p.lo)}" for p in periods]
+    return "CASE " + " ".join(f"WHEN {test} THEN {result}" for test, result in zip(tests, results)) + " END"
 
 
-def within_grace(df: DataFrame, reporting: str, periods: Sequence[Period], period: str = "period") -> DataFrame:
-    """Keep rows reported within the reporting range of their period."""
-    bounded = df.filter(
-        in_days(df, reporting, min(p.lo for p in periods), max(p.last_reporting_day for p in periods))
-    )
-    arms = " ".join(
-        f"WHEN '{p.name}' THEN {in_days_sql(reporting, p.lo, p.last_reporting_day)}" for p in periods
-    )
-    return bounded.filter(F.expr(f"CASE {period} {arms} END"))
+def assign_period(df: DataFrame, column: str, periods: Sequence[Period], reporting: str | None = None) -> DataFrame:
+    """Keep the rows whose ``column`` lies in one of the disjoint ``periods``; add its name as ``period``.
+
+    With ``reporting``, that second date must lie in the reporting range of the same period. The
+    periods are literals of the plan: no join and no shuffle, whatever their number.
+    """
+    placed = df.filter(covering_range(df, column, periods))
+    if reporting is not None:
+        last = max(p.last_reporting_day for p in periods)
+        placed = placed.filter(in_days(df, reporting, min(p.lo for p in periods), last))
+        ranges = [in_days_sql(reporting, p.lo, p.last_reporting_day) for p in periods]
+        placed = placed.filter(F.expr(_by_period_sql(column, periods, ranges)))
+    placed = placed.withColumn("period", F.expr(_by_period_sql(column, periods, [f"'{p.name}'" for p in periods])))
+    return placed if _adjacent(periods) else placed.filter(F.col("period").isNotNull())
 
 
 def period_sums(column: str, periods: Iterable[Period], values: dict[str, str]) -> list[Column]:

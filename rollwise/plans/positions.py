@@ -24,7 +24,7 @@ from rollwise.functions import (
     round_to_long_sql,
 )
 from rollwise.functions.categories import CATEGORIES, MATERNITY_PREFIX
-from rollwise.operators.periods import assign_period, period_columns, within_grace
+from rollwise.operators.periods import assign_period, period_columns
 from rollwise.params import Params
 from rollwise.plans.population import ACCOUNT
 
@@ -67,9 +67,9 @@ PREPARED = {
     VALUE: round_to_long_sql("kpivaluevk"),
     "online": f"catalogtypeid IN {ONLINE_CATALOGUES}",
     "channel": "upper(orderchannelcd)",
-    "category": category_sql("promotionpurchasecd"),
-    "maternity": f"substring(promotionpurchasecd, 1, 2) = '{MATERNITY_PREFIX}'",
-    "big_size": big_size_sql("promotionpurchasecd", "itemsize"),
+    "category": category_sql("prefix"),
+    "maternity": f"prefix = '{MATERNITY_PREFIX}'",
+    "big_size": big_size_sql("prefix", "promotionpurchasecd", "itemsize"),
 }
 
 
@@ -135,14 +135,15 @@ LIFETIME_NAMES = tuple(m.name for m in LIFETIME_MEASURES)
 
 
 def _two_levels(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    prepared = rows.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
+    prepared = rows.withColumn("prefix", F.substring("promotionpurchasecd", 1, 2))
+    prepared = prepared.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
     per_order = prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{m.per_order()} AS {m.name}") for m in measures])
     return per_order.groupBy(*keys).agg(*[F.expr(f"{m.per_account()} AS {m.name}") for m in measures])
 
 
 def period_positions(positions: DataFrame, params: Params) -> DataFrame:
     """Positions placed in the half year of their order date, if reported within its grace range."""
-    return within_grace(assign_period(positions, "orderdate", params.periods), "reportingdate", params.periods)
+    return assign_period(positions, "orderdate", params.periods, reporting="reportingdate")
 
 
 def position_kpis_long(

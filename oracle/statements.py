@@ -310,7 +310,7 @@ RELATIONS = {
         {' '.join(f'LEFT JOIN sort{k} ON sort{k}.bpid = a.bpid' for k in K6)}
         LEFT JOIN activity ON activity.bpid = a.bpid AND activity.accountDate = a.accountDate""",
     **{f"web{k}": _web_block(k) for k in K6},
-    "style_counts": f"""SELECT wkorbid, style[1:2] AS ft, count(*) AS n FROM styleview
+    "style_counts": f"""SELECT wkorbid, style[1:2] AS ft, count(style) AS n FROM styleview
         WHERE mandant_id = 2 AND day BETWEEN {QUARTER[0]} AND {QUARTER[1]} GROUP BY ALL""",
     "styles": f"""SELECT s.ktnr_glob AS bpid, count(DISTINCT v.ft) AS AnzFT_Q1,
         CAST(sum(coalesce(v.n, 0)) AS BIGINT) AS AnzStyles_Q1,
@@ -332,19 +332,19 @@ RELATIONS = {
 }
 
 
-def _select(body: str) -> str:
-    """``body`` preceded by the relations it needs, directly or through others."""
+def _select(body: str, given: frozenset[str] = frozenset()) -> str:
+    """``body`` preceded by the relations it needs, directly or through others, but those ``given`` as tables."""
     needed: set[str] = set()
 
     def visit(sql: str) -> None:
         for name in RELATIONS:
-            if name not in needed and re.search(rf"(?:FROM|JOIN) {name}\b", sql):
+            if name not in needed and name not in given and re.search(rf"(?:FROM|JOIN) {name}\b", sql):
                 needed.add(name)
                 visit(RELATIONS[name])
 
     visit(body)
     ctes = ",\n".join(f"{name} AS ({sql})" for name, sql in RELATIONS.items() if name in needed)
-    return f"WITH {ctes}\n{body}"
+    return f"WITH {ctes}\n{body}" if ctes else body
 
 
 def _long(*names: str) -> str:
@@ -375,7 +375,8 @@ def _people_with(names) -> str:
     return f"SELECT a.bpid, a.accountDate, {columns} FROM people a {joins}"
 
 
-def oracle_statements() -> dict[str, str]:
+def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
+    """SQL per query key, over the sample tables or over source tables ``given`` in the database."""
     placed = " UNION ALL ".join(
         f"SELECT 'S{k}' AS period, * FROM positions WHERE orderdate BETWEEN {lo} AND {hi}"
         for k, (lo, hi) in HALF_YEARS.items()
@@ -489,4 +490,4 @@ def oracle_statements() -> dict[str, str]:
                   LEFT JOIN transactions t ON t.bpid = p.bpid AND t.accountDate = p.accountDate
                   LEFT JOIN webshop w ON w.bpid = p.bpid AND w.accountDate = p.accountDate)""",
     }
-    return {name: _select(body) for name, body in bodies.items()}
+    return {name: _select(body, given) for name, body in bodies.items()}

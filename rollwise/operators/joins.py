@@ -25,32 +25,24 @@ def salted_join(
     key: str,
     spread_by: Column,
     how: str = "inner",
+    weight: Column | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join on ``key`` where one key may hold much of ``left``, and ``right`` has few rows per key.
 
-    Keys with ``hot_rows`` or more rows in ``left`` are split over ``salts`` tasks by a hash of
-    ``spread_by``; their rows in ``right`` are repeated once per salt. All other keys join as usual.
-    The set of hot keys has at most rows / hot_rows members; Spark decides by its size how to join it.
+    Keys with ``hot_rows`` or more rows in ``left`` (counted by ``weight`` where a row stands for
+    several) are split over ``salts`` tasks by a hash of ``spread_by``; their rows in ``right`` are
+    repeated once per salt. All other keys join as usual. At most rows / hot_rows keys can be hot:
+    that bound is what makes the set safe to broadcast, and ``left`` is not shuffled to mark them.
     """
-    hot = (
-        left.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") >= hot_rows)
-        .select(key, F.lit(True).alias("_hot"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    hot = F.broadcast(
+        left.groupBy(key).agg(rows.alias("_rows")).filter(F.col("_rows") >= hot_rows).select(key, F.lit(True).alias("_hot"))
     )
-    split = (
-        left.join(hot, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
-        .drop("_hot")
+    split = left.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
     )
-    repeated = (
-        right.join(hot, key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
-    )
-    return split.join(repeated, [key, "_salt"], how).drop("_salt")
+    every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(every_salt))
+    return split.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")

@@ -167,8 +167,10 @@ def style_interest(
         .groupBy("wkorbid", F.substring(F.col("style_id").cast("string"), 1, 2).alias("prefix"))
         .agg(F.count("style_id").alias("styles"))
     )
+    # Weighing by the session count lets the search for hot ids read the shuffle of ``sessions``.
+    known = history.join(views, "wkorbid", "left")
     per_prefix = (
-        salted_join(sessions, history.join(views, "wkorbid", "left"), "wkorbid", F.col("bpid"), hot_rows=hot_rows)
+        salted_join(sessions, known, "wkorbid", F.col("bpid"), weight=F.col("sessions"), hot_rows=hot_rows)
         .groupBy("bpid", "prefix")
         .agg(F.sum(F.expr("sessions * versions * coalesce(styles, 0)")).alias("styles"))
         .withColumn("category", F.expr(style_category_sql("prefix")))

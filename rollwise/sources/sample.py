@@ -53,11 +53,14 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         birthdate="date_add(DATE'1940-01-01', CAST(c_custkey * 101 % 25000 AS INT))",
         salutationid="c_nationkey % 3",
     )
+    # Sizes are unique per part, so Catalyst drops this join from every plan that reads no size. The
+    # other partitioning makes the join shuffle both sides itself, which lets AQE split a hot part.
+    sizes = table("part").select("p_partkey", "p_size").dropDuplicates(["p_partkey"]).repartition("p_size", "p_partkey")
+    owned = orders.join(customers, F.col("o_custkey") + 1 == F.col("bpid"))
     lines = (
         spread(table("lineitem"), "l_orderkey")
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(customers, F.col("o_custkey") + 1 == F.col("bpid"))
+        .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(sizes, F.col("l_partkey") == F.col("p_partkey"), "left")
         # Values of a line are derived once; then it yields one row per record type it takes part in.
         .selectExpr(
             "bpid",

@@ -54,7 +54,7 @@ def refresh_partitions(source: DataFrame, table: str, day_column: str, lo: date,
 
     Only partitions of the range are touched. Days the source no longer has are dropped from the
     catalog; the other days are overwritten partition by partition, so a repeated run gives the
-    same table. The driver handles day names only, at most one per day of the range.
+    same table. The driver handles day names only, one per day of the table.
     """
     spark = source.sparkSession
     fresh = source.filter(in_days(source, day_column, lo, hi))
@@ -64,9 +64,11 @@ def refresh_partitions(source: DataFrame, table: str, day_column: str, lo: date,
         if lo <= day <= hi and day not in present:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day_column} = DATE'{day}')")
     columns = spark.table(table).columns
-    (
-        fresh.select(*columns)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    # Without the dynamic mode the insert would empty every other partition of the table.
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        fresh.select(*columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(mode, before)

@@ -25,9 +25,6 @@ from rollwise.queries import run
 from rollwise.sources import sample_params, sample_sources
 
 HEADLINE = (
-    "datamart_full",
-    "datamart_transactions",
-    "datamart_webshop",
     "population_base",
     "position_kpis_wide",
     "lifetime_kpis",
@@ -35,6 +32,9 @@ HEADLINE = (
     "newsletter_funnel",
     "web_session_features",
     "style_interest",
+    "datamart_webshop",
+    "datamart_transactions",
+    "datamart_full",
 )
 RUNS = 3
 

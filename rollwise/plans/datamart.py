@@ -9,6 +9,7 @@ multiplied, numbered or sorted.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from rollwise.operators.numbering import number_rows
 from rollwise.operators.periods import period_columns
 from rollwise.params import Params
 from rollwise.plans.contacts import FUNNEL, newsletter_funnel, permissions_as_of
-from rollwise.plans.orders import profit_by_period
+from rollwise.plans.orders import order_quotes, profit_by_period
 from rollwise.plans.population import ACCOUNT, POPULATION_COLUMNS, population, segment_rollup_sql
 from rollwise.plans.positions import (
     ACTIVITY_MASKS,
@@ -33,6 +34,7 @@ from rollwise.plans.positions import (
 )
 from rollwise.plans.web import STYLE_OUTPUT, WEB_MEASURES, style_interest, web_features_wide
 from rollwise.sources.sinks import stage as stage_in_shared_folder
+from rollwise.sources.sinks import write_durable
 from rollwise.sources.tables import Sources
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -175,47 +177,92 @@ def with_web(rows: DataFrame, src: Sources, params: Params) -> DataFrame:
     return rows.join(sessions, "bpid", "left").join(styles.select("bpid", *STYLE_OUTPUT), "bpid", "left")
 
 
-def datamart_transactions(src: Sources, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
-    """Keys, age and the 233 transaction features."""
+@dataclass(frozen=True)
+class Inputs:
+    """Sources together with the two intermediates all outputs share."""
+
+    src: Sources
+    params: Params
+    people: DataFrame
+    accounts: DataFrame
+    stage: Stage
+
+
+def prepare(
+    src: Sources, params: Params, stage: Stage = stage_in_shared_folder, people: DataFrame | None = None
+) -> Inputs:
+    """Stage the account features; take the population as given or derive it."""
     accounts = stage(account_features(src.positions, params), "accounts")
+    return Inputs(src, params, population(src, params) if people is None else people, accounts, stage)
+
+
+def transactions(inputs: Inputs) -> DataFrame:
+    """Keys, age and the 233 transaction features."""
+    src, params = inputs.src, inputs.params
     # The activity masks are joined from a table with one row per population row.
-    people = repeated(population(src, params), 1)
-    rows = with_transactions(spine(people, accounts, src.permission_hist, params), accounts, src, params)
+    people = repeated(inputs.people, 1)
+    rows = spine(people, inputs.accounts, src.permission_hist, params)
+    rows = with_transactions(rows, inputs.accounts, src, params)
     return rows.select(*ACCOUNT, "Age", *transaction_columns(params))
 
 
-def datamart_webshop(src: Sources, params: Params) -> DataFrame:
+def webshop(people: DataFrame, src: Sources, params: Params) -> DataFrame:
     """Keys and the 69 web features."""
-    return with_web(population(src, params).select(*ACCOUNT), src, params).select(*ACCOUNT, *web_columns(params))
+    return with_web(people.select(*ACCOUNT), src, params).select(*ACCOUNT, *web_columns(params))
 
 
-def datamart(src: Sources, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
+def full(inputs: Inputs) -> DataFrame:
     """The final table: population, both datamarts, the rolled-up segment and a number per segment.
 
     Numbers follow bpid, accountDate and the other population columns, so a run can be repeated.
     """
-    accounts = stage(account_features(src.positions, params), "accounts")
+    src, params = inputs.src, inputs.params
     # The activity masks, the transactions and the web features each repeat an account as often as
     # the population does, and are joined by account.
-    people = repeated(population(src, params), 3).withColumns(
+    people = repeated(inputs.people, 3).withColumns(
         {
             "CustomerID": F.col("bpid"),
             "TargetGroupindexRollOld": F.expr(segment_rollup_sql()),
         }
     )
-    rows = spine(people, accounts, src.permission_hist, params)
+    rows = spine(people, inputs.accounts, src.permission_hist, params)
     groups = ["TargetGroupIndexRoll", "TargetGroupindexRollOld"]
     order = ["bpid", "accountDate", "SalutationID", "Age", *PERMISSIONS, *BREADTH]
-    numbered = number_rows(rows, groups, order, stage)
-    full = with_transactions(with_web(numbered, src, params), accounts, src, params)
-    return full.select(
-        *POPULATION_COLUMNS,
-        "CustomerID",
-        "TargetGroupindexRollOld",
-        *transaction_columns(params),
-        *web_columns(params),
-        "rownumber",
-    )
+    numbered = number_rows(rows, groups, order, inputs.stage)
+    wide = with_transactions(with_web(numbered, src, params), inputs.accounts, src, params)
+    return wide.select(*datamart_columns(params))
+
+
+def datamart_transactions(src: Sources, params: Params) -> DataFrame:
+    return transactions(prepare(src, params))
+
+
+def datamart_webshop(src: Sources, params: Params) -> DataFrame:
+    return webshop(population(src, params), src, params)
+
+
+def datamart(src: Sources, params: Params) -> DataFrame:
+    return full(prepare(src, params))
+
+
+# The durable outputs, in the order in which they are written.
+OUTPUTS = ("population", "order_quotes", "datamart_transactions", "datamart_webshop", "datamart")
+
+
+def write_outputs(src: Sources, params: Params, database: str | None = None) -> None:
+    """Create or replace the five output tables; the population is written first and read by the others."""
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        table = f"{database}.{name}" if database else name
+        write_durable(df, table)
+        return df.sparkSession.table(table)
+
+    people = write("population", population(src, params))
+    inputs = prepare(src, params, people=people)
+    write("order_quotes", order_quotes(people, src.order_profit, params))
+    write("datamart_transactions", transactions(inputs))
+    write("datamart_webshop", webshop(people, src, params))
+    write("datamart", full(inputs))
 
 
 def datamart_columns(params: Params) -> list[str]:

@@ -214,6 +214,19 @@ def test_durable_output_can_be_replaced(spark):
     assert spark.table("durable_output").count() == 2
 
 
+def test_all_outputs_are_written(spark, sources):
+    params = sample_params()
+    spark.sql("CREATE DATABASE IF NOT EXISTS outputs")
+    for _ in range(2):
+        datamart.write_outputs(sources, params, "outputs")
+    tables = {name: spark.table(f"outputs.{name}") for name in datamart.OUTPUTS}
+    assert tables["datamart"].columns == datamart.datamart_columns(params)
+    assert tables["datamart"].count() == datamart.datamart(sources, params).count()
+    assert len(tables["datamart_transactions"].columns) == 236
+    assert len(tables["datamart_webshop"].columns) == 71
+    assert tables["order_quotes"].count() > 0
+
+
 def test_refresh_touches_the_range_only(spark):
     def rows(value, days):
         data = [(value, date(2001, 1, d)) for d in days]

@@ -1,9 +1,9 @@
 """Assembly of the output tables.
 
-All row multiplication happens first, on few columns: the spine is the final set of rows with the
-features that are joined by partner although a partner may have several accounts. Every other
-feature is unique per key and is joined onto the spine at the end, so wide rows are never
-multiplied, numbered or sorted.
+Features joined by partner multiply rows when a partner has several accounts or permissions. The
+spine holds each distinct resulting row once, on few columns, with the number of times it occurs.
+Every other feature is unique per key and is joined onto the spine; the copies are written out at
+the very end, inside the tasks, so they are never shuffled, joined, sorted or numbered one by one.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rollwise.operators.numbering import number_rows
 from rollwise.operators.periods import period_columns
+from rollwise.operators.repeats import TIMES, repeat_rows
 from rollwise.params import Params
 from rollwise.plans.contacts import FUNNEL, newsletter_funnel, permissions_as_of
 from rollwise.plans.orders import order_quotes, profit_by_period
@@ -120,28 +121,39 @@ def breadth_choices(accounts: DataFrame) -> DataFrame:
     )
 
 
+def permission_choices(permission_hist: DataFrame, params: Params) -> DataFrame:
+    """Per partner, the distinct permissions in force and how many rows have each."""
+    return (
+        permissions_as_of(permission_hist, params)
+        .groupBy("bpid", *PERMISSIONS)
+        .agg(F.count(F.lit(1)).alias("permission_rows"))
+    )
+
+
 def spine(people: DataFrame, accounts: DataFrame, permission_hist: DataFrame, params: Params) -> DataFrame:
     """The population with permissions and breadth, which are joined by partner only.
 
     A partner with several permission rows, or several accounts with positions in a half year,
-    multiplies the rows of the population; a missing half year counts as breadth 0.
+    multiplies the rows of the population; a missing half year counts as breadth 0. Equal rows
+    stay one row, with their number multiplied into ``_times``.
     """
-    rows = people.join(permissions_as_of(permission_hist, params).drop("accountDate"), "bpid", "left").join(
+    rows = people.join(permission_choices(permission_hist, params), "bpid", "left").join(
         breadth_choices(accounts), "bpid", "left"
     )
     for name in BREADTH:
         rows = rows.withColumn(name, F.explode_outer(name))
-        copies = F.sequence(F.lit(1).cast("long"), F.coalesce(F.col(f"{name}.accounts"), F.lit(1)))
-        rows = rows.withColumn("_copy", F.explode(copies)).drop("_copy")
-        rows = rows.withColumn(name, F.coalesce(F.col(f"{name}.breadth"), F.lit(0)))
-    return rows
+    factors = [TIMES, "coalesce(permission_rows, 1L)", *[f"coalesce({name}.accounts, 1L)" for name in BREADTH]]
+    return rows.withColumns(
+        {TIMES: F.expr(" * ".join(factors))} | {name: F.expr(f"coalesce({name}.breadth, 0)") for name in BREADTH}
+    ).drop("permission_rows")
 
 
-def repeated(rows: DataFrame, power: int) -> DataFrame:
-    """Rows as after joining ``power`` tables that repeat each key as often as ``rows`` does."""
+def weighted(rows: DataFrame, power: int) -> DataFrame:
+    """Rows with ``_times`` as after joining ``power`` tables that repeat each account as ``rows`` does."""
+    if power == 0:
+        return rows.withColumn(TIMES, F.lit(1).cast("long"))
     counted = rows.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*ACCOUNT)))
-    copies = F.sequence(F.lit(1).cast("long"), F.expr(" * ".join(["_same"] * power)))
-    return counted.withColumn("_copy", F.explode(copies)).drop("_same", "_copy")
+    return counted.withColumn(TIMES, F.expr(" * ".join(["_same"] * power))).drop("_same")
 
 
 def with_transactions(rows: DataFrame, accounts: DataFrame, src: Sources, params: Params) -> DataFrame:
@@ -200,9 +212,9 @@ def transactions(inputs: Inputs) -> DataFrame:
     """Keys, age and the 233 transaction features."""
     src, params = inputs.src, inputs.params
     # The activity masks are joined from a table with one row per population row.
-    people = repeated(inputs.people, 1)
+    people = weighted(inputs.people, 1)
     rows = spine(people, inputs.accounts, src.permission_hist, params)
-    rows = with_transactions(rows, inputs.accounts, src, params)
+    rows = repeat_rows(with_transactions(rows, inputs.accounts, src, params))
     return rows.select(*ACCOUNT, "Age", *transaction_columns(params))
 
 
@@ -219,7 +231,7 @@ def full(inputs: Inputs) -> DataFrame:
     src, params = inputs.src, inputs.params
     # The activity masks, the transactions and the web features each repeat an account as often as
     # the population does, and are joined by account.
-    people = repeated(inputs.people, 3).withColumns(
+    people = weighted(inputs.people, 3).withColumns(
         {
             "CustomerID": F.col("bpid"),
             "TargetGroupindexRollOld": F.expr(segment_rollup_sql()),
@@ -228,9 +240,9 @@ def full(inputs: Inputs) -> DataFrame:
     rows = spine(people, inputs.accounts, src.permission_hist, params)
     groups = ["TargetGroupIndexRoll", "TargetGroupindexRollOld"]
     order = ["bpid", "accountDate", "SalutationID", "Age", *PERMISSIONS, *BREADTH]
-    numbered = number_rows(rows, groups, order, inputs.stage)
+    numbered = number_rows(rows, groups, order, inputs.stage, weight=TIMES)
     wide = with_transactions(with_web(numbered, src, params), inputs.accounts, src, params)
-    return wide.select(*datamart_columns(params))
+    return repeat_rows(wide, number="rownumber").select(*datamart_columns(params))
 
 
 def datamart_transactions(src: Sources, params: Params) -> DataFrame:

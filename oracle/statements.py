@@ -298,7 +298,7 @@ RELATIONS = {
         {', '.join(f'{_age_mask(k, f"orderprofit_S{k}")} AS orderprofit_S{k}' for k in range(1, 5))},
         {_cols(*LIFETIME_KPIS)}, push_perm, nl_perm,
         {', '.join(f'{_age_mask(k, f"coalesce(sort{k}.n, 0)")} AS AnzSorti_S{k}' for k in K6)},
-        activity.mask AS AktivKennzeichen, activity.online AS AktivOLKennzeichen
+        coalesce(activity.mask, 0) AS AktivKennzeichen, coalesce(activity.online, 0) AS AktivOLKennzeichen
         FROM people a
         {' '.join(
             f'LEFT JOIN rated{k} ON rated{k}.bpid = a.bpid AND rated{k}.accountDate = a.accountDate' for k in K8

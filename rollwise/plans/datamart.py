@@ -152,7 +152,9 @@ def weighted(rows: DataFrame, power: int) -> DataFrame:
     """Rows with ``_times`` as after joining ``power`` tables that repeat each account as ``rows`` does."""
     if power == 0:
         return rows.withColumn(TIMES, F.lit(1).cast("long"))
-    counted = rows.withColumn("_same", F.count(F.lit(1)).over(Window.partitionBy(*ACCOUNT)))
+    # A missing partner matches nothing, not even itself.
+    same = F.when(F.col("bpid").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy(*ACCOUNT))).otherwise(1)
+    counted = rows.withColumn("_same", same)
     return counted.withColumn(TIMES, F.expr(" * ".join(["_same"] * power))).drop("_same")
 
 
@@ -242,7 +244,9 @@ def full(inputs: Inputs) -> DataFrame:
     order = ["bpid", "accountDate", "SalutationID", "Age", *PERMISSIONS, *BREADTH]
     numbered = number_rows(rows, groups, order, inputs.stage, weight=TIMES)
     wide = with_transactions(with_web(numbered, src, params), inputs.accounts, src, params)
-    return repeat_rows(wide, number="rownumber").select(*datamart_columns(params))
+    # Without a partner there is no row of the transactions to take these defaults from.
+    defaults = {name: F.when(F.col("bpid").isNotNull(), F.col(name)) for name in (*BREADTH, *ACTIVITY_MASKS)}
+    return repeat_rows(wide.withColumns(defaults), number="rownumber").select(*datamart_columns(params))
 
 
 def datamart_transactions(src: Sources, params: Params) -> DataFrame:

@@ -36,7 +36,7 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
     hot = 7
 
     def partner():
-        return hot if rng.random() < 0.33 else rng.randrange(0, 16)
+        return None if rng.random() < 0.03 else hot if rng.random() < 0.33 else rng.randrange(0, 16)
 
     accounts = [(b, _day(rng)) for b in range(16)] + [(hot, _day(rng)), (3, _day(rng)), (0, ANCHOR - timedelta(days=1500))]
     accounts += [(20 + i, ANCHOR - timedelta(days=e)) for i, e in enumerate(EDGES)]
@@ -45,8 +45,9 @@ def random_rows(seed: int) -> dict[str, list[tuple]]:
          date(1940, 1, 1) + timedelta(days=rng.randrange(25000)), rng.choice([1, 2, None]))
         for b, a in accounts
     ]
+    customers += [(None, date(2000, 1, 1), "Z001", date(1980, 1, 1), 1)] * 2
     addresses = [(b, a) for b, a in accounts if rng.random() < 0.8] + [accounts[3], accounts[3], accounts[12]]
-    owned = {}
+    owned = {None: [None, date(2000, 1, 1)]}
     for b, a in accounts:
         owned.setdefault(b, []).append(a)
     positions = []

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollwise.operators.numbering import number_rows
 from rollwise.operators.periods import period_columns
-from rollwise.operators.repeats import TIMES, repeat_rows
+from rollwise.operators.repeats import TIMES, repeat_rows, split_copies
 from rollwise.params import Params
 from rollwise.plans.contacts import FUNNEL, newsletter_funnel, permissions_as_of
 from rollwise.plans.orders import order_quotes, profit_by_period
@@ -215,7 +215,7 @@ def transactions(inputs: Inputs) -> DataFrame:
     src, params = inputs.src, inputs.params
     # The activity masks are joined from a table with one row per population row.
     people = weighted(inputs.people, 1)
-    rows = spine(people, inputs.accounts, src.permission_hist, params)
+    rows = split_copies(spine(people, inputs.accounts, src.permission_hist, params))
     rows = repeat_rows(with_transactions(rows, inputs.accounts, src, params))
     return rows.select(*ACCOUNT, "Age", *transaction_columns(params))
 
@@ -242,7 +242,7 @@ def full(inputs: Inputs) -> DataFrame:
     rows = spine(people, inputs.accounts, src.permission_hist, params)
     groups = ["TargetGroupIndexRoll", "TargetGroupindexRollOld"]
     order = ["bpid", "accountDate", "SalutationID", "Age", *PERMISSIONS, *BREADTH]
-    numbered = number_rows(rows, groups, order, inputs.stage, weight=TIMES)
+    numbered = split_copies(number_rows(rows, groups, order, inputs.stage, weight=TIMES), "rownumber")
     wide = with_transactions(with_web(numbered, src, params), inputs.accounts, src, params)
     # Without a partner there is no row of the transactions to take these defaults from.
     defaults = {name: F.when(F.col("bpid").isNotNull(), F.col(name)) for name in (*BREADTH, *ACTIVITY_MASKS)}

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollwise.functions import in_days, round_to_long, valid_at
-from rollwise.operators import absent_from, assign_period, duplicate_keys, number_rows, repeat_rows
+from rollwise.operators import absent_from, assign_period, duplicate_keys, number_rows, repeat_rows, split_copies
 from rollwise.operators.periods import period_columns
 from rollwise.params import Params
 from rollwise.plans import contacts, datamart, orders, population, positions, web
@@ -275,7 +275,7 @@ def assortment_breadth(src: Sources, params: Params) -> DataFrame:
     long = positions.with_breadth(_long(src, params, *[f"{name}BM_ges" for name in positions.CATEGORIES]))
     accounts = period_columns(long, ACCOUNT, params.periods, ["AnzSorti"])
     people = datamart.weighted(population.population(src, params).select(*ACCOUNT), 0)
-    rows = repeat_rows(datamart.spine(people, accounts, src.permission_hist, params))
+    rows = repeat_rows(split_copies(datamart.spine(people, accounts, src.permission_hist, params)))
     return rows.select(
         *ACCOUNT,
         *[

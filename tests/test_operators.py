@@ -13,7 +13,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rollwise.functions import in_days, round_to_long, valid_at
-from rollwise.operators import assign_period, duplicate_keys, number_rows, repeat_rows, salted_join
+from rollwise.operators import assign_period, duplicate_keys, number_rows, repeat_rows, salted_join, split_copies
 from rollwise.params import Params, equal_periods, half_year_periods
 from rollwise.plans import datamart, positions, web
 from rollwise.plans.population import segment_detail_sql, segment_sql
@@ -178,7 +178,8 @@ def test_numbers_equal_a_window(spark):
 
 def test_weights_number_every_copy(spark):
     df = spark.range(40).selectExpr("id % 2 AS g", "id AS o", "1L + id * id * 3 AS _times")
-    copies = repeat_rows(number_rows(df, ["g"], ["o"], stage, out="n", weight="_times"), number="n")
+    numbered = number_rows(df, ["g"], ["o"], stage, out="n", weight="_times")
+    copies = repeat_rows(split_copies(numbered, "n"), number="n")
     expected = repeat_rows(df).withColumn("n", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert copies.count() == 40 + 3 * sum(i * i for i in range(40))
     # Copies of a row are equal, so only the set of numbers per row is defined.

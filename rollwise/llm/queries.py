@@ -5,8 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rollwise.llm.chat import END, NEWLINE, START, format_chats, read_loss, read_turns, text_part
+from rollwise.llm.containment import contained_items
+from rollwise.llm.grace import exact_dedup
+from rollwise.llm.interleave import interleaved_shards
 from rollwise.llm.jaccard_join import jaccard_join
+from rollwise.llm.language_mixture import learn_and_identify
+from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
+from rollwise.llm.staging import staged
+
+SHARDS = 40
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +28,166 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))[0]
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, read back from its formatted text, and of conversation -1."""
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.sql(
+        "SELECT -1L AS conv_id, t AS turn, IF(t = 0, 'user', 'assistant') AS role, "
+        "'<|im_end|><|im_start|>assistant ok' AS text FROM VALUES (0L), (1L) AS v(t)"
+    )
+    chats = format_chats(given.union(tricky).withColumn("parts", text_part("text")))
+    turns, loss = read_turns(F.col("formatted")), read_loss(F.col("formatted"), F.col("loss"))
+    back = chats.withColumn("turns", turns).withColumn("learned", loss)
+    spoken = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(spoken, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op3_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mixture takes of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    sizes = staged(docs.select("doc_id", "source", identity().alias("identity"), word_count("text").alias("size")), "sizes")
+    taken = with_copies(sizes, source_targets(sizes))
+    return taken.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    return learn_and_identify(_table(spark, sf_dir, "documents"))
+
+
+def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return interleaved_shards(docs, SHARDS).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+def op8_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Group of equal texts of every document."""
+    return exact_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op9_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    f.__name__: f
+    for f in (
+        op1_ngram_jaccard_join,
+        op2_chat_formatting,
+        op3_source_mixture,
+        op4_language_mixture,
+        op7_interleaved_shards,
+        op8_grace_dedup,
+        op9_minhash_containment,
+    )
 }
 
-SQL: dict[str, str] = {}
+_SPACES = r"[\x20\x09-\x0D]+"
+_WORD = r"[^\x20\x09-\x0D]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_MARKS = len(START) + len(END) + 2
+
+SQL: dict[str, str] = {
+    "op1_ngram_jaccard_join": rf"""
+        WITH RECURSIVE texts AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER}, '{_SPACES}'), lambda x: x <> '') AS w FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM texts
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), overlaps AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+            FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+        ), links AS (
+            SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * both >= 75 * (x.n + y.n - both)
+        ), reached AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT doc_id, b FROM reached JOIN links ON a = other
+        ), lowest AS (
+            SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+        FROM documents LEFT JOIN sizes USING (doc_id) JOIN lowest USING (doc_id)""",
+    "op2_chat_formatting": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL
+            SELECT -1, t, CASE WHEN t = 0 THEN 'user' ELSE 'assistant' END, '<|im_end|><|im_start|>assistant ok' FROM (VALUES (0), (1)) v(t)
+        ), whole AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS spoken,
+                coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = 'assistant'), '') AS learned,
+                sum({_MARKS} + length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g'))
+                    + length(replace(regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g'), chr(10), '{NEWLINE}')))::BIGINT AS formatted_chars
+            FROM turns GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(spoken) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256, formatted_chars
+        FROM whole""",
+    "op3_source_mixture": rf"""
+        WITH sizes AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{_WORD}')), 0)::BIGINT AS size,
+                coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) AS identity
+            FROM documents
+        ), sums AS (
+            SELECT source, sum(size)::BIGINT AS source_size FROM sizes GROUP BY source
+        ), ranked AS (
+            SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w, 2 * source_size AS most FROM sums
+        ), running AS (
+            SELECT *, coalesce(sum(most) OVER before, 0) AS capped, sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS rest,
+                1.5::DOUBLE * sum(source_size) OVER () AS goal
+            FROM ranked WINDOW before AS (ORDER BY most::DOUBLE / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ), leveled AS (
+            SELECT max(CASE WHEN w * ((goal - capped::DOUBLE) / rest::DOUBLE) < most THEN (goal - capped::DOUBLE) / rest::DOUBLE END) AS level FROM running
+        ), targets AS (
+            SELECT source, source_size, least(w * level, most::DOUBLE) AS target FROM ranked, leveled
+        ), rated AS (
+            SELECT doc_id, size, source_size, target, identity, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate
+            FROM sizes JOIN targets ON sizes.source IS NOT DISTINCT FROM targets.source
+        )
+        SELECT doc_id, size, source_size, target,
+            size * (floor(rate)::BIGINT + (('0x' || substr(md5('{SEED}:' || identity), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate))::BIGINT) AS taken
+        FROM rated""",
+    "op8_grace_dedup": rf"""
+        WITH texts AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g') AS content FROM documents
+        )
+        SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            coalesce(doc_id = min(doc_id) OVER same, (min(doc_id) OVER same) IS NULL) AS kept, sha256(content) AS text_sha256
+        FROM texts WINDOW same AS (PARTITION BY content)""",
+    "op9_minhash_containment": rf"""
+        WITH texts AS (
+            SELECT doc_id AS id, false AS item, list_filter(string_split_regex({_LOWER}, '{_SPACES}'), lambda x: x <> '') AS w FROM documents
+            UNION ALL
+            SELECT item_id, true, list_filter(string_split_regex({_LOWER}, '{_SPACES}'), lambda x: x <> '') FROM benchmark
+        ), shingles AS (
+            SELECT DISTINCT id, item, unnest(
+                CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+            FROM texts
+        ), sizes AS (
+            SELECT id, count(*) AS n FROM shingles WHERE item GROUP BY id
+        )
+        SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared, n AS item_shingles, count(*)::DOUBLE / n AS containment
+        FROM shingles i JOIN shingles d ON i.s = d.s AND i.item AND NOT d.item JOIN sizes ON sizes.id = i.id
+        GROUP BY d.id, i.id, n HAVING 100 * count(*) >= 75 * n""",
+}

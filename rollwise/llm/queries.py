@@ -15,6 +15,7 @@ from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import learn_and_identify
 from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
 from rollwise.llm.staging import staged
+from rollwise.llm.warc import archived
 
 SHARDS = 40
 
@@ -84,6 +85,11 @@ def op9_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, written to archives and read back."""
+    return archived(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_interleaved_shards,
         op8_grace_dedup,
         op9_minhash_containment,
+        op10_warc_segments,
     )
 }
 
@@ -113,12 +120,12 @@ SQL: dict[str, str] = {
             FROM texts
         ), sizes AS (
             SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
-        ), overlaps AS (
-            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+        ), pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS held
             FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
         ), links AS (
-            SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-            WHERE 100 * both >= 75 * (x.n + y.n - both)
+            SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * held >= 75 * (x.n + y.n - held)
         ), reached AS (
             SELECT doc_id, doc_id AS other FROM documents
             UNION

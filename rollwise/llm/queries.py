@@ -13,6 +13,7 @@ from rollwise.llm.grace import exact_dedup
 from rollwise.llm.interleave import interleaved_shards
 from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import learn_and_identify
+from rollwise.llm.lempel_ziv import substring_dedup
 from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
 from rollwise.llm.staging import staged
 from rollwise.llm.warc import archived
@@ -63,6 +64,11 @@ def op4_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn_and_identify(_table(spark, sf_dir, "documents"))
 
 
+def op5_lempel_ziv_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words removed from every document, and what is left."""
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_chat_formatting,
         op3_source_mixture,
         op4_language_mixture,
+        op5_lempel_ziv_dedup,
         op7_interleaved_shards,
         op8_grace_dedup,
         op9_minhash_containment,
@@ -174,6 +181,24 @@ SQL: dict[str, str] = {
         SELECT doc_id, size, source_size, target,
             size * (floor(rate)::BIGINT + (('0x' || substr(md5('{SEED}:' || identity), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE < rate - floor(rate))::BIGINT) AS taken
         FROM rated""",
+    "op5_lempel_ziv_dedup": rf"""
+        WITH texts AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}'), lambda x: x <> '') AS w FROM documents
+        ), windows AS (
+            SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, unnest(list_transform(range(1, len(w) - 48), lambda i: md5(array_to_string(w[i:i + 49], ' ')))) AS h
+            FROM texts WHERE len(w) >= 50
+        ), firsts AS (
+            SELECT h, min(doc_id) AS lo FROM windows GROUP BY h
+        ), gone AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS place FROM windows JOIN firsts USING (h) WHERE doc_id > lo
+        ), places AS (
+            SELECT doc_id, list(place) AS places FROM gone GROUP BY doc_id
+        ), rest AS (
+            SELECT doc_id, len(w) AS n_words, coalesce(len(places), 0) AS n_removed,
+                CASE WHEN places IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(places, i)), lambda i: w[i]) END AS kept
+            FROM texts LEFT JOIN places USING (doc_id)
+        )
+        SELECT doc_id, n_words::BIGINT AS n_words, n_removed::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM rest""",
     "op8_grace_dedup": rf"""
         WITH texts AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '{_SPACES}', ' ', 'g') AS content FROM documents

@@ -17,6 +17,7 @@ from rollwise.llm.lempel_ziv import substring_dedup
 from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
 from rollwise.llm.staging import staged
 from rollwise.llm.warc import archived
+from rollwise.llm.wrappers import extract_text
 
 SHARDS = 40
 
@@ -69,6 +70,11 @@ def op5_lempel_ziv_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op6_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     docs = _table(spark, sf_dir, "documents").select(
@@ -104,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_source_mixture,
         op4_language_mixture,
         op5_lempel_ziv_dedup,
+        op6_wrapper_extraction,
         op7_interleaved_shards,
         op8_grace_dedup,
         op9_minhash_containment,

@@ -1,4 +1,13 @@
-"""From raw documents to sharded training data: each stage is one operator of ``rollwise.llm``."""
+"""From raw documents to sharded training data: each stage is one operator of ``rollwise.llm``.
+
+Stages take (spark, docs, sf_dir) and return the columns of documents; the last adds shard and slot.
+``run`` writes each result to the shared folder and reads it again, so a lost executor never repeats an
+earlier stage.
+
+Defined cases: documents whose text is null or has no letter leave in the first stage; rows without
+doc_id are never near-duplicates; repeated rows stay together through every stage (the first of a
+group keeps all rows of its doc_id); an empty table passes through empty; extra columns are kept.
+"""
 
 from __future__ import annotations
 
@@ -7,27 +16,61 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollwise.llm.containment import decontaminated
+from rollwise.llm.interleave import interleaved_shards
 from rollwise.llm.jaccard_join import jaccard_join
+from rollwise.llm.language_mixture import UNKNOWN, held_out, identify, learn
+from rollwise.llm.mixture import mixed
 from rollwise.llm.staging import staged
 
+SHARDS = 40
+
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each group of near-duplicates."""
+def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language; ``lang`` is filled in where it is missing."""
+    model = learn(docs.filter(~held_out()).select("text", "lang"))
+    whole = docs.select(F.struct(*docs.columns).alias("document"), "text")
+    known = identify(whole, model).filter(F.col("lang_pred") != UNKNOWN)
+    columns = [F.coalesce("document.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"document.`{c}`") for c in docs.columns]
+    return known.select(*columns)
+
+
+def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of each group."""
     groups, _ = jaccard_join(docs)
     gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixed_by_source(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their sources ask for."""
+    return mixed(docs)
+
+
+def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their shard and their slot in it."""
+    return interleaved_shards(docs, SHARDS)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("ngram_jaccard_join", near_duplicates),
+    ("language_id", identified),
+    ("ngram_jaccard_join", without_near_duplicates),
+    ("benchmark_decontamination", without_benchmark),
+    ("source_mixture", mixed_by_source),
+    ("sharding", sharded),
 ]
 
-#: SQL cannot express every stage.
+#: SQL cannot express the language model; the pipeline is tested against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; each result is written and read again."""
+    """All stages in turn over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), name)

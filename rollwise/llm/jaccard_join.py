@@ -10,11 +10,14 @@ sets is at least ``percent`` / 100. Steps, each a Spark job over written interme
 2. *Prefixes.* A block of texts then knows the rare-first order of each text. Shingles of one text
    alone come first and can match nothing; when they fill the prefix, the text has no partner.
 3. *Candidates.* The remaining prefix shingles are joined. A posting list is joined with its most
-   central text only; members that link to it need no pair among themselves. Then the pairs of
-   different components in a list are formed, so no link that could join two components is missed.
-   Length and positional filters act in the join, the suffix filter on small signatures after it.
+   central text only, the one of the most frequent shingles. Length and positional filters act in
+   the join, the suffix filter on small signatures after it.
 4. *Verification.* Each distinct pair is compared once on its full shared shingles.
 5. *Components* of the links, by large-star and small-star rounds.
+6. *Remaining pairs.* Only lists whose members are in different components can still hold a link that
+   joins two. Texts that such lists connect form a block, or several of about ``BLOCK_SHINGLES`` that
+   meet pairwise; a task counts the overlaps of its block and returns the links that join
+   components. So pairs of one group never become rows, and no component misses a link.
 
 Defined cases: null or blank texts have an empty set and no link; texts under five words have their
 whole sequence as one shingle; rows with equal word sequences are one text; rows that repeat a
@@ -42,6 +45,8 @@ BUCKET_BYTES = 8 << 20
 SUMMARY = 1 << 15
 #: Classes of the suffix signature.
 CLASSES = 32
+#: Shared shingles of the texts that one task compares with each other.
+BLOCK_SHINGLES = 2 << 20
 
 _LOW = U64((1 << 40) - 1)
 _COMMON = 1 << 24
@@ -192,22 +197,26 @@ def _order(table: pa.Table, percent: int) -> pa.Table:
     at = np.concatenate(([0], np.cumsum(shared)))
     stays = (n > 0) & (shared >= _need(n, percent))
     lists = [ids[at[i] : at[i + 1]].astype("<i8").tobytes() if s else None for i, s in enumerate(stays)]
-    return pa.table({"doc_id": texts.column("doc_id"), "n": pa.array(n), "alone": pa.array(n - shared), "key": texts.column("key"), "shared": pa.array(lists, pa.binary())})
+    weight = np.bincount(owner, np.log2(np.minimum(rank, 65535)), len(n)) / np.maximum(n, 1)
+    return pa.table({
+        "doc_id": texts.column("doc_id"), "n": pa.array(n), "alone": pa.array(n - shared), "central": pa.array(weight),
+        "key": texts.column("key"), "shared": pa.array(lists, pa.binary()),
+    })
 
 
 def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The prefix shingles of each text that other texts hold, with their positions."""
     for batch in batches:
-        docs, tokens, places, sizes, alones = [], [], [], [], []
-        for doc, n, alone, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "alone", "shared"))):
+        docs, tokens, places, sizes, alones, centrals = [], [], [], [], [], []
+        for doc, n, alone, central, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "alone", "central", "shared"))):
             count = int(n - _need(np.int64(n), percent) + 1) - alone
             ids = np.frombuffer(raw, "<i8")[: max(0, count)]
             tokens.append(ids)
             places.append(np.arange(len(ids)) + alone)
-            for to, x in ((docs, doc), (sizes, n), (alones, alone)):
-                to.append(np.full(len(ids), x, np.int64))
+            for to, x in ((docs, doc), (sizes, n), (alones, alone), (centrals, central)):
+                to.append(np.full(len(ids), x))
         if docs:
-            yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in (tokens, docs, sizes, places, alones)], ["token", "doc", "n", "place", "alone"])
+            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (tokens, docs, sizes, places, alones, centrals)], ["token", "doc", "n", "place", "alone", "central"])
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,6 +234,50 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), batch.column("na"), batch.column("nb")], ["a", "b", "both", "na", "nb"])
 
 
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """Links between texts of different components in a block, as many as join components.
+
+    Where two cuts meet, pairs within one cut are left to the task of that cut.
+    """
+    doc, n, cut = (np.asarray(table.column(c)) for c in ("doc", "n", "cut"))
+    apart = len(np.unique(cut)) > 1 or table.column("i")[0] != table.column("j")[0]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent.setdefault(up, up)
+            x = up
+        return x
+
+    component = table.column("component").to_pylist()
+    lists = [np.frombuffer(raw.as_buffer(), "<i8") for raw in table.column("shared")]
+    sizes = np.array([len(x) for x in lists])
+    _, token = np.unique(np.concatenate(lists), return_inverse=True)
+    held = np.argsort(token, kind="stable")
+    owner = np.repeat(np.arange(len(lists)), sizes)[held]
+    count = np.bincount(token)
+    first = np.cumsum(count) - count
+    at = np.cumsum(sizes) - sizes
+    largest = max(set(component), key=component.count)
+    links = []
+    for x in range(len(lists)):
+        # A pair of the largest component needs no look, any other has a member outside it.
+        if component[x] == largest:
+            continue
+        own = token[at[x] : at[x] + sizes[x]]
+        length = count[own]
+        places = np.repeat(first[own] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        both = np.bincount(owner[places], minlength=len(lists))
+        close = np.flatnonzero(100 * both >= percent * (n[x] + n - both))
+        for y in close:
+            if y == x or apart and cut[x] == cut[y]:
+                continue
+            if (rx := root(component[x])) != (ry := root(component[int(y)])):
+                parent[max(rx, ry)] = min(rx, ry)
+                links.append((max(doc[x], doc[y]), min(doc[x], doc[y])))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+
 def _possible(percent: int) -> F.Column:
     """Length and positional filter on postings x and y of one shingle.
 
@@ -250,7 +303,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent
     return counted.filter(f"both * 100 >= {percent} * (na + nb - both)").select("a", "b")
 
 
-def jaccard_join(docs: DataFrame, percent: int = PERCENT, bucket_bytes: int = BUCKET_BYTES, summary: int = SUMMARY) -> tuple[DataFrame, DataFrame]:
+def jaccard_join(
+    docs: DataFrame, percent: int = PERCENT, bucket_bytes: int = BUCKET_BYTES, summary: int = SUMMARY, block_shingles: int = BLOCK_SHINGLES
+) -> tuple[DataFrame, DataFrame]:
     """Texts of ``docs`` (doc_id long, text string) and the links that join them.
 
     First result, one row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id
@@ -274,20 +329,19 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, bucket_bytes: int = BU
         yield from _postings(batches, percent)
 
     counted = docs.mapInArrow(blocks, _ROWS).groupBy("bucket").applyInArrow(_count, _ROWS)
-    ordered = staged(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, key binary, shared binary"), "rare-first")
+    ordered = staged(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, central double, key binary, shared binary"), "rare-first")
 
     alive = ordered.filter("shared IS NOT NULL AND doc_id IS NOT NULL")
     first = staged(alive.groupBy("key").agg(F.min("doc_id").alias("doc")), "texts")
     texts = staged(
-        alive.select(F.col("doc_id").alias("doc"), "key", "n", "alone", "shared").join(first, ["doc", "key"], "left_semi").drop("key"),
+        alive.select(F.col("doc_id").alias("doc"), "key", "n", "alone", "central", "shared").join(first, ["doc", "key"], "left_semi").drop("key"),
         "representatives",
     )
-    postings = staged(texts.mapInArrow(prefix, "token long, doc long, n long, place long, alone long"), "postings")
+    postings = staged(texts.mapInArrow(prefix, "token long, doc long, n long, place long, alone long, central double"), "postings")
     signatures = texts.mapInArrow(_signatures, "doc long, n long, signature array<int>")
 
-    # The text with the smallest share of shingles of its own stands in the middle of a list.
-    rank = F.struct((F.col("alone") / F.col("n")).alias("r"), F.col("doc"), F.col("n"), F.col("place"), F.col("alone"))
-    lists = postings.groupBy("token").agg(F.min(rank).alias("m"), F.max("doc").alias("top"), F.min("doc").alias("low")).filter("top <> low")
+    rank = F.struct((-F.col("central")).alias("r"), F.col("doc"), F.col("n"), F.col("place"), F.col("alone"))
+    lists = staged(postings.groupBy("token").agg(F.min(rank).alias("m"), F.max("doc").alias("top"), F.min("doc").alias("low")).filter("top <> low"), "lists")
     near = (
         postings.join(lists, "token")
         .select(F.col("doc").alias("x"), F.col("m.doc").alias("y"), F.col("n").alias("nx"), F.col("m.n").alias("ny"), F.col("place").alias("px"), F.col("m.place").alias("py"), F.col("alone").alias("ax"), F.col("m.alone").alias("ay"))
@@ -297,13 +351,21 @@ def jaccard_join(docs: DataFrame, percent: int = PERCENT, bucket_bytes: int = BU
     labels = staged(connected_components(links), "central-components")
 
     label = F.coalesce("component", "doc")
-    tagged = staged(postings.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", label), "tagged")
-    mixed = tagged.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token")
-    tagged = staged(tagged.join(mixed, "token", "left_semi"), "mixed")
-    sides = [tagged.select("token", F.col("doc").alias(s), F.col("n").alias(f"n{s}"), F.col("place").alias(f"p{s}"), F.col("alone").alias(f"a{s}"), F.col("component").alias(f"c{s}")) for s in "xy"]
-    across = sides[0].join(sides[1], "token").filter((F.col("cx") != F.col("cy")) & (F.col("x") < F.col("y")))
-    rest = staged(_pairs(across, percent).join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    more = _verified(rest, texts, signatures, percent)
+    tagged = postings.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", label.alias("component"))
+    mixed = staged(tagged.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token"), "mixed")
+    spokes = postings.join(mixed, "token").join(lists, "token").select(F.col("doc").alias("a"), F.col("m.doc").alias("b"))
+    blocks_of = staged(connected_components(spokes), "blocks")
+    members = texts.join(blocks_of.withColumnRenamed("node", "doc").withColumnRenamed("component", "block"), "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
+    members = members.select("block", "doc", "n", label.alias("component"), "shared")
+    size = blocks_of.join(texts.select(F.col("doc").alias("node"), "n"), "node").groupBy(F.col("component").alias("block")).agg(F.ceil(F.sum("n") / block_shingles).alias("cuts"))
+    cut = F.pmod(F.xxhash64("doc"), F.col("cuts"))
+    cuts = members.join(size, "block").withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    cuts = cuts.withColumn("i", F.least("cut", "other")).withColumn("j", F.greatest("cut", "other"))
+
+    def block_links(table):
+        return _block_links(table, percent)
+
+    more = cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long")
     links = staged(links.union(more), "links")
 
     components = staged(connected_components(links), "components")

@@ -4,13 +4,29 @@ import re
 from datetime import date, timedelta
 
 from oracle.inputs import INPUTS
-from rollwise.functions.categories import (
-    BIG_SIZE_CODES,
-    BIG_SIZE_EXTRA_PREFIXES,
-    BIG_SIZES,
-    HOME_PREFIXES,
-    PREFIXES,
-)
+
+# Two-character article prefixes per category, big sizes and who can have them. Written
+# out here as well, so that a wrong list in the library does not go unseen.
+PREFIXES = {
+    "Schuh": ("21", "25"),
+    "Haka": ("15", "16", "17", "18"),
+    "Kika": ("22", "23", "24", "26"),
+    "Wae": ("20", "33", "35", "36", "37"),
+    "Bade": ("65", "66"),
+    "Sport": ("34", "67", "73"),
+    "Acc": ("76",),
+    "Dob": (
+        "11", "13", "27", "28", "51", "52", "53", "54", "55", "57", "58", "61", "62", "63", "64", "68",
+        "69", "70", "71", "72", "74", "75", "78", "81", "82", "83", "84", "85", "86", "87", "88",
+    ),
+}
+HOME_PREFIXES = ("41", "42", "43", "45", "47", "48", "49")
+BIG_SIZE_EXTRA_PREFIXES = ("20", "34", "35", "36", "37", "67", "73")
+BIG_SIZE_CODES = (
+    "331", "334", "335", "336", "651", "652", "653", "654", "656", "657", "658", "661", "662", "663",
+    "664", "666", "667",
+)
+BIG_SIZES = ("48", "50", "52", "54", "56", "58", "60", "100", "105", "110", "115", "XL", "XXL", "XXXL")
 
 # First and last day of the half years, in days before the anchor.
 ANCHOR = date(2001, 8, 2)
@@ -54,6 +70,12 @@ def _cols(*names: str) -> str:
     return ", ".join(names)
 
 
+_NUMBER_ORDER = ", ".join(
+    f"{c} NULLS FIRST"
+    for c in ("bpid", "accountDate", "Age", "YearsOfRelationship", "SalutationID", "TargetGroupIndexRollOld_org", "NK3", "push_perm", "nl_perm")
+    + tuple(f"AnzSorti_S{k}" for k in range(1, 7))
+)
+
 U = "CAST(round(qty) AS BIGINT)"
 V = "CAST(round(vk) AS BIGINT)"
 FT = "code[1:2]"
@@ -400,15 +422,18 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
             WHERE day BETWEEN {WEB_PERIODS[2][0]} AND {WEB_PERIODS[2][1]} GROUP BY ALL""",
         "refresh_range": f"""SELECT reportingdate AS reporting_day, count(*) AS row_count, sum(vk) AS vk FROM (
             SELECT reportingdate, CAST(0 AS DECIMAL(18,2)) AS vk FROM positions
-            WHERE rectype = 1 AND NOT reportingdate BETWEEN {S2A} AND {S1E}
+            WHERE NOT reportingdate BETWEEN {S2A} AND {S1E}
             UNION ALL SELECT reportingdate, vk FROM positions WHERE reportingdate BETWEEN {S2A} AND {S1E}
             ) GROUP BY ALL""",
-        "scalar_semantics": f"""SELECT bpid, orderid, {V} AS rounded_value,
+        "refresh_table": f"""SELECT day AS partition_date, count(*) AS row_count,
+            CAST(sum(CASE WHEN day BETWEEN {WEB_PERIODS[2][0]} AND {WEB_S1E} THEN page_visits ELSE 0 END) AS BIGINT) AS visits
+            FROM session GROUP BY ALL""",
+        "scalar_semantics": f"""SELECT bpid, orderid, rectype, {V} AS rounded_value,
             CAST(round(vk / 2) AS BIGINT) AS rounded_half, round(CAST(qty AS DOUBLE) / 7, 3) AS rounded_ratio,
             reportingdate AS reporting_day, orderdate - 35 AS days_before, orderdate + 35 AS days_after,
             date_diff('day', orderdate, reportingdate) AS lag_days, upper(channel) AS channel, {FT} AS prefix,
             coalesce(catalogtypeid, 0) AS catalog, CAST(orderid AS VARCHAR) AS order_text,
-            CASE WHEN orderid > 0 THEN bpid / orderid END AS guarded FROM positions WHERE rectype = 1""",
+            CASE WHEN orderid > 0 THEN bpid / orderid END AS guarded FROM positions""",
         "period_assign": f"""SELECT period, rectype, count(*) AS row_count, count(DISTINCT bpid) AS partners,
             sum(vk) AS vk FROM ({placed}) GROUP BY ALL""",
         "positions_grace_window": f"""SELECT bpid, period, count(*) AS row_count,
@@ -423,9 +448,9 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
         "age_and_tenure": "SELECT bpid, accountDate, Age, YearsOfRelationship FROM segmented",
         "inactive_accounts": "SELECT * FROM inactive",
         "anti_join_inactive": """SELECT bpid, accountDate FROM customers c WHERE NOT EXISTS
-            (SELECT 1 FROM inactive i WHERE i.bpid = c.bpid AND i.accountDate = c.accountDate)""",
+            (SELECT 1 FROM inactive i WHERE i.bpid = c.bpid AND i.accountDate = c.accountDate AND i.bpid <> 0)""",
         "anti_join_exclusion": f"""SELECT bpid, accountDate FROM customers c WHERE NOT EXISTS
-            (SELECT 1 FROM ({ACTIVE_EXCLUSION}) e WHERE e.bpid = c.bpid)""",
+            (SELECT 1 FROM ({ACTIVE_EXCLUSION}) e WHERE e.bpid = c.bpid AND e.bpid <> 0)""",
         "population_base": "SELECT * FROM people",
         "join_left_composite": """SELECT a.bpid, a.accountDate, d.* EXCLUDE (bpid, accountDate) FROM people a
             LEFT JOIN demand d ON d.bpid = a.bpid AND d.accountDate = a.accountDate""",
@@ -485,7 +510,7 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
         "datamart_transactions": "SELECT * FROM transactions",
         "datamart_webshop": "SELECT * FROM webshop",
         "datamart_full": f"""SELECT *, row_number() OVER (
-            PARTITION BY TargetGroupIndexRoll, TargetGroupindexRollOld ORDER BY bpid, accountDate) AS rownumber
+            PARTITION BY TargetGroupIndexRoll, TargetGroupindexRollOld ORDER BY {_NUMBER_ORDER}) AS rownumber
             FROM (SELECT {final_columns} FROM people p
                   LEFT JOIN transactions t ON t.bpid = p.bpid AND t.accountDate = p.accountDate
                   LEFT JOIN webshop w ON w.bpid = p.bpid AND w.accountDate = p.accountDate)""",

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
+#: A key is hot from this share of all rows on, so 1 / HOT_SHARE keys are hot at most at any size.
+HOT_SHARE = 1e-4
 SALTS = 64
 
 
@@ -26,20 +27,20 @@ def salted_join(
     spread_by: Column,
     how: str = "inner",
     weight: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
     """Join on ``key`` where one key may hold much of ``left``, and ``right`` has few rows per key.
 
-    Keys with ``hot_rows`` or more rows in ``left`` (counted by ``weight`` where a row stands for
-    several) are split over ``salts`` tasks by a hash of ``spread_by``; their rows in ``right`` are
-    repeated once per salt. All other keys join as usual. At most rows / hot_rows keys can be hot:
+    Keys with more than ``hot_share`` of the rows in ``left`` (counted by ``weight`` where a row stands
+    for several) are split over ``salts`` tasks by a hash of ``spread_by``; their rows in ``right`` are
+    repeated once per salt. All other keys join as usual. Fewer than 1 / hot_share keys can be hot:
     that bound is what makes the set safe to broadcast, and ``left`` is not shuffled to mark them.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    hot = F.broadcast(
-        left.groupBy(key).agg(rows.alias("_rows")).filter(F.col("_rows") >= hot_rows).select(key, F.lit(True).alias("_hot"))
-    )
+    counts = left.groupBy(key).agg(rows.alias("_rows"))
+    total = counts.agg(F.sum("_rows")).scalar()
+    hot = F.broadcast(counts.filter(F.col("_rows") > hot_share * total).select(key, F.lit(True).alias("_hot")))
     split = left.join(hot, key, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
     )

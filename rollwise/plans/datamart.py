@@ -8,12 +8,13 @@ the very end, inside the tasks, so they are never shuffled, joined, sorted or nu
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollwise.operators.checks import duplicate_keys
 from rollwise.operators.numbering import number_rows
 from rollwise.operators.periods import period_columns
 from rollwise.operators.repeats import TIMES, repeat_rows, split_copies
@@ -34,12 +35,10 @@ from rollwise.plans.positions import (
     with_rates,
 )
 from rollwise.plans.web import STYLE_OUTPUT, WEB_MEASURES, style_interest, web_features_wide
+from rollwise.sources.sinks import Stage, staging, write_durable
 from rollwise.sources.sinks import stage as stage_in_shared_folder
-from rollwise.sources.sinks import write_durable
 from rollwise.sources.tables import Sources
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
 # Position measures of one half year in output order.
 PERIOD_MEASURES = (
     "Nabs_ges",
@@ -158,13 +157,18 @@ def weighted(rows: DataFrame, power: int) -> DataFrame:
     return counted.withColumn(TIMES, F.expr(" * ".join(["_same"] * power))).drop("_same")
 
 
-def with_transactions(rows: DataFrame, accounts: DataFrame, src: Sources, params: Params) -> DataFrame:
-    """Join newsletter, profit and account features onto the spine; mask what is joined by partner."""
-    joined = (
-        rows.join(newsletter_funnel(src.clicks, params), "bpid", "left")
-        .join(profit_by_period(src.order_profit, params), "bpid", "left")
-        .join(accounts.drop(*BREADTH), list(ACCOUNT), "left")
-    )
+def partner_features(src: Sources, params: Params, web: bool = True) -> DataFrame:
+    """Newsletter, profit and (with ``web``) web features: all that is joined by partner alone."""
+    parts = [newsletter_funnel(src.clicks, params), profit_by_period(src.order_profit, params)]
+    if web:
+        parts.append(web_features_wide(src.session, src.session_hist, params))
+        parts.append(style_interest(src.session, src.session_hist, src.styleview, params).select("bpid", *STYLE_OUTPUT))
+    return reduce(lambda left, right: left.join(right, "bpid", "full"), [p.filter("bpid IS NOT NULL") for p in parts])
+
+
+def with_features(rows: DataFrame, accounts: DataFrame, partners: DataFrame, params: Params) -> DataFrame:
+    """Join partner and account features onto the spine; mask what is joined by partner."""
+    joined = rows.join(partners, "bpid", "left").join(accounts.drop(*BREADTH), list(ACCOUNT), "left")
     masked = {f"{name}_S{k}": k for k in range(1, FUNNEL_PERIODS + 1) for name in FUNNEL}
     masked |= {f"orderprofit_S{k}": k for k in range(1, PROFIT_OUTPUT_PERIODS + 1)}
     masked |= {name: k for k, name in enumerate(BREADTH, start=1)}
@@ -184,30 +188,25 @@ def web_columns(params: Params) -> list[str]:
     return [f"{name}_{p.name}" for p in params.contact_periods for name in WEB_MEASURES] + list(STYLE_OUTPUT)
 
 
-def with_web(rows: DataFrame, src: Sources, params: Params) -> DataFrame:
-    """Join the web features, which are unique per partner."""
-    sessions = web_features_wide(src.session, src.session_hist, params)
-    styles = style_interest(src.session, src.session_hist, src.styleview, params)
-    return rows.join(sessions, "bpid", "left").join(styles.select("bpid", *STYLE_OUTPUT), "bpid", "left")
-
-
 @dataclass(frozen=True)
 class Inputs:
-    """Sources together with the two intermediates all outputs share."""
+    """Sources together with the intermediates that all outputs share."""
 
     src: Sources
     params: Params
     people: DataFrame
     accounts: DataFrame
+    partners: DataFrame
     stage: Stage
 
 
 def prepare(
-    src: Sources, params: Params, stage: Stage = stage_in_shared_folder, people: DataFrame | None = None
+    src: Sources, params: Params, stage: Stage = stage_in_shared_folder, people: DataFrame | None = None, web: bool = True
 ) -> Inputs:
-    """Stage the account features; take the population as given or derive it."""
+    """Stage account and partner features; take the population as given or derive it."""
     accounts = stage(account_features(src.positions, params), "accounts")
-    return Inputs(src, params, population(src, params) if people is None else people, accounts, stage)
+    partners = stage(partner_features(src, params, web), "partners")
+    return Inputs(src, params, population(src, params) if people is None else people, accounts, partners, stage)
 
 
 def transactions(inputs: Inputs) -> DataFrame:
@@ -216,19 +215,26 @@ def transactions(inputs: Inputs) -> DataFrame:
     # The activity masks are joined from a table with one row per population row.
     people = weighted(inputs.people, 1)
     rows = split_copies(spine(people, inputs.accounts, src.permission_hist, params))
-    rows = repeat_rows(with_transactions(rows, inputs.accounts, src, params))
+    rows = repeat_rows(with_features(rows, inputs.accounts, inputs.partners, params))
     return rows.select(*ACCOUNT, "Age", *transaction_columns(params))
 
 
-def webshop(people: DataFrame, src: Sources, params: Params) -> DataFrame:
-    """Keys and the 69 web features."""
-    return with_web(people.select(*ACCOUNT), src, params).select(*ACCOUNT, *web_columns(params))
+def webshop(people: DataFrame, src: Sources, params: Params, partners: DataFrame | None = None) -> DataFrame:
+    """Keys and the 69 web features, from staged partner features or from the sources."""
+    if partners is None:
+        sessions = web_features_wide(src.session, src.session_hist, params)
+        styles = style_interest(src.session, src.session_hist, src.styleview, params)
+        rows = people.select(*ACCOUNT).join(sessions, "bpid", "left").join(styles, "bpid", "left")
+    else:
+        rows = people.select(*ACCOUNT).join(partners, "bpid", "left")
+    return rows.select(*ACCOUNT, *web_columns(params))
 
 
 def full(inputs: Inputs) -> DataFrame:
     """The final table: population, both datamarts, the rolled-up segment and a number per segment.
 
-    Numbers follow bpid, accountDate and the other population columns, so a run can be repeated.
+    Numbers follow the population columns, then permissions and breadth; rows equal in all of these are
+    equal altogether, so a run can be repeated.
     """
     src, params = inputs.src, inputs.params
     # The activity masks, the transactions and the web features each repeat an account as often as
@@ -241,44 +247,65 @@ def full(inputs: Inputs) -> DataFrame:
     )
     rows = spine(people, inputs.accounts, src.permission_hist, params)
     groups = ["TargetGroupIndexRoll", "TargetGroupindexRollOld"]
-    order = ["bpid", "accountDate", "SalutationID", "Age", *PERMISSIONS, *BREADTH]
+    order = [*[c for c in POPULATION_COLUMNS if c not in groups], *PERMISSIONS, *BREADTH]
     numbered = split_copies(number_rows(rows, groups, order, inputs.stage, weight=TIMES), "rownumber")
-    wide = with_transactions(with_web(numbered, src, params), inputs.accounts, src, params)
+    wide = with_features(numbered, inputs.accounts, inputs.partners, params)
     # Without a partner there is no row of the transactions to take these defaults from.
     defaults = {name: F.when(F.col("bpid").isNotNull(), F.col(name)) for name in (*BREADTH, *ACTIVITY_MASKS)}
     return repeat_rows(wide.withColumns(defaults), number="rownumber").select(*datamart_columns(params))
 
 
 def datamart_transactions(src: Sources, params: Params) -> DataFrame:
-    return transactions(prepare(src, params))
+    return transactions(prepare(src, params, web=False))
 
 
 def datamart_webshop(src: Sources, params: Params) -> DataFrame:
     return webshop(population(src, params), src, params)
 
 
-def datamart(src: Sources, params: Params) -> DataFrame:
-    return full(prepare(src, params))
+def datamart(src: Sources, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
+    """The final table; ``with staging(spark) as stage`` removes its intermediates after use."""
+    return full(prepare(src, params, stage))
 
 
 # The durable outputs, in the order in which they are written.
 OUTPUTS = ("population", "order_quotes", "datamart_transactions", "datamart_webshop", "datamart")
+# Beside them: how many keys occur how often in what the outputs are joined with by one key.
+KEY_COUNTS = "duplicate_keys"
+
+
+def key_counts(src: Sources) -> DataFrame:
+    """Per source of a partner join: keys that occur more than once, their rows, the most of one key."""
+    checked = {"permission_hist": ["bpid"], "customer_overview": ["bpid"], "address_overview": list(ACCOUNT)}
+    counts = [
+        duplicate_keys(getattr(src, name), *keys)
+        .agg(F.count("*").alias("keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"), F.max("row_count").alias("most"))
+        .select(F.lit(name).alias("source"), "keys", "rows", "most")
+        for name, keys in checked.items()
+    ]
+    return reduce(DataFrame.union, counts)
 
 
 def write_outputs(src: Sources, params: Params, database: str | None = None) -> None:
-    """Create or replace the five output tables; the population is written first and read by the others."""
+    """Create or replace the five output tables and the key counts.
+
+    The population is written first and read by the others. What they share is staged once and
+    removed at the end.
+    """
 
     def write(name: str, df: DataFrame) -> DataFrame:
         table = f"{database}.{name}" if database else name
         write_durable(df, table)
         return df.sparkSession.table(table)
 
-    people = write("population", population(src, params))
-    inputs = prepare(src, params, people=people)
-    write("order_quotes", order_quotes(people, src.order_profit, params))
-    write("datamart_transactions", transactions(inputs))
-    write("datamart_webshop", webshop(people, src, params))
-    write("datamart", full(inputs))
+    with staging(src.positions.sparkSession) as stage:
+        write(KEY_COUNTS, key_counts(src))
+        people = write("population", population(src, params))
+        inputs = prepare(src, params, stage, people)
+        write("order_quotes", order_quotes(people, src.order_profit, params))
+        write("datamart_transactions", transactions(inputs))
+        write("datamart_webshop", webshop(people, src, params, inputs.partners))
+        write("datamart", full(inputs))
 
 
 def datamart_columns(params: Params) -> list[str]:

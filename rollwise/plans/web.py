@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollwise.functions import style_category_sql, valid_at
-from rollwise.operators.joins import HOT_ROWS, salted_join
+from rollwise.operators.joins import HOT_SHARE, salted_join
 from rollwise.operators.periods import assign_period, covering_range, period_columns
 from rollwise.params import Params
 
@@ -141,7 +141,7 @@ STYLE_OUTPUT = ("AnzFT_Q1", "AnzStyles_Q1", "dob_Styles_Q1")
 
 
 def style_interest(
-    session: DataFrame, session_hist: DataFrame, styleview: DataFrame, params: Params, hot_rows: int = HOT_ROWS
+    session: DataFrame, session_hist: DataFrame, styleview: DataFrame, params: Params, hot_share: float = HOT_SHARE
 ) -> DataFrame:
     """Style categories and styles viewed per customer with sessions in the quarter.
 
@@ -170,7 +170,7 @@ def style_interest(
     # Weighing by the session count lets the search for hot ids read the shuffle of ``sessions``.
     known = history.join(views, "wkorbid", "left")
     per_prefix = (
-        salted_join(sessions, known, "wkorbid", F.col("bpid"), weight=F.col("sessions"), hot_rows=hot_rows)
+        salted_join(sessions, known, "wkorbid", F.col("bpid"), weight=F.col("sessions"), hot_share=hot_share)
         .groupBy("bpid", "prefix")
         .agg(F.sum(F.expr("sessions * versions * coalesce(styles, 0)")).alias("styles"))
         .withColumn("category", F.expr(style_category_sql("prefix")))

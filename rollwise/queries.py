@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from rollwise.operators.periods import period_columns
 from rollwise.params import Params
 from rollwise.plans import contacts, datamart, orders, population, positions, web
 from rollwise.plans.population import ACCOUNT
-from rollwise.sources import Sources, refreshed, sample_params, sample_sources, stage
+from rollwise.sources import Sources, refresh_partitions, refreshed, sample_params, sample_sources, session_folder, stage
 
 Query = Callable[[Sources, Params], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -61,24 +62,40 @@ def scan_date_range(src: Sources, params: Params) -> DataFrame:
 @query
 def scan_partition_pruned(src: Sources, params: Params) -> DataFrame:
     s2 = params.contact_periods[1]
-    rows = src.session.filter(in_days(src.session, "partition_date", s2.lo, s2.hi))
+    stored = stage(src.session, "session", "partition_date")
+    rows = stored.filter(in_days(stored, "partition_date", s2.lo, s2.hi))
     return rows.groupBy("partition_date").agg(_rows(), F.sum("page_visits").alias("visits"))
 
 
 @query
 def refresh_range(src: Sources, params: Params) -> DataFrame:
-    stale = src.positions.filter("rectype = 1").withColumn("kpivaluevk", F.lit(0).cast("decimal(18,2)"))
+    stale = src.positions.withColumn("kpivaluevk", F.lit(0).cast("decimal(18,2)"))
     fresh = refreshed(stale, src.positions, "reportingdate", params.period(2).lo, params.period(1).hi)
     return fresh.groupBy(F.to_date("reportingdate").alias("reporting_day")).agg(
         _rows(), F.sum("kpivaluevk").alias("vk")
     )
 
 
+@query
+def refresh_table(src: Sources, params: Params) -> DataFrame:
+    """A refresh as it is run on a stored table: the partitions of the range are overwritten."""
+    spark = src.session.sparkSession
+    rows = src.session.select("ktnr_glob", "wkorbid", "page_visits", "partition_date")
+    stale = rows.withColumn("page_visits", F.lit(0).cast("long"))
+    name = f"refreshed_{uuid4().hex}"
+    writer = stale.repartition("partition_date").write.partitionBy("partition_date").format("parquet")
+    writer.option("path", f"{session_folder(spark)}/{name}").saveAsTable(name)
+    newest, second = params.contact_periods[:2]
+    refresh_partitions(rows, name, "partition_date", second.lo, newest.hi)
+    return spark.table(name).groupBy("partition_date").agg(_rows(), F.sum("page_visits").alias("visits"))
+
+
 @query
 def scalar_semantics(src: Sources, params: Params) -> DataFrame:
-    return src.positions.filter("rectype = 1").select(
+    return src.positions.select(
         "bpid",
         "orderid",
+        "rectype",
         round_to_long(F.col("kpivaluevk")).alias("rounded_value"),
         round_to_long(F.col("kpivaluevk") / 2).alias("rounded_half"),
         F.round(F.col("kpivalueqty").cast("double") / 7, 3).alias("rounded_ratio"),

@@ -1,15 +1,17 @@
 from rollwise.sources.sample import sample_params, sample_sources
-from rollwise.sources.sinks import refresh_partitions, refreshed, stage, write_durable
-from rollwise.sources.tables import SCHEMAS, Sources, read_sources
+from rollwise.sources.sinks import refresh_partitions, refreshed, session_folder, stage, staging, write_durable
+from rollwise.sources.tables import Sources, read_sources, schema_of
 
 __all__ = [
-    "SCHEMAS",
     "Sources",
     "read_sources",
     "refresh_partitions",
     "refreshed",
     "sample_params",
     "sample_sources",
+    "schema_of",
+    "session_folder",
     "stage",
+    "staging",
     "write_durable",
 ]

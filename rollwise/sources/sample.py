@@ -1,7 +1,9 @@
 """The ten inputs derived from the generic sales tables (customer, orders, lineitem, part, events).
 
-All rows of those tables are used. Keys are shifted by one because 0 means "absent" for the
-engine. The time spans differ: orders end on 2001-08-01, events on 2024-01-30, so the sample
+All rows of those tables are used. Keys are shifted by one because 0 means "absent" for the engine;
+a few customers get the key 0 after all. Some partners have two accounts, some accounts two
+addresses, some partners two permissions in force, sessions have 0, 1 or 2 history rows, and some
+share an id, so that joins multiply rows as they do in real tables. The time spans differ: orders end on 2001-08-01, events on 2024-01-30, so the sample
 parameters anchor the two groups of sources apart. Birth dates are plain dates.
 """
 
@@ -27,10 +29,13 @@ def sample_params() -> Params:
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash a scan over all cores when its files have fewer splits than that; large inputs stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+def partner(key: str) -> str:
+    """SQL for the partner of a customer or user; some have the key 0."""
+    return f"CASE WHEN {key} % 1009 IN (57, 45) THEN 0 ELSE {key} + 1 END"
+
+
+# Sessions without an id of their own: the id 0, or that of the session before.
+SESSION_ID = "CASE WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 37 = 0 THEN event_id ELSE event_id + 1 END"
 
 
 def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
@@ -43,37 +48,39 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         )
 
     customer, orders, events = table("customer"), table("orders"), table("events")
+    opened = "date_add(DATE'1995-01-01', CAST(c_custkey * 37 % 2400 AS INT))"
+    second = f"CASE WHEN c_custkey % 19 = 7 THEN date_add({opened}, 200) END"
+    both = f"CASE WHEN c_custkey % 97 != 96 THEN array_compact(array({opened}, {second})) ELSE array(CAST(NULL AS DATE)) END"
     customers = shaped(
         "customer_overview",
-        customer,
-        bpid="c_custkey + 1",
-        accountDate="""CASE WHEN c_custkey % 97 != 96
-            THEN date_add(DATE'1995-01-01', CAST(c_custkey * 37 % 2400 AS INT)) END""",
+        customer.withColumn("opened", F.explode(F.expr(both))),
+        bpid=partner("c_custkey"),
+        accountDate="opened",
         bptypeid="CASE c_mktsegment WHEN 'MACHINERY' THEN 'Z002' WHEN 'AUTOMOBILE' THEN 'Z019' ELSE 'Z001' END",
         birthdate="date_add(DATE'1940-01-01', CAST(c_custkey * 101 % 25000 AS INT))",
         salutationid="c_nationkey % 3",
     )
-    # Sizes are unique per part, so Catalyst drops this join from every plan that reads no size. The
-    # other partitioning makes the join shuffle both sides itself, which lets AQE split a hot part.
-    sizes = table("part").select("p_partkey", "p_size").dropDuplicates(["p_partkey"]).repartition("p_size", "p_partkey")
-    owned = orders.join(customers, F.col("o_custkey") + 1 == F.col("bpid"))
+    sizes = table("part").select("p_partkey", "p_size")
+    owned = orders.join(customers, F.expr(partner("o_custkey")) == F.col("bpid"))
     lines = (
-        spread(table("lineitem"), "l_orderkey")
+        table("lineitem")
         .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(sizes, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(sizes, F.col("l_partkey") == F.col("p_partkey"))
         # Values of a line are derived once; then it yields one row per record type it takes part in.
         .selectExpr(
             "bpid",
             "accountDate",
-            "o_orderdate",
+            # Some orders come late in the evening of their day.
+            "CAST(o_orderdate AS TIMESTAMP_NTZ) + IF(o_orderkey % 5 = 0, INTERVAL '86399' SECOND, INTERVAL '0' SECOND) AS o_orderdate",
             "date_add(CAST(o_orderdate AS DATE), 7 * l_linenumber) AS reportingdate",
             "o_orderkey",
             "CAST(l_quantity AS DECIMAL(18,2)) AS quantity",
             "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
             "l_returnflag",
             "CASE l_suppkey % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 10 END AS catalogtypeid",
-            "o_orderpriority",
-            "CAST(100 + l_partkey * 7 % 800 AS STRING) AS code",
+            "CASE o_orderkey % 9 WHEN 0 THEN 'I' WHEN 1 THEN 'i' WHEN 2 THEN 'T' WHEN 3 THEN 't' WHEN 4 THEN 'S' "
+            "WHEN 5 THEN 's' WHEN 6 THEN NULL ELSE o_orderpriority END AS channel",
+            "IF(l_partkey % 41 = 0, '4', CAST(100 + l_partkey * 7 % 800 AS STRING)) AS code",
             "CASE WHEN p_size >= 46 THEN 'XL' ELSE CAST(p_size AS STRING) END AS size",
             """explode(array(
                 CASE WHEN o_orderstatus != 'F' THEN 1 END,
@@ -95,14 +102,14 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         kpivalueqty="quantity",
         kpivaluevk="CASE WHEN rectype = 1 AND l_returnflag = 'A' THEN -price ELSE price END",
         catalogtypeid="catalogtypeid",
-        orderchannelcd="o_orderpriority",
+        orderchannelcd="channel",
         promotionpurchasecd="code",
         itemsize="size",
     )
     exclusions = shaped(
         "partner_exclusion",
         customer,
-        bpid="c_custkey + 1",
+        bpid=partner("c_custkey"),
         exclusioncd="c_custkey % 53",
         decisionfg="CASE WHEN c_custkey % 7 = 6 THEN 0 ELSE 1 END",
         validfrom="TIMESTAMP_NTZ'1996-01-01 00:00:00'",
@@ -112,7 +119,7 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     profit = shaped(
         "order_profit",
         orders,
-        bpid="o_custkey + 1",
+        bpid=partner("o_custkey"),
         reportingdate="o_orderdate",
         orderid="o_orderkey",
         orderprofit_crm="CASE WHEN o_orderkey % 20 = 0 THEN 0 ELSE round(o_totalprice - 150000, 2) END",
@@ -121,14 +128,14 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     clicks = shaped(
         "clicks",
         events,
-        bpid="user_id + 1",
+        bpid=partner("user_id"),
         datum="ts",
         send="1",
         opened="CASE WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END",
         clicked="CASE WHEN event_type = 'click' THEN 1 ELSE 0 END",
         firmid="CASE WHEN user_id % 10 = 9 THEN 11 ELSE 1 END",
     )
-    versions = customers.withColumn("version", F.explode(F.array(F.lit(1), F.lit(2))))
+    versions = customers.withColumn("version", F.expr("explode(IF(bpid % 29 = 3, array(1, 2, 3), array(1, 2)))"))
     permissions = shaped(
         "permission_hist",
         versions,
@@ -142,8 +149,8 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     session = shaped(
         "session",
         events,
-        ktnr_glob="user_id + 1",
-        wkorbid="event_id + 1",
+        ktnr_glob=partner("user_id"),
+        wkorbid=SESSION_ID,
         mandant_id="CASE WHEN event_id % 11 = 0 THEN 32 ELSE 2 END",
         partition_date="ts",
         session_length_sek="round(value)",
@@ -158,9 +165,9 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     )
     session_hist = shaped(
         "session_hist",
-        events,
-        ktnr="user_id + 1",
-        wkorbid="event_id + 1",
+        events.withColumn("n", F.expr("explode(CASE WHEN event_id % 17 = 5 THEN array() WHEN event_id % 19 = 6 THEN array(1, 2) ELSE array(1) END)")),
+        ktnr=partner("user_id"),
+        wkorbid=SESSION_ID,
         mandant_id="CASE WHEN event_id % 11 = 0 THEN 32 ELSE 2 END",
         gilt_von="ts",
         gilt_bis="CASE WHEN event_id % 13 = 0 THEN DATE'2024-01-30' ELSE DATE'9999-12-31' END",
@@ -169,7 +176,7 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     styleview = shaped(
         "styleview",
         views,
-        wkorbid="event_id + 1",
+        wkorbid=SESSION_ID,
         style_id="110000 + (event_id * 7919 + n * 104729) % 780000",
         mandant_id="CASE WHEN event_id % 11 = 0 THEN 32 ELSE 2 END",
         partition_date="ts",
@@ -177,7 +184,9 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
         positions=positions,
         customer_overview=customers,
-        address_overview=customers.select("bpid", "accountDate"),
+        address_overview=customers.select(
+            "bpid", "accountDate", F.expr("explode(IF(bpid % 23 = 5, array(1, 2), array(1)))").alias("n")
+        ).drop("n"),
         partner_exclusion=exclusions,
         order_profit=profit,
         clicks=clicks,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date
+from urllib.parse import unquote
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,30 +13,62 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.scalars import in_days
 
+Stage = Callable[[DataFrame, str], DataFrame]
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
+# Fixed value: the name of a partition without a value.
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-    Only a local session may go without the setting; it gets a temporary folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    return tempfile.mkdtemp(prefix="rollwise-")
+_session_folders: dict[str, str] = {}
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: in ``spark.checkpoint.dir``, or where that is
+    unset beside the tables of the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}-{uuid4().hex}"
+
+
+def _on_filesystem(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def session_folder(spark: SparkSession) -> str:
+    """The folder for intermediates of lazily read results; it goes when the driver's JVM ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _session_folders:
+        _session_folders[app] = new_folder(spark)
+        path, system = _on_filesystem(spark, _session_folders[app])
+        system.deleteOnExit(path)
+    return _session_folders[app]
+
+
+def _written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` once to the session's shared folder and read it back.
 
     Consumers then share one computation, read only the columns they need, plan with true sizes,
     and lost executors never cause the work upstream to be repeated.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _written(df, f"{session_folder(df.sparkSession)}/{name}-{uuid4().hex}", *partition_by)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Stage]:
+    """Like ``stage``, in a folder that is removed on leaving the block, also after an error.
+
+    Results that read it have to be written or collected inside the block.
+    """
+    folder = new_folder(spark)
+    try:
+        yield lambda df, name: _written(df, f"{folder}/{name}-{uuid4().hex}")
+    finally:
+        path, system = _on_filesystem(spark, folder)
+        system.delete(path, True)
 
 
 def write_durable(df: DataFrame, table: str) -> None:
@@ -50,25 +84,33 @@ def refreshed(target: DataFrame, source: DataFrame, column: str, lo: date, hi: d
 
 
 def refresh_partitions(source: DataFrame, table: str, day_column: str, lo: date, hi: date) -> None:
-    """Replace the days [lo, hi] of ``table``, which is partitioned by the date ``day_column``.
+    """Replace the days [lo, hi] of ``table``, partitioned by the date ``day_column`` and maybe more.
 
-    Only partitions of the range are touched. Days the source no longer has are dropped from the
-    catalog; the other days are overwritten partition by partition, so a repeated run gives the
-    same table. The driver handles day names only, one per day of the table.
+    Only partitions of the range are touched; rows without a day stay. Partitions the source no
+    longer has are dropped from the catalog in one statement; the other ones are overwritten, so a
+    repeated run gives the same table. Rows are dealt by day, and Spark splits a day with too many of
+    them, so a day is written in few files. The driver handles partition names only.
     """
     spark = source.sparkSession
-    fresh = source.filter(in_days(source, day_column, lo, hi))
-    present = {row[0] for row in fresh.select(day_column).distinct().toLocalIterator()}
-    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
-        day = date.fromisoformat(row[0].split("=", 1)[1])
-        if lo <= day <= hi and day not in present:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({day_column} = DATE'{day}')")
     columns = spark.table(table).columns
-    # Without the dynamic mode the insert would empty every other partition of the table.
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        fresh.select(*columns).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(mode, before)
+    fresh = source.filter(in_days(source, day_column, lo, hi)).select(*columns)
+    keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    present = {tuple(row) for row in fresh.select(*[F.col(k).cast("string") for k in keys]).distinct().toLocalIterator()}
+    gone = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator():
+        parts = dict(part.split("=", 1) for part in row[0].split("/"))
+        values = {k: None if v == _NULL_PARTITION else unquote(v) for k, v in parts.items()}
+        day = values[day_column]
+        if day is not None and lo <= date.fromisoformat(day) <= hi and tuple(values[k] for k in keys) not in present:
+            gone.append(values)
+    if gone:
+        lists = [", ".join(f"`{k}` = " + ("NULL" if v is None else "'" + v.replace("'", "\\'") + "'") for k, v in values.items()) for values in gone]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({x})' for x in lists)}")
+    if present:
+        # Written to the table's files: only there can the overwrite mode be set for this one write.
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+        spread = fresh.hint("rebalance", *keys)
+        writer = spread.write.format(about["Provider"]).partitionBy(*keys).option("partitionOverwriteMode", "dynamic")
+        writer.mode("overwrite").save(about["Location"])
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)

@@ -26,14 +26,10 @@ _DDL = {
     "styleview": "wkorbid BIGINT, style_id BIGINT, mandant_id INT, partition_date DATE",
 }
 
-SCHEMAS: dict[str, T.StructType] = {}
-
 
 def schema_of(name: str) -> T.StructType:
-    """Schema of an input table (parsed on first use, which needs an active session)."""
-    if name not in SCHEMAS:
-        SCHEMAS[name] = T.StructType.fromDDL(_DDL[name])
-    return SCHEMAS[name]
+    """Schema of an input table; parsing it needs an active session."""
+    return T.StructType.fromDDL(_DDL[name])
 
 
 @dataclass(frozen=True)

@@ -17,7 +17,8 @@ from rollwise.operators import assign_period, duplicate_keys, number_rows, repea
 from rollwise.params import Params, equal_periods, half_year_periods
 from rollwise.plans import datamart, positions, web
 from rollwise.plans.population import segment_detail_sql, segment_sql
-from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, stage, write_durable
+from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, stage, staging, write_durable
+from rollwise.queries import QUERIES
 from rollwise.sources.tables import schema_of
 from tests.random_sources import random_rows, spark_sources
 
@@ -140,8 +141,8 @@ def test_columns_and_numbers(sources):
 
 def test_style_interest_splits_hot_sessions(sources):
     args = (sources.session, sources.session_hist, sources.styleview, sample_params())
-    assert web.style_interest(*args, hot_rows=2).exceptAll(web.style_interest(*args)).isEmpty()
-    assert web.style_interest(*args).exceptAll(web.style_interest(*args, hot_rows=2)).isEmpty()
+    assert web.style_interest(*args, hot_share=0.001).exceptAll(web.style_interest(*args)).isEmpty()
+    assert web.style_interest(*args).exceptAll(web.style_interest(*args, hot_share=0.001)).isEmpty()
 
 
 def test_distinct_orders_need_no_expand(sources):
@@ -160,7 +161,7 @@ def test_distinct_orders_need_no_expand(sources):
 def test_salted_join_equals_join(spark, how):
     left = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k"), "id")
     right = spark.range(60).select((F.col("id") % 30).alias("k"), F.col("id").alias("r"))
-    salted = salted_join(left, right, "k", F.col("id"), how, hot_rows=100, salts=8)
+    salted = salted_join(left, right, "k", F.col("id"), how, hot_share=0.05, salts=8)
     plain = left.join(right, "k", how)
     assert sorted(map(str, salted.select("k", "id", "r").collect())) == sorted(map(str, plain.select("k", "id", "r").collect()))
 
@@ -234,7 +235,19 @@ def test_all_outputs_are_written(spark, sources):
     assert tables["datamart"].count() == datamart.datamart(sources, params).count()
     assert len(tables["datamart_transactions"].columns) == 236
     assert len(tables["datamart_webshop"].columns) == 71
-    assert tables["order_quotes"].count() > 0
+    whole = {
+        "population": QUERIES["population_base"],
+        "order_quotes": QUERIES["order_quotes"],
+        "datamart_transactions": QUERIES["datamart_transactions"],
+        "datamart_webshop": QUERIES["datamart_webshop"],
+        "datamart": QUERIES["datamart_full"],
+    }
+    for name, query in whole.items():
+        want = query(sources, params).drop("rownumber")
+        got = tables[name].select(*want.columns)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+    counts = {r.source: r["keys"] for r in spark.table("outputs.duplicate_keys").collect()}
+    assert counts["permission_hist"] == QUERIES["key_uniqueness"](sources, params).count()
 
 
 def test_refresh_touches_the_range_only(spark):
@@ -252,3 +265,40 @@ def test_refresh_touches_the_range_only(spark):
         refresh_partitions(source, "refreshed_table", "day", lo, hi)
         assert {(r.v, r.day.day) for r in spark.table("refreshed_table").collect()} == expected
         assert spark.table("refreshed_table").count() == len(expected)
+
+
+def test_refresh_with_null_days_and_a_second_partition_column(spark):
+    def rows(value, days):
+        data = [(value, d and date(2001, 1, d), k) for d in days for k in ("a=b", "c")]
+        return spark.createDataFrame(data, "v int, day date, kind string")
+
+    rows(1, [None, *range(1, 8)]).write.partitionBy("day", "kind").format("parquet").saveAsTable("refreshed_by_two")
+    source = rows(2, [None, 3, 5, 9]).filter("NOT (day = DATE'2001-01-05' AND kind = 'c')")
+    untouched = {r[0]: r[1] for r in _files(spark, "refreshed_by_two") if not any(f"day=2001-01-0{d}" in r[0] for d in (3, 4, 5))}
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    expected = {(1, d and date(2001, 1, d), k) for d in (None, 1, 2, 6, 7) for k in ("a=b", "c")}
+    expected |= {(2, date(2001, 1, 3), "a=b"), (2, date(2001, 1, 3), "c"), (2, date(2001, 1, 5), "a=b")}
+    for _ in range(2):
+        refresh_partitions(source, "refreshed_by_two", "day", date(2001, 1, 3), date(2001, 1, 5))
+        assert {tuple(r) for r in spark.table("refreshed_by_two").collect()} == expected
+    after = dict(_files(spark, "refreshed_by_two"))
+    assert all(after[f] == changed for f, changed in untouched.items())
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+
+
+def _files(spark, table):
+    return [tuple(r) for r in spark.table(table).select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()]
+
+
+def test_staging_is_removed_after_use_and_after_errors(spark):
+    from pathlib import Path
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("*"))
+    with staging(spark) as keep:
+        assert keep(spark.range(5), "kept").count() == 5
+        assert set(shared.glob("*")) != before
+    with pytest.raises(ZeroDivisionError), staging(spark) as keep:
+        keep(spark.range(5), "kept")
+        1 / 0
+    assert set(shared.glob("*")) == before

@@ -505,7 +505,7 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
         "star_except": """SELECT p.* EXCLUDE (Age, NK3), o.* EXCLUDE (bpid) FROM people p
             LEFT JOIN profit o ON o.bpid = p.bpid""",
         "segment_row_number": f"""SELECT *, row_number() OVER (
-            PARTITION BY TargetGroupIndexRoll, TargetGroupindexRollOld ORDER BY bpid, accountDate) AS rownumber
+            PARTITION BY TargetGroupIndexRoll, TargetGroupindexRollOld ORDER BY bpid NULLS FIRST, accountDate NULLS FIRST) AS rownumber
             FROM (SELECT bpid, accountDate, TargetGroupIndexRoll, {_ROLLUP} AS TargetGroupindexRollOld FROM people)""",
         "datamart_transactions": "SELECT * FROM transactions",
         "datamart_webshop": "SELECT * FROM webshop",

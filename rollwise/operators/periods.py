@@ -49,6 +49,13 @@ def assign_period(df: DataFrame, column: str, periods: Sequence[Period], reporti
     return placed if _adjacent(periods) else placed.filter(F.col("period").isNotNull())
 
 
+def period_or_null(column: str, periods: Sequence[Period], reporting: str) -> Column:
+    """Name of the period of ``column`` if ``reporting`` lies in its reporting range, else NULL."""
+    names = [f"CASE WHEN {in_days_sql(reporting, p.lo, p.last_reporting_day)} THEN '{p.name}' END" for p in periods]
+    whole = f"{in_days_sql(column, min(p.lo for p in periods), max(p.hi for p in periods))}"
+    return F.expr(f"CASE WHEN {whole} THEN {_by_period_sql(column, periods, names)} END")
+
+
 def period_sums(column: str, periods: Iterable[Period], values: dict[str, str]) -> list[Column]:
     """One conditional sum per period and value, NULL when no row qualifies.
 

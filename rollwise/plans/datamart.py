@@ -26,10 +26,11 @@ from rollwise.plans.positions import (
     ACTIVITY_MASKS,
     LIFETIME_NAMES,
     activity_mask_sql,
-    lifetime_kpis,
+    lifetime_kpis_of,
     mask_long,
     masked_sql,
-    position_kpis_long,
+    order_measures,
+    period_kpis_of,
     with_activity,
     with_breadth,
     with_rates,
@@ -83,21 +84,24 @@ def period_output(k: int) -> list[str]:
     return [f"{name}_S{k}" for name in names]
 
 
-def account_features(positions: DataFrame, params: Params) -> DataFrame:
+def account_features(positions: DataFrame, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
     """All position features, one row per account: half years, breadth, activity masks, lifetime.
 
-    Rates, masks and flags are computed while each half year is a row, that is once per measure
-    instead of once per measure and half year; the age mask may be, because an account is joined
-    to the population by its own opening date.
+    The positions are read and dealt out once; half years and lifetime start from the same staged
+    orders. Rates, masks and flags are computed while each half year is a row, that is once per
+    measure instead of once per measure and half year; the age mask may be, because an account is
+    joined to the population by its own opening date.
     """
+    orders = stage(order_measures(positions, params), "orders")
     measures = [*PERIOD_MEASURES, MATERNITY]
-    long = with_activity(with_breadth(with_rates(position_kpis_long(positions, params))))
+    long = with_activity(with_breadth(with_rates(period_kpis_of(orders))))
     long = mask_long(long.select(*ACCOUNT, "period", *measures, "AnzSorti", *ACTIVITY_MASKS), params, measures)
     wide = period_columns(long, ACCOUNT, params.periods, [*measures, "AnzSorti", *ACTIVITY_MASKS])
     output = [name for k in range(1, len(params.periods) + 1) for name in period_output(k) if name in wide.columns]
     masks = [f"{activity_mask_sql(name)} AS {name}" for name in ACTIVITY_MASKS]
     wide = wide.selectExpr(*ACCOUNT, *output, *BREADTH, *masks)
-    return wide.join(lifetime_kpis(positions, params), list(ACCOUNT), "full")
+    # Whoever has a half year has a lifetime; accounts without a key join nothing later.
+    return lifetime_kpis_of(orders).join(wide, list(ACCOUNT), "left")
 
 
 def breadth_choices(accounts: DataFrame) -> DataFrame:
@@ -204,7 +208,7 @@ def prepare(
     src: Sources, params: Params, stage: Stage = stage_in_shared_folder, people: DataFrame | None = None, web: bool = True
 ) -> Inputs:
     """Stage account and partner features; take the population as given or derive it."""
-    accounts = stage(account_features(src.positions, params), "accounts")
+    accounts = stage(account_features(src.positions, params, stage), "accounts")
     partners = stage(partner_features(src, params, web), "partners")
     return Inputs(src, params, population(src, params) if people is None else people, accounts, partners, stage)
 

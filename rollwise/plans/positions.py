@@ -24,7 +24,7 @@ from rollwise.functions import (
     round_to_long_sql,
 )
 from rollwise.functions.categories import CATEGORIES, MATERNITY_PREFIX
-from rollwise.operators.periods import assign_period, period_columns
+from rollwise.operators.periods import assign_period, period_columns, period_or_null
 from rollwise.params import Params
 from rollwise.plans.population import ACCOUNT
 
@@ -134,13 +134,20 @@ LIFETIME_MEASURES = (
 LIFETIME_NAMES = tuple(m.name for m in LIFETIME_MEASURES)
 
 
-def _two_levels(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+def _per_order(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     prepared = rows.withColumn("prefix", F.substring("promotionpurchasecd", 1, 2))
     prepared = prepared.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
-    per_order = prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{m.per_order()} AS {m.name}") for m in measures])
+    return prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{m.per_order()} AS {m.name}") for m in measures])
+
+
+def _per_account(per_order: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
     return per_order.groupBy(*keys).agg(*[F.expr(f"{m.per_account()} AS {m.name}") for m in measures])
 
 
+def _two_levels(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+    return _per_account(_per_order(rows, keys, measures), keys, measures)
+
+
 def period_positions(positions: DataFrame, params: Params) -> DataFrame:
     """Positions placed in the half year of their order date, if reported within its grace range."""
     return assign_period(positions, "orderdate", params.periods, reporting="reportingdate")
@@ -162,13 +169,40 @@ def position_kpis_wide(
     return period_columns(position_kpis_long(positions, params, names), ACCOUNT, params.periods, names)
 
 
-def lifetime_kpis(positions: DataFrame, params: Params) -> DataFrame:
-    """Lifetime totals of positions ordered and reported since the lifetime start."""
-    rows = positions.filter(
+def lifetime_positions(positions: DataFrame, params: Params) -> DataFrame:
+    """Positions ordered and reported since the lifetime start, which is before the oldest half year."""
+    return positions.filter(
         in_days(positions, "reportingdate", params.lifetime_start, params.as_of)
         & in_days(positions, "orderdate", params.lifetime_start, params.as_of)
     )
-    return _two_levels(rows, ACCOUNT, LIFETIME_MEASURES)
+
+
+def lifetime_kpis(positions: DataFrame, params: Params) -> DataFrame:
+    """Lifetime totals of positions ordered and reported since the lifetime start."""
+    return _two_levels(lifetime_positions(positions, params), ACCOUNT, LIFETIME_MEASURES)
+
+
+def order_measures(positions: DataFrame, params: Params) -> DataFrame:
+    """Half-year and lifetime measures per account, order and half year, in one pass.
+
+    The half year is NULL for positions that count for the lifetime only: those ordered before the
+    oldest half year, and those reported after the grace range of theirs.
+    """
+    rows = lifetime_positions(positions, params).withColumn("period", period_or_null("orderdate", params.periods, "reportingdate"))
+    return _per_order(rows, [*ACCOUNT, "period"], [*MEASURES, *LIFETIME_MEASURES])
+
+
+def period_kpis_of(orders: DataFrame) -> DataFrame:
+    """``position_kpis_long`` from ``order_measures``."""
+    return _per_account(orders.filter("period IS NOT NULL"), [*ACCOUNT, "period"], MEASURES)
+
+
+def lifetime_kpis_of(orders: DataFrame) -> DataFrame:
+    """``lifetime_kpis`` from ``order_measures``; an order counts once whatever its half years."""
+    whole = orders.groupBy(*ACCOUNT, "orderid").agg(
+        *[F.expr(f"{'sum' if m.kind == 'sum' else 'max'}({m.name}) AS {m.name}") for m in LIFETIME_MEASURES]
+    )
+    return _per_account(whole, ACCOUNT, LIFETIME_MEASURES)
 
 
 # NULL as soon as returns or net sales are missing; 1 is reached with net sales of zero.

@@ -139,6 +139,16 @@ def test_columns_and_numbers(sources):
         assert sorted(numbers) == list(range(1, len(numbers) + 1))
 
 
+def test_account_features_read_positions_once(sources):
+    orders = positions.order_measures(sources.positions, sample_params())
+    assert plan_of(orders.groupBy("bpid").count()).split("== Physical Plan ==")[-1].count("Scan") == 1
+    for whole, staged in (
+        (positions.position_kpis_long(sources.positions, sample_params()), positions.period_kpis_of(orders)),
+        (positions.lifetime_kpis(sources.positions, sample_params()), positions.lifetime_kpis_of(orders)),
+    ):
+        assert sorted(map(str, whole.collect())) == sorted(map(str, staged.select(whole.columns).collect()))
+
+
 def test_style_interest_splits_hot_sessions(sources):
     args = (sources.session, sources.session_hist, sources.styleview, sample_params())
     assert web.style_interest(*args, hot_share=0.001).exceptAll(web.style_interest(*args)).isEmpty()

@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,12 +44,6 @@ def _digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def payload_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        payloads = [(x or "").encode() for x in batch.column("html").to_pylist()]
-        yield pa.record_batch([batch.column("page_id"), pa.array([_digest(x) for x in payloads], pa.string()), pa.array([len(x) for x in payloads], pa.int64())], ["page_id", "digest", "bytes"])
-
-
 def _chunked(payload: bytes) -> str:
     """Chunked transfer framing; a chunk ends at a character, so the whole stays text."""
     out, at = [], 0
@@ -86,7 +81,7 @@ def _one_line(text: str | None) -> str:
 
 def _records(page: dict) -> Iterator[str]:
     payload = (page["html"] or "").encode()
-    digest = page["digest"]
+    digest = _digest(payload)
     identifier = f"<urn:page:{page['page_id'] if page['page_id'] is not None else f'null:{digest}'}>"
     common = {"WARC-Target-URI": _one_line(page["url"]), "WARC-Date": _STAMP, "Content-Type": "application/http;msgtype=response"}
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -123,31 +118,22 @@ def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def with_references(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, url, html of ``pages`` and, where an earlier page has an equal payload, earlier (its
-    digest to that page_id); one entry for each payload that goes by the page_id."""
+    """page_id, url, html of ``pages`` and refers_to, the smallest page_id with an equal payload of
+    at least ``least`` bytes where that is not the page itself."""
+    html = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    digests = staged(pages.select("page_id", "html").mapInArrow(payload_digests, "page_id long, digest string, bytes long"), "digests")
-    first = digests.filter(f"bytes >= {least}").groupBy("digest", "bytes").agg(F.min("page_id").alias("refers_to"))
+    digests = staged(pages.select("page_id", F.sha1(html).alias("digest"), F.octet_length(html).alias("bytes")), "digests")
+    first = digests.filter(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.min("page_id").alias("refers_to"))
     later = digests.distinct().join(first, ["digest", "bytes"]).filter("page_id <> refers_to")
+    # A page_id may go with several payloads; each row takes the entry of its own.
     earlier = later.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("digest", "refers_to"))).alias("earlier"))
-    return pages.join(earlier, "page_id", "left")
-
-
-def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The digest of each row, and the reference of that digest."""
-    for batch in batches:
-        digests = [_digest((x or "").encode()) for x in batch.column("html").to_pylist()]
-        refers = [dict(m or ()).get(d) for m, d in zip(batch.column("earlier").to_pylist(), digests)]
-        yield pa.record_batch(
-            [batch.column("page_id"), batch.column("url"), batch.column("html"), pa.array(digests, pa.string()), pa.array(refers, pa.int64())],
-            ["page_id", "url", "html", "digest", "refers_to"],
-        )
+    refers = F.when(F.col("earlier").isNotNull(), F.try_element_at("earlier", F.sha1(html)))
+    return pages.join(earlier, "page_id", "left").select("page_id", "url", "html", refers.alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:
     """Write ``pages`` (page_id, url, html) to WARC files below ``path``."""
-    settled = with_references(pages, least).mapInArrow(_settled, "page_id long, url string, html string, digest string, refers_to long")
-    records = settled.mapInArrow(_write, "value string")
+    records = with_references(pages, least).mapInArrow(_write, "value string")
     records.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", FILE_RECORDS).option("compression", "gzip").text(path)
 
 
@@ -165,29 +151,48 @@ def _walk(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size + 4
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import zlib
+def _record_row(headers: dict[str, str], block: bytes) -> tuple:
+    segment, total = headers.get("WARC-Segment-Number"), headers.get("WARC-Segment-Total-Length")
+    origin = headers.get("WARC-Segment-Origin-ID", headers["WARC-Record-ID"]) if segment else None
+    return (
+        headers["WARC-Record-ID"], headers["WARC-Target-URI"], headers["WARC-Type"], headers.get("WARC-Payload-Digest"), headers.get("WARC-Payload-Length"),
+        headers.get("WARC-Refers-To"), origin, int(segment) if segment else None, int(total) if total else None, block,
+    )
+
+
+def _page_row(record: tuple) -> tuple:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of a whole record, whose
+    payload must have the digest and the length that it states."""
+    identifier, _, kind, digest, length, refers, _, _, _, block = record
+    stated, size = digest.removeprefix("sha1:"), int(length)
+    if kind == "response":
+        payload = unchunked(block[block.index(b"\r\n\r\n") + 4 :])
+        if _digest(payload) != stated or len(payload) != size:
+            raise ValueError(f"payload of {identifier} differs from its digest")
+    page, other = (re.fullmatch(r"<urn:page:(-?\d+)>", x or "") for x in (identifier, refers))
+    return int(page[1]) if page else None, size, stated, kind, int(other[1]) if other else None
 
+
+def _archive_rows(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Records of archives; with ``whole``, those in one piece become page rows at once."""
     for batch in batches:
         for content in batch.column("content"):
-            raw, rows, size = content.as_buffer(), [], 0
-            for headers, block in _walk(zlib.decompress(raw, 31)):
-                kind = headers["WARC-Type"]
-                segment = headers.get("WARC-Segment-Number")
-                origin = headers.get("WARC-Segment-Origin-ID", headers["WARC-Record-ID"]) if segment else None
-                total = headers.get("WARC-Segment-Total-Length")
-                rows.append((
-                    headers["WARC-Record-ID"], headers["WARC-Target-URI"], kind, headers.get("WARC-Payload-Digest"), headers.get("WARC-Payload-Length"),
-                    headers.get("WARC-Refers-To"), origin, int(segment) if segment else None, int(total) if total else None, block,
-                ))
+            rows, size = [], 0
+            for headers, block in _walk(zlib.decompress(content.as_buffer(), 31)):
+                record = _record_row(headers, block)
+                if whole:
+                    record = (*_page_row(record), *[None] * 10) if record[6] is None else (*[None] * 5, *record)
+                rows.append(record)
                 size += len(block)
                 if size > 4 << 20:
-                    yield _rows(rows)
+                    yield _rows(rows, _PAGE_FIELDS + _FIELDS if whole else _FIELDS)
                     rows, size = [], 0
             if rows:
-                yield _rows(rows)
+                yield _rows(rows, _PAGE_FIELDS + _FIELDS if whole else _FIELDS)
 
 
+_PAGE_FIELDS = [("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
+PAGES = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 _FIELDS = [
     ("id", pa.string()), ("url", pa.string()), ("type", pa.string()), ("digest", pa.string()), ("length", pa.string()),
     ("refers", pa.string()), ("origin", pa.string()), ("segment", pa.int64()), ("total", pa.int64()), ("block", pa.binary()),
@@ -195,21 +200,27 @@ _FIELDS = [
 RECORDS = "id string, url string, type string, digest string, length string, refers string, origin string, segment long, total long, block binary"
 
 
-def _rows(rows: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _FIELDS)], [n for n, _ in _FIELDS])
+def _rows(rows: list[tuple], fields: list) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(zip(*rows) if rows else [[]] * len(fields), fields)], [n for n, _ in fields])
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives below ``path``, as ``RECORDS``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("content").mapInArrow(_read, RECORDS)
+    """All records of the archives below ``path``, as ``RECORDS``; segments apart."""
+
+    def task(batches):
+        yield from _archive_rows(batches, False)
 
+    return _archives(spark, path).mapInArrow(task, RECORDS)
 
-def _joined(table: pa.Table) -> pa.Table:
-    """The response record of one origin, whole again."""
+
+def _joined(table: pa.Table) -> list[tuple]:
+    """The response record of one origin, whole again; once for each row that repeats the page."""
     rows = sorted(table.to_pylist(), key=lambda r: r["segment"])
-    # Rows that repeat a page repeat its segments alike.
-    numbers = {}
+    numbers: dict[int, list[dict]] = {}
     for r in rows:
         numbers.setdefault(r["segment"], []).append(r)
     copies = len(numbers.get(1, []))
@@ -221,38 +232,42 @@ def _joined(table: pa.Table) -> pa.Table:
         block = b"".join(r["block"] for r in own)
         if len(block) != own[-1]["total"]:
             raise ValueError(f"{own[0]['id']} has {len(block)} bytes, not {own[-1]['total']}")
-        out.append(own[0] | {"block": block, "segment": None, "total": None, "origin": None})
-    return pa.table({n: pa.array([r[n] for r in out], t) for n, t in _FIELDS})
+        whole = own[0] | {"block": block, "segment": None, "total": None, "origin": None}
+        out.append(tuple(whole[n] for n, _ in _FIELDS))
+    return out
+
+
+def _joined_records(table: pa.Table) -> pa.Table:
+    return pa.Table.from_batches([_rows(_joined(table), _FIELDS)])
+
+
+def _joined_pages(table: pa.Table) -> pa.Table:
+    return pa.Table.from_batches([_rows([_page_row(r) for r in _joined(table)], _PAGE_FIELDS)])
 
 
 def reassembled(records: DataFrame) -> DataFrame:
     """``records`` with the segments of each origin joined; whole records stay where they are."""
-    whole = records.filter("origin IS NULL")
-    return whole.union(records.filter("origin IS NOT NULL").groupBy("origin").applyInArrow(_joined, RECORDS))
+    pieces = records.filter("origin IS NOT NULL").groupBy("origin").applyInArrow(_joined_records, RECORDS)
+    return records.filter("origin IS NULL").union(pieces)
 
 
-def _payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = []
-        for r in batch.to_pylist():
-            stated, length = r["digest"].removeprefix("sha1:"), int(r["length"])
-            if r["type"] == "response":
-                payload = unchunked(r["block"][r["block"].index(b"\r\n\r\n") + 4 :])
-                if _digest(payload) != stated or len(payload) != length:
-                    raise ValueError(f"payload of {r['id']} differs from its digest")
-            page, refers = (re.fullmatch(r"<urn:page:(-?\d+)>", x or "") for x in (r["id"], r["refers"]))
-            rows.append((int(page[1]) if page else None, length, stated, r["type"], int(refers[1]) if refers else None))
-        types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 5, types)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"])
+def page_records(spark: SparkSession, path: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type and refers_to of each page's record.
+
+    One pass over the archives; what is kept of it are page rows, and the blocks of segments.
+    """
 
+    def task(batches):
+        yield from _archive_rows(batches, True)
 
-def page_records(records: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type and refers_to of each page's record."""
-    return reassembled(records).mapInArrow(_payloads, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    rows = staged(_archives(spark, path).mapInArrow(task, f"{PAGES}, {RECORDS}"), "records")
+    names = [n for n, _ in _PAGE_FIELDS]
+    pieces = rows.filter("origin IS NOT NULL").select(*[n for n, _ in _FIELDS])
+    return rows.filter("origin IS NULL").select(*names).union(pieces.groupBy("origin").applyInArrow(_joined_pages, PAGES))
 
 
 def archived(pages: DataFrame) -> DataFrame:
     """Write ``pages`` to archives in the shared folder and read them back."""
     path = new_path(pages.sparkSession, "warc")
     write_archives(pages, path)
-    return page_records(read_records(pages.sparkSession, path))
+    return page_records(pages.sparkSession, path)

@@ -1,39 +1,17 @@
-"""Written intermediates in the folder that driver and executors share.
-
-The folder is the session's ``spark.checkpoint.dir``; where that is unset, a folder beside the
-tables of ``spark.sql.warehouse.dir``, which executors share as well. Each session writes below one
-folder of its own, which Hadoop removes when the driver's JVM ends.
-"""
+"""Written intermediates in the folder that driver and executors share."""
 
 from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
-
-_folders: dict[str, str] = {}
+from pyspark.sql import SparkSession
 
+from rollwise.sources.sinks import session_folder
+from rollwise.sources.sinks import stage as staged
 
-def session_folder(spark: SparkSession) -> str:
-    """This session's own shared folder."""
-    app = spark.sparkContext.applicationId
-    if app not in _folders:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        base = shared or f"{spark.conf.get('spark.sql.warehouse.dir')}/staged"
-        _folders[app] = f"{base.rstrip('/')}/{app}-{uuid4().hex}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(_folders[app])
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return _folders[app]
+__all__ = ["new_path", "staged"]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path of its own in the shared folder."""
+    """A path of its own in the session's shared folder."""
     return f"{session_folder(spark)}/{name}-{uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet and read it back: lineage ends here, so a lost executor costs
-    only the tasks that follow, and several readers share one computation."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

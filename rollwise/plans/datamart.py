@@ -218,7 +218,9 @@ def transactions(inputs: Inputs) -> DataFrame:
     src, params = inputs.src, inputs.params
     # The activity masks are joined from a table with one row per population row.
     people = weighted(inputs.people, 1)
-    rows = split_copies(spine(people, inputs.accounts, src.permission_hist, params))
+    # Staged, so that the join with the wide partner features has an exchange of its own and Spark can
+    # split a partner with very many accounts there.
+    rows = split_copies(inputs.stage(spine(people, inputs.accounts, src.permission_hist, params), "spine"))
     rows = repeat_rows(with_features(rows, inputs.accounts, inputs.partners, params))
     return rows.select(*ACCOUNT, "Age", *transaction_columns(params))
 

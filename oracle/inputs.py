@@ -5,7 +5,7 @@ from __future__ import annotations
 
 
 def _partner(key: str) -> str:
-    return f"CASE WHEN {key} % 1009 IN (57, 45) THEN 0 ELSE {key} + 1 END"
+    return f"CASE WHEN {key} IN (57, 45) THEN 0 ELSE {key} + 1 END"
 
 
 _SESSION = "CASE WHEN event_id % 31 = 0 THEN 0 WHEN event_id % 37 = 0 THEN event_id ELSE event_id + 1 END"
@@ -21,7 +21,7 @@ INPUTS = {
             SELECT *, DATE '1995-01-01' + CAST((c_custkey * 37) % 2400 AS INTEGER) AS opened FROM customer
             UNION ALL
             SELECT *, DATE '1995-01-01' + CAST((c_custkey * 37) % 2400 AS INTEGER) + 200 FROM customer
-            WHERE c_custkey % 19 = 7 AND c_custkey % 97 <> 96
+            WHERE c_custkey % 190 = 7 AND c_custkey % 97 <> 96
         )""",
     "address_overview": """
         SELECT bpid, accountDate FROM customer_overview

@@ -57,16 +57,22 @@ def _ids(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> U64(40)) % U64(buckets)) << U64(40) | hashes & _LOW
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    return np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+def _pack(ids: np.ndarray, width: int = 5) -> bytes:
+    """The low ``width`` bytes of each number."""
+    return np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 5, 8), np.uint8)
-    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+def _unpack(raw: bytes, width: int = 5) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
     return out.view("<u8").ravel().astype(U64)
 
 
+def _width(buckets: int) -> int:
+    """Bytes of a shingle id; common shingles count as a bucket of their own."""
+    return -(-(40 + buckets.bit_length()) // 8)
+
+
 def _summary(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Iterator[pa.RecordBatch]:
     """Misra-Gries summary of a task's shingles: counts fall short by at most their sum / size."""
     ids, counts = np.zeros(0, U64), np.zeros(0, np.int64)
@@ -172,7 +178,7 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _order(table: pa.Table, percent: int) -> pa.Table:
+def _order(table: pa.Table, percent: int, buckets: int) -> pa.Table:
     """Rare-first shared shingles of each text of a block; none where unshared ones fill the prefix."""
     rows = table.to_pylist()
     head = next(r for r in rows if r["kind"] == 0)
@@ -184,7 +190,7 @@ def _order(table: pa.Table, percent: int) -> pa.Table:
         owners.append(np.repeat(np.arange(len(held)), held))
         if r["kind"] == 0:
             rank = np.frombuffer(r["ids"], "<u4").astype(np.int64)
-            ids.append(rank.astype(U64) | U64(1 << 62))
+            ids.append(rank.astype(U64) | U64(buckets << 40))
             ranks.append(rank + _COMMON)
         else:
             m = len(owners[-1])
@@ -196,7 +202,8 @@ def _order(table: pa.Table, percent: int) -> pa.Table:
     shared = np.bincount(owner, minlength=len(n))
     at = np.concatenate(([0], np.cumsum(shared)))
     stays = (n > 0) & (shared >= _need(n, percent))
-    lists = [ids[at[i] : at[i + 1]].astype("<i8").tobytes() if s else None for i, s in enumerate(stays)]
+    width = _width(buckets)
+    lists = [_pack(ids[at[i] : at[i + 1]], width) if s else None for i, s in enumerate(stays)]
     weight = np.bincount(owner, np.log2(np.minimum(rank, 65535)), len(n)) / np.maximum(n, 1)
     return pa.table({
         "doc_id": texts.column("doc_id"), "n": pa.array(n), "alone": pa.array(n - shared), "central": pa.array(weight),
@@ -204,14 +211,14 @@ def _order(table: pa.Table, percent: int) -> pa.Table:
     })
 
 
-def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _postings(batches: Iterator[pa.RecordBatch], percent: int, width: int) -> Iterator[pa.RecordBatch]:
     """The prefix shingles of each text that other texts hold, with their positions."""
     for batch in batches:
         docs, tokens, places, sizes, alones, centrals = [], [], [], [], [], []
         for doc, n, alone, central, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "alone", "central", "shared"))):
             count = int(n - _need(np.int64(n), percent) + 1) - alone
-            ids = np.frombuffer(raw, "<i8")[: max(0, count)]
-            tokens.append(ids)
+            ids = _unpack(raw, width)[: max(0, count)]
+            tokens.append(ids.view(np.int64))
             places.append(np.arange(len(ids)) + alone)
             for to, x in ((docs, doc), (sizes, n), (alones, alone), (centrals, central)):
                 to.append(np.full(len(ids), x))
@@ -219,22 +226,22 @@ def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Re
             yield pa.record_batch([pa.array(np.concatenate(x)) for x in (tokens, docs, sizes, places, alones, centrals)], ["token", "doc", "n", "place", "alone", "central"])
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [np.bincount(np.frombuffer(raw, "<i8") % CLASSES, minlength=CLASSES).tolist() for raw in batch.column("shared").to_pylist()]
+        rows = [np.bincount((_unpack(raw, width) % U64(CLASSES)).astype(np.int64), minlength=CLASSES).tolist() for raw in batch.column("shared").to_pylist()]
         yield pa.record_batch([batch.column("doc"), batch.column("n"), pa.array(rows, pa.list_(pa.int32()))], ["doc", "n", "signature"])
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _overlaps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [
-            len(np.intersect1d(np.frombuffer(x, "<i8"), np.frombuffer(y, "<i8"), assume_unique=True))
+            len(np.intersect1d(_unpack(x, width), _unpack(y, width), assume_unique=True))
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
         ]
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), batch.column("na"), batch.column("nb")], ["a", "b", "both", "na", "nb"])
 
 
-def _block_links(table: pa.Table, percent: int) -> pa.Table:
+def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
     """Links between texts of different components in a block, as many as join components.
 
     Where two cuts meet, pairs within one cut are left to the task of that cut.
@@ -250,7 +257,7 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
         return x
 
     component = table.column("component").to_pylist()
-    lists = [np.frombuffer(raw.as_buffer(), "<i8") for raw in table.column("shared")]
+    lists = [_unpack(raw, width) for raw in table.column("shared").to_pylist()]
     sizes = np.array([len(x) for x in lists])
     _, token = np.unique(np.concatenate(lists), return_inverse=True)
     held = np.argsort(token, kind="stable")
@@ -291,7 +298,7 @@ def _possible(percent: int) -> F.Column:
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent: int, width: int) -> DataFrame:
     """(a, b) of ``pairs`` whose similarity suffices; every pair is looked at once."""
     sa = signatures.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     sb = signatures.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
@@ -299,7 +306,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent
     left = pairs.join(sa, "a").join(sb, "b").filter(most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent).select("a", "b", "na", "nb")
     xs = texts.select(F.col("doc").alias("a"), F.col("shared").alias("x"))
     ys = texts.select(F.col("doc").alias("b"), F.col("shared").alias("y"))
-    counted = left.join(xs, "a").join(ys, "b").mapInArrow(_overlaps, "a long, b long, both long, na long, nb long")
+
+    def overlaps(batches):
+        yield from _overlaps(batches, width)
+
+    counted = left.join(xs, "a").join(ys, "b").mapInArrow(overlaps, "a long, b long, both long, na long, nb long")
     return counted.filter(f"both * 100 >= {percent} * (na + nb - both)").select("a", "b")
 
 
@@ -316,6 +327,7 @@ def jaccard_join(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(max(16, -(-volume // bucket_bytes)), (1 << 22) - 1))
+    width = _width(buckets)
     common = common_shingles(docs, buckets, summary)
     shared_common = spark.sparkContext.broadcast(common)
 
@@ -323,10 +335,13 @@ def jaccard_join(
         yield from _blocks(batches, buckets, shared_common.value)
 
     def order(table):
-        return _order(table, percent)
+        return _order(table, percent, buckets)
 
     def prefix(batches):
-        yield from _postings(batches, percent)
+        yield from _postings(batches, percent, width)
+
+    def signature(batches):
+        yield from _signatures(batches, width)
 
     counted = docs.mapInArrow(blocks, _ROWS).groupBy("bucket").applyInArrow(_count, _ROWS)
     ordered = staged(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, central double, key binary, shared binary"), "rare-first")
@@ -338,7 +353,7 @@ def jaccard_join(
         "representatives",
     )
     postings = staged(texts.mapInArrow(prefix, "token long, doc long, n long, place long, alone long, central double"), "postings")
-    signatures = texts.mapInArrow(_signatures, "doc long, n long, signature array<int>")
+    signatures = texts.mapInArrow(signature, "doc long, n long, signature array<int>")
 
     rank = F.struct((-F.col("central")).alias("r"), F.col("doc"), F.col("n"), F.col("place"), F.col("alone"))
     lists = staged(postings.groupBy("token").agg(F.min(rank).alias("m"), F.max("doc").alias("top"), F.min("doc").alias("low")).filter("top <> low"), "lists")
@@ -347,7 +362,7 @@ def jaccard_join(
         .select(F.col("doc").alias("x"), F.col("m.doc").alias("y"), F.col("n").alias("nx"), F.col("m.n").alias("ny"), F.col("place").alias("px"), F.col("m.place").alias("py"), F.col("alone").alias("ax"), F.col("m.alone").alias("ay"))
     )
     pairs = staged(_pairs(near, percent), "central-pairs")
-    links = staged(_verified(pairs, texts, signatures, percent), "central-links")
+    links = staged(_verified(pairs, texts, signatures, percent, width), "central-links")
     labels = staged(connected_components(links), "central-components")
 
     label = F.coalesce("component", "doc")
@@ -363,12 +378,15 @@ def jaccard_join(
     cuts = cuts.withColumn("i", F.least("cut", "other")).withColumn("j", F.greatest("cut", "other"))
 
     def block_links(table):
-        return _block_links(table, percent)
+        return _block_links(table, percent, width)
 
-    more = cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long")
-    links = staged(links.union(more), "links")
+    more = staged(cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long"), "block-links")
+    components = labels
+    if not more.isEmpty():
+        # Each text points at its component already, so few rounds are left.
+        components = staged(connected_components(labels.toDF("a", "b").union(more)), "components")
+    links = links.union(more)
 
-    components = staged(connected_components(links), "components")
     of_text = first.join(components.withColumnRenamed("node", "doc"), "doc", "left").select("key", label.alias("component_id"))
     whole = ordered.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("shared").isNotNull() & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
     result = whole.join(of_text, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

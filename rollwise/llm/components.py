@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollwise.llm.staging import staged
+from rollwise.sources.sinks import Stage
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, stage: Stage = staged) -> DataFrame:
     """(node, component) for every node of ``edges`` (a long, b long): the smallest node reached.
 
     Alternates the large-star and small-star steps until a round changes nothing: every node points
@@ -16,7 +17,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     logarithm of the longest path. Edges never outnumber those of the input by more than the nodes.
     Nulls and loops are ignored; no edges give no rows.
     """
-    links = staged(
+    links = stage(
         edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
     )
@@ -25,10 +26,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = links.union(links.select("b", "a")).toDF("a", "b")
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = staged(large.filter("a <> b").distinct(), "large-star")
+        large = stage(large.filter("a <> b").distinct(), "large-star")
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lowest, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        links = staged(small.filter("a <> b").distinct(), "small-star")
+        links = stage(small.filter("a <> b").distinct(), "small-star")
         before, mark = mark, _mark(links)
         if mark == before:
             break

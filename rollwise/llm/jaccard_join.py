@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from rollwise.llm.components import connected_components
 from rollwise.llm.staging import staged
 from rollwise.llm.words import U64, parts, sequence_key, shingle_set, word_hashes
+from rollwise.sources.sinks import Stage
 
 PERCENT = 75
 #: Bytes of text whose shingles meet in one bucket.
@@ -93,14 +94,14 @@ def _summary(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Iter
     yield pa.record_batch({"id": pa.array(np.append(ids.view(np.int64), -1)), "n": pa.array(np.append(counts, total))})
 
 
-def common_shingles(docs: DataFrame, buckets: int, size: int = SUMMARY) -> np.ndarray:
+def common_shingles(docs: DataFrame, buckets: int, size: int = SUMMARY, stage: Stage = staged) -> np.ndarray:
     """Shingles held by a share of at least 2 / size of all (text, shingle) pairs; sorted by
     (count, id). Never more than ``size`` of them, whatever the input."""
 
     def task(batches):
         yield from _summary(batches, buckets, size)
 
-    sums = staged(docs.select("text").mapInArrow(task, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "summary")
+    sums = stage(docs.select("text").mapInArrow(task, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "summary")
     total = sums.filter("id = -1").agg(F.max("n")).first()[0] or 0
     # Counts fall short by total / size at most; what stays has at least total / size, so it is bounded.
     rows = sums.filter((F.col("id") != -1) & (F.col("n") > max(2, total / size))).orderBy("n", "id").collect()
@@ -315,20 +316,25 @@ def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent
 
 
 def jaccard_join(
-    docs: DataFrame, percent: int = PERCENT, bucket_bytes: int = BUCKET_BYTES, summary: int = SUMMARY, block_shingles: int = BLOCK_SHINGLES
+    docs: DataFrame,
+    percent: int = PERCENT,
+    bucket_bytes: int = BUCKET_BYTES,
+    summary: int = SUMMARY,
+    block_shingles: int = BLOCK_SHINGLES,
+    stage: Stage = staged,
 ) -> tuple[DataFrame, DataFrame]:
     """Texts of ``docs`` (doc_id long, text string) and the links that join them.
 
     First result, one row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id
     reached by links, itself included). Second: verified links (a, b) between the smallest doc_ids
-    of two different texts, enough to connect every component.
+    of two different texts, enough to connect every component. Both read what ``stage`` has written.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(max(16, -(-volume // bucket_bytes)), (1 << 22) - 1))
     width = _width(buckets)
-    common = common_shingles(docs, buckets, summary)
+    common = common_shingles(docs, buckets, summary, stage)
     shared_common = spark.sparkContext.broadcast(common)
 
     def blocks(batches):
@@ -344,32 +350,32 @@ def jaccard_join(
         yield from _signatures(batches, width)
 
     counted = docs.mapInArrow(blocks, _ROWS).groupBy("bucket").applyInArrow(_count, _ROWS)
-    ordered = staged(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, central double, key binary, shared binary"), "rare-first")
+    ordered = stage(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, central double, key binary, shared binary"), "rare-first")
 
     alive = ordered.filter("shared IS NOT NULL AND doc_id IS NOT NULL")
-    first = staged(alive.groupBy("key").agg(F.min("doc_id").alias("doc")), "texts")
-    texts = staged(
+    first = stage(alive.groupBy("key").agg(F.min("doc_id").alias("doc")), "texts")
+    texts = stage(
         alive.select(F.col("doc_id").alias("doc"), "key", "n", "alone", "central", "shared").join(first, ["doc", "key"], "left_semi").drop("key"),
         "representatives",
     )
-    postings = staged(texts.mapInArrow(prefix, "token long, doc long, n long, place long, alone long, central double"), "postings")
+    postings = stage(texts.mapInArrow(prefix, "token long, doc long, n long, place long, alone long, central double"), "postings")
     signatures = texts.mapInArrow(signature, "doc long, n long, signature array<int>")
 
     rank = F.struct((-F.col("central")).alias("r"), F.col("doc"), F.col("n"), F.col("place"), F.col("alone"))
-    lists = staged(postings.groupBy("token").agg(F.min(rank).alias("m"), F.max("doc").alias("top"), F.min("doc").alias("low")).filter("top <> low"), "lists")
+    lists = stage(postings.groupBy("token").agg(F.min(rank).alias("m"), F.max("doc").alias("top"), F.min("doc").alias("low")).filter("top <> low"), "lists")
     near = (
         postings.join(lists, "token")
         .select(F.col("doc").alias("x"), F.col("m.doc").alias("y"), F.col("n").alias("nx"), F.col("m.n").alias("ny"), F.col("place").alias("px"), F.col("m.place").alias("py"), F.col("alone").alias("ax"), F.col("m.alone").alias("ay"))
     )
-    pairs = staged(_pairs(near, percent), "central-pairs")
-    links = staged(_verified(pairs, texts, signatures, percent, width), "central-links")
-    labels = staged(connected_components(links), "central-components")
+    pairs = stage(_pairs(near, percent), "central-pairs")
+    links = stage(_verified(pairs, texts, signatures, percent, width), "central-links")
+    labels = stage(connected_components(links, stage), "central-components")
 
     label = F.coalesce("component", "doc")
     tagged = postings.join(labels.withColumnRenamed("node", "doc"), "doc", "left").select("token", "doc", label.alias("component"))
-    mixed = staged(tagged.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token"), "mixed")
+    mixed = stage(tagged.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("token"), "mixed")
     spokes = postings.join(mixed, "token").join(lists, "token").select(F.col("doc").alias("a"), F.col("m.doc").alias("b"))
-    blocks_of = staged(connected_components(spokes), "blocks")
+    blocks_of = stage(connected_components(spokes, stage), "blocks")
     members = texts.join(blocks_of.withColumnRenamed("node", "doc").withColumnRenamed("component", "block"), "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     members = members.select("block", "doc", "n", label.alias("component"), "shared")
     size = blocks_of.join(texts.select(F.col("doc").alias("node"), "n"), "node").groupBy(F.col("component").alias("block")).agg(F.ceil(F.sum("n") / block_shingles).alias("cuts"))
@@ -380,11 +386,11 @@ def jaccard_join(
     def block_links(table):
         return _block_links(table, percent, width)
 
-    more = staged(cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long"), "block-links")
+    more = stage(cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long"), "block-links")
     components = labels
     if not more.isEmpty():
         # Each text points at its component already, so few rounds are left.
-        components = staged(connected_components(labels.toDF("a", "b").union(more)), "components")
+        components = stage(connected_components(labels.toDF("a", "b").union(more), stage), "components")
     links = links.union(more)
 
     of_text = first.join(components.withColumnRenamed("node", "doc"), "doc", "left").select("key", label.alias("component_id"))

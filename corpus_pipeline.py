@@ -22,6 +22,7 @@ from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import UNKNOWN, held_out, identify, learn
 from rollwise.llm.mixture import mixed
 from rollwise.llm.staging import staged
+from rollwise.sources.sinks import staging
 
 SHARDS = 40
 
@@ -37,8 +38,10 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group."""
-    groups, _ = jaccard_join(docs)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    with staging(spark) as stage:
+        groups, _ = jaccard_join(docs, stage=stage)
+        # Only these doc_ids are kept of what the join has written.
+        gone = staged(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -18,6 +18,9 @@ sets is at least ``percent`` / 100. Steps, each a Spark job over written interme
    joins two. Texts that such lists connect form a block, or several of about ``BLOCK_SHINGLES`` that
    meet pairwise; a task counts the overlaps of its block and returns the links that join
    components. So pairs of one group never become rows, and no component misses a link.
+7. *All links*, only where they are read. A link lies within a component, so each component is cut
+   as the blocks are and all its pairs are compared exactly. ``jaccard_join`` returns them as pairs;
+   ``link_counts`` counts them for each text, which makes no pair a row.
 
 Defined cases: null or blank texts have an empty set and no link; texts under five words have their
 whole sequence as one shingle; rows with equal word sequences are one text; rows that repeat a
@@ -27,6 +30,7 @@ doc_id are one document; rows without doc_id are returned with a null component
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +52,8 @@ SUMMARY = 1 << 15
 CLASSES = 32
 #: Shared shingles of the texts that one task compares with each other.
 BLOCK_SHINGLES = 2 << 20
+#: Links in one Arrow batch, about; a text's links stay together.
+LINKS = 1 << 20
 
 _LOW = U64((1 << 40) - 1)
 _COMMON = 1 << 24
@@ -242,22 +248,13 @@ def _overlaps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), batch.column("na"), batch.column("nb")], ["a", "b", "both", "na", "nb"])
 
 
-def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
-    """Links between texts of different components in a block, as many as join components.
+def _near(table: pa.Table, percent: int, width: int, skip: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, all others near it) by row number, for each text of a block that is not in component ``skip``.
 
     Where two cuts meet, pairs within one cut are left to the task of that cut.
     """
-    doc, n, cut = (np.asarray(table.column(c)) for c in ("doc", "n", "cut"))
+    n, cut, component = (np.asarray(table.column(c)) for c in ("n", "cut", "component"))
     apart = len(np.unique(cut)) > 1 or table.column("i")[0] != table.column("j")[0]
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (up := parent.setdefault(x, x)) != x:
-            parent[x] = parent.setdefault(up, up)
-            x = up
-        return x
-
-    component = table.column("component").to_pylist()
     lists = [_unpack(raw, width) for raw in table.column("shared").to_pylist()]
     sizes = np.array([len(x) for x in lists])
     _, token = np.unique(np.concatenate(lists), return_inverse=True)
@@ -266,26 +263,82 @@ def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
     count = np.bincount(token)
     first = np.cumsum(count) - count
     at = np.cumsum(sizes) - sizes
-    largest = max(set(component), key=component.count)
-    links = []
     for x in range(len(lists)):
-        # A pair of the largest component needs no look, any other has a member outside it.
-        if component[x] == largest:
+        if component[x] == skip:
             continue
         own = token[at[x] : at[x] + sizes[x]]
         length = count[own]
         places = np.repeat(first[own] - (np.cumsum(length) - length), length) + np.arange(length.sum())
         both = np.bincount(owner[places], minlength=len(lists))
         close = np.flatnonzero(100 * both >= percent * (n[x] + n - both))
+        yield x, close[(close != x) & ((cut[close] != cut[x]) | (not apart))]
+
+
+def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
+    """Links between texts of different components in a block, as many as join components."""
+    doc = np.asarray(table.column("doc"))
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent.setdefault(up, up)
+            x = up
+        return x
+
+    component = table.column("component").to_pylist()
+    # A pair of the largest component needs no look, any other has a member outside it.
+    largest = max(set(component), key=component.count)
+    links = []
+    for x, close in _near(table, percent, width, largest):
         for y in close:
-            if y == x or apart and cut[x] == cut[y]:
-                continue
             if (rx := root(component[x])) != (ry := root(component[int(y)])):
                 parent[max(rx, ry)] = min(rx, ry)
                 links.append((max(doc[x], doc[y]), min(doc[x], doc[y])))
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
+def _partners(table: pa.Table, percent: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(doc, the other docs near it) for each doc of a block; rows that repeat a doc are one."""
+    table = table.sort_by("doc")
+    doc = np.asarray(table.column("doc"))
+    near: list[np.ndarray] = []
+    for x, close in _near(table, percent, width):
+        near.append(doc[close])
+        if x + 1 == len(doc) or doc[x + 1] != doc[x]:
+            others = np.unique(np.concatenate(near))
+            yield doc[x], others[others != doc[x]]
+            near = []
+
+
+def _all_links(table: pa.Table, percent: int, width: int) -> Iterator[pa.RecordBatch]:
+    """Every link of a block, once."""
+    none = np.zeros(0, np.int64)
+    a, b, held = [none], [none], 0
+    for doc, others in _partners(table, percent, width):
+        lower = others[others < doc]
+        a.append(np.full(len(lower), doc))
+        b.append(lower)
+        held += len(lower)
+        if held >= LINKS:
+            yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+            a, b, held = [none], [none], 0
+    yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+
+def _block_counts(table: pa.Table, percent: int, width: int) -> pa.Table:
+    """How many docs of a block are near each of its docs."""
+    found = [(doc, len(others)) for doc, others in _partners(table, percent, width)]
+    return pa.table({"doc": pa.array([d for d, _ in found], pa.int64()), "n_links": pa.array([n for _, n in found], pa.int64())})
+
+
+def _cut(members: DataFrame, sizes: DataFrame, block_shingles: int) -> DataFrame:
+    """``members`` of blocks of the ``sizes`` (block, n), once for each pair of cuts (i, j) they meet in."""
+    size = sizes.groupBy("block").agg(F.ceil(F.sum("n") / block_shingles).alias("cuts"))
+    cut = F.pmod(F.xxhash64("doc"), F.col("cuts"))
+    cuts = members.join(size, "block").withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
+    return cuts.withColumn("i", F.least("cut", "other")).withColumn("j", F.greatest("cut", "other"))
+
+
 def _possible(percent: int) -> F.Column:
     """Length and positional filter on postings x and y of one shingle.
 
@@ -315,6 +368,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent
     return counted.filter(f"both * 100 >= {percent} * (na + nb - both)").select("a", "b")
 
 
+@dataclass
+class Join:
+    """Results over what the stage has written; ``links`` and ``counts`` are computed when read."""
+
+    #: doc_id, n_shingles, component_id, and doc: the smallest doc_id of the same text.
+    rows: DataFrame
+    #: (a, b) of every link.
+    links: DataFrame
+    #: (doc, n_links) of every text that has a link.
+    counts: DataFrame
+
+
 def jaccard_join(
     docs: DataFrame,
     percent: int = PERCENT,
@@ -326,9 +391,29 @@ def jaccard_join(
     """Texts of ``docs`` (doc_id long, text string) and the links that join them.
 
     First result, one row per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id
-    reached by links, itself included). Second: verified links (a, b) between the smallest doc_ids
-    of two different texts, enough to connect every component. Both read what ``stage`` has written.
+    reached by links, itself included). Second: all links (a, b), a > b, between the smallest doc_ids
+    of two different texts; a group of n texts may have n * (n - 1) / 2 of them, which are computed
+    when the frame is read. Both read what ``stage`` has written.
     """
+    join = joined(docs, percent, bucket_bytes, summary, block_shingles, stage)
+    return join.rows.drop("doc"), join.links
+
+
+def link_counts(
+    docs: DataFrame,
+    percent: int = PERCENT,
+    bucket_bytes: int = BUCKET_BYTES,
+    summary: int = SUMMARY,
+    block_shingles: int = BLOCK_SHINGLES,
+    stage: Stage = staged,
+) -> DataFrame:
+    """doc_id and n_links of each row of ``docs``: how many different texts its text links to."""
+    join = joined(docs, percent, bucket_bytes, summary, block_shingles, stage)
+    return join.rows.join(join.counts, "doc", "left").select("doc_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+
+
+def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block_shingles: int, stage: Stage) -> Join:
+    """The join of ``docs``, see ``jaccard_join`` and ``link_counts``."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -378,10 +463,8 @@ def jaccard_join(
     blocks_of = stage(connected_components(spokes, stage), "blocks")
     members = texts.join(blocks_of.withColumnRenamed("node", "doc").withColumnRenamed("component", "block"), "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     members = members.select("block", "doc", "n", label.alias("component"), "shared")
-    size = blocks_of.join(texts.select(F.col("doc").alias("node"), "n"), "node").groupBy(F.col("component").alias("block")).agg(F.ceil(F.sum("n") / block_shingles).alias("cuts"))
-    cut = F.pmod(F.xxhash64("doc"), F.col("cuts"))
-    cuts = members.join(size, "block").withColumn("cut", cut).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)))
-    cuts = cuts.withColumn("i", F.least("cut", "other")).withColumn("j", F.greatest("cut", "other"))
+    sizes = blocks_of.join(texts.select(F.col("doc").alias("node"), "n"), "node").select(F.col("component").alias("block"), "n")
+    cuts = _cut(members, sizes, block_shingles)
 
     def block_links(table):
         return _block_links(table, percent, width)
@@ -391,12 +474,23 @@ def jaccard_join(
     if not more.isEmpty():
         # Each text points at its component already, so few rounds are left.
         components = stage(connected_components(labels.toDF("a", "b").union(more), stage), "components")
-    links = links.union(more)
 
-    of_text = first.join(components.withColumnRenamed("node", "doc"), "doc", "left").select("key", label.alias("component_id"))
-    whole = ordered.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("shared").isNotNull() & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
-    result = whole.join(of_text, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    return result, links
+    def all_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _all_links(pa.Table.from_batches(batches), percent, width)
+
+    def counts(table):
+        return _block_counts(table, percent, width)
+
+    groups = components.withColumnRenamed("node", "doc").withColumn("block", F.col("component"))
+    members = texts.select("doc", "n", "shared").distinct().join(groups, "doc")
+    whole = _cut(members, members.select("block", "n"), block_shingles).groupBy("block", "i", "j")
+    links = whole.applyInArrow(all_links, "a long, b long")
+    n_links = whole.applyInArrow(counts, "doc long, n_links long").groupBy("doc").agg(F.sum("n_links").alias("n_links"))
+
+    of_text = first.join(components.withColumnRenamed("node", "doc"), "doc", "left").select("key", "doc", label.alias("component_id"))
+    rows = ordered.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("shared").isNotNull() & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
+    rows = rows.join(of_text, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), "doc")
+    return Join(rows, links, n_links)
 
 
 def _pairs(near: DataFrame, percent: int) -> DataFrame:

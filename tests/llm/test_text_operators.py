@@ -14,7 +14,7 @@ from plain import components, shingles, without_repeats, words
 from rollwise.llm.components import connected_components
 from rollwise.llm.containment import contained_items, decontaminated
 from rollwise.llm.grace import ContentTable, exact_dedup, grace_merge
-from rollwise.llm.jaccard_join import jaccard_join
+from rollwise.llm.jaccard_join import jaccard_join, link_counts
 from rollwise.llm.lempel_ziv import substring_dedup
 from rollwise.llm.words import ngrams, sequence_key, word_hashes
 
@@ -104,6 +104,30 @@ def test_jaccard_join_of_one_wide_group(spark):
     assert {r.doc_id: r.component_id for r in result.collect()} == components(texts)
 
 
+@pytest.mark.parametrize("options", [{}, {"block_shingles": 300}])
+def test_jaccard_join_returns_every_link(spark, options):
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(150)]
+    texts = dict(enumerate(corpus(3)))
+    for doc in range(1000, 1040):
+        copy = list(base)
+        for at in rng.sample(range(150), rng.randint(0, 6)):
+            copy[at] = rng.choice([f"x{doc}", "shared"])
+        texts[doc] = " ".join(copy)
+    first = {}
+    for doc in sorted(texts):
+        first.setdefault(tuple(words(texts[doc])), doc)
+    sets = {doc: shingles(texts[doc]) for doc in first.values()}
+    want = {(a, b) for a in sets for b in sets if a > b and sets[a] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    given = frame(spark, [*texts.items(), (None, texts[1000]), (1001, texts[1001])])
+    found = [tuple(r) for r in jaccard_join(given, **options)[1].collect()]
+    assert len(found) == len(set(found)) and set(found) == want
+    assert len(want) > 2 * len(set(sum(want, ())))
+    count = {doc: sum(first[tuple(words(t))] in pair for pair in want) for doc, t in texts.items()}
+    got = sorted(((r.doc_id, r.n_links) for r in link_counts(given, **options).collect()), key=str)
+    assert got == sorted([*count.items(), (None, 0), (1001, count[1001])], key=str)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_substring_dedup(spark, seed):
     rng = random.Random(seed)

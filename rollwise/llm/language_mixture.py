@@ -3,7 +3,9 @@
 Each language is a distribution over hashed byte trigrams of lower-cased letters, learned from all
 labelled texts. A document is a mixture: expectation-maximisation estimates its proportions, and the
 set of languages is the one of the k largest proportions, k chosen by likelihood less
-``penalty`` * log(trigrams) for each language beyond the first. The documents of an Arrow slice go
+``penalty`` * log(trigrams) for each language beyond the first, up to all learned languages. A larger
+k is not tried only where it cannot win: the likelihood is concave, so its gradient bounds what any
+mixture reaches. The documents of an Arrow slice go
 through the rounds together; memory follows the slice, not the table.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, as is everything when
@@ -30,7 +32,6 @@ from rollwise.llm.words import U64, parts, utf8
 CLASSES = 1 << 15
 SMOOTHING = 0.5
 PENALTY = 2.0
-MOST_LANGUAGES = 3
 ROUNDS = 12
 UNKNOWN = "und"
 
@@ -105,7 +106,7 @@ def _fit(p: np.ndarray, count: np.ndarray, doc: np.ndarray, start: np.ndarray, t
     return share, np.add.reduceat(count * np.log((p * share[doc]).sum(1)), start)
 
 
-def mixture(texts: pa.Array, model: Model, penalty: float = PENALTY, most: int = MOST_LANGUAGES) -> np.ndarray:
+def mixture(texts: pa.Array, model: Model, penalty: float = PENALTY) -> np.ndarray:
     """Share of each language in each text, 0 outside the chosen set; all 0 without a trigram."""
     classes, count, owner, total = _trigrams(texts, len(model.probability))
     languages = len(model.languages)
@@ -117,15 +118,26 @@ def mixture(texts: pa.Array, model: Model, penalty: float = PENALTY, most: int =
     doc = np.cumsum(np.diff(owner, prepend=owner[0]) > 0)
     p, count, total = model.probability[classes], count.astype(np.float32), total[full].astype(np.float32)
     share = np.full((len(full), languages), 1 / languages, np.float32)
-    share, _ = _fit(p, count, doc, start, total, share, ROUNDS)
+    share, value = _fit(p, count, doc, start, total, share, ROUNDS)
+    gradient = np.add.reduceat(p * (count / (p * share[doc]).sum(1))[:, None], start) / total[:, None]
+    # No mixture is likelier than this; the last term is for the rounding of single precision.
+    bound = value + total * (gradient.max(1) - 1) + 1e-5 * np.abs(value)
     rank = np.argsort(np.argsort(-share, axis=1, kind="stable"), axis=1)
     best, chosen = np.full(len(full), -np.inf), np.zeros_like(share)
-    for k in range(1, min(most, languages) + 1):
-        inside = np.where(rank < k, np.maximum(share, 1e-6), 0).astype(np.float32)
-        fitted, value = _fit(p, count, doc, start, total, inside / inside.sum(1, keepdims=True), 0 if k == 1 else ROUNDS)
-        value = value - penalty * (k - 1) * np.log(total)
-        better = value > best
-        best[better], chosen[better] = value[better], fitted[better]
+    left = np.arange(len(full))
+    for k in range(1, languages + 1):
+        open_ = bound[left] - penalty * (k - 1) * np.log(total[left]) > best[left]
+        if not open_.any():
+            break
+        if not open_.all():
+            left, entries = left[open_], open_[doc]
+            p, count, doc = p[entries], count[entries], (np.cumsum(open_) - 1)[doc[entries]]
+            start = np.flatnonzero(np.diff(doc, prepend=-1))
+        inside = np.where(rank[left] < k, np.maximum(share[left], 1e-6), 0).astype(np.float32)
+        fitted, value = _fit(p, count, doc, start, total[left], inside / inside.sum(1, keepdims=True), 0 if k == 1 else ROUNDS)
+        value = value - penalty * (k - 1) * np.log(total[left])
+        better = value > best[left]
+        best[left[better]], chosen[left[better]] = value[better], fitted[better]
     shares[full] = chosen
     return shares
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rollwise.llm import chat, warc
 from rollwise.llm.interleave import interleaved_shards
-from rollwise.llm.language_mixture import Model, identify, learn, learn_and_identify, mixture
+from rollwise.llm.language_mixture import CLASSES, Model, _trigrams, identify, learn, learn_and_identify, mixture
 from rollwise.llm.mixture import mixed, source_targets, word_count
 from rollwise.llm.wrappers import align, article_path, extract, extract_text, infer_wrappers, parse, wrapper
 
@@ -120,6 +120,28 @@ def test_languages(spark):
     assert learn_and_identify(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spoken", [4, 5, 7])
+def test_mixture_of_many_languages(spoken):
+    import numpy as np
+
+    rng = random.Random(spoken)
+    letters = {lang: "".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 8)) for lang in "ABCDEFGH"}
+    speak = lambda lang, n: " ".join("".join(rng.choices(letters[lang], k=rng.randint(2, 7))) for _ in range(n))
+    languages = sorted(letters)
+    counts = np.zeros((CLASSES, len(languages)))
+    for i, lang in enumerate(languages):
+        classes, count, _, _ = _trigrams(pa.array([speak(lang, 20_000)]), CLASSES)
+        counts[classes, i] = count
+    model = Model(languages, ((counts + 0.5) / (counts.sum(0) + 0.5 * CLASSES)).astype(np.float32))
+    texts = [" ".join(speak(lang, 300) for lang in languages[:spoken]), speak("A", 300), speak("B", 3), " ".join(speak(lang, 300) for lang in languages[-spoken:])]
+    shares = mixture(pa.array(texts), model)
+    assert (shares[0] > 0).tolist() == [i < spoken for i in range(8)]
+    assert (shares[3] > 0).tolist() == [i >= 8 - spoken for i in range(8)]
+    assert shares[[0, 3]].max() == pytest.approx(1 / spoken, abs=0.05)
+    assert (shares[1] > 0).tolist() == [i == 0 for i in range(8)] and shares[2].argmax() == 1
+    assert shares.sum(1) == pytest.approx(np.ones(4), abs=1e-3)
+
+
 def mixture_table():
     import numpy as np
 

@@ -11,6 +11,11 @@ The wrapper tells where a host's pages have their article: in ``article`` or ``m
 else in the deepest element that holds most of the slot text outside menus, headers, footers and
 other boilerplate. The page's own tree is then read there, block by block.
 
+A class word of boilerplate or a form is overruled, page by page, where the element holds an
+``article`` or ``main`` of more text than lies outside boilerplate, or nearly all text of the page.
+Comments, related links and consent boxes are never overruled, nor are elements skipped by their tag
+or role.
+
 Defined cases: null html is empty and gives an empty text; a null url is a host of its own; pages
 whose tree lacks the host's place are read by the rule for a single page; end tags without a start
 and elements left open are tolerated; repeated rows are read each; an empty table gives no rows;
@@ -53,6 +58,11 @@ BOILERPLATE = re.compile(
     re.I,
 )
 
+#: Class words of what readers add or what leads elsewhere; no amount of text makes it the article.
+NEVER_ARTICLE = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|replies|respond|related|recommend\w*|cookies?|consent|gdpr)(?:$|[\s_-])", re.I)
+#: Share of a page's text that makes a boilerplate class or a form a layout container.
+LAYOUT = 0.9
+
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
@@ -74,6 +84,9 @@ def parse(html: str) -> Node:
     """The tree of a page."""
     root = Node("", "")
     stack = [root]
+    #: Skipped for its class words or as a form, which the page's text may overrule.
+    soft: set[Node] = set()
+    candidates: list[tuple[Node, list[Node]]] = []
     for m in _TOKEN.finditer(html):
         text = m["text"]
         if text is not None:
@@ -101,20 +114,57 @@ def parse(html: str) -> Node:
         role = found.get("role", "").lower()
         key = name + (f".{words}" if words else "") + (f"@{role}" if role else "")
         inside = any(n.name == "article" for n in stack)
-        skip = (
+        hard = (
             name in SKIPPED
+            and name != "form"
             or "hidden" in found
             or name == "header" and not inside
             or role in ("navigation", "banner", "contentinfo", "search", "complementary", "alert", "dialog")
+        )
+        skip = (
+            hard
+            or name == "form"
             or name not in ("html", "body", "article", "main") and bool(words) and BOILERPLATE.search(words) is not None
         )
         node = Node(key, name, skip)
         stack[-1].kids.append(node)
+        main = name in ("article", "main") or role == "main"
+        around = [n for n in (*stack, node) if n.skip] if skip or main else []
+        if skip and not hard and not NEVER_ARTICLE.search(words):
+            soft.add(node)
+        if around and soft.issuperset(around) and (around == [node] or main):
+            candidates.append((node, around))
         if name not in VOID and not m["attrs"].endswith("/"):
             stack.append(node)
+    if candidates:
+        _overrule(root, candidates)
     return root
 
 
+def _characters(node: Node) -> int:
+    """Characters of a node's text outside skipped elements below it."""
+    if node.key == "#":
+        return len(" ".join(node.text.split()))
+    return sum(_characters(k) for k in node.kids if not k.skip)
+
+
+def _overrule(root: Node, candidates: list[tuple[Node, list[Node]]]) -> None:
+    """Read a skipped element after all if it holds an article or main element of more text than lies
+    outside skipped elements, or else nearly all of the page's text."""
+    outside = _characters(root)
+    article = [(n, around) for n, around in candidates if n.name in ("article", "main") or n.key.endswith("@main")]
+    for n, around in article:
+        if _characters(n) > outside:
+            for x in around:
+                x.skip = False
+    while outside == _characters(root):
+        held = [(_characters(n), n) for n, around in candidates if n.skip and around == [n]]
+        most, n = max(held, key=lambda x: x[0], default=(0, None))
+        if n is None or most < LAYOUT * (most + outside) or not most:
+            break
+        n.skip = False
+
+
 # A wrapper item is [key, optional, many, skip, text or None for a slot, characters seen, kids].
 KEY, OPTIONAL, MANY, SKIP, TEXT, SEEN, KIDS = range(7)
 

@@ -171,6 +171,21 @@ def test_extraction_rules():
     assert len(extract(page("T", "<p>" + "long " * 100_000), None)) > 499_000
 
 
+def test_layout_containers_are_not_boilerplate():
+    text = "<h1>T</h1><p>" + "the whole story " * 20 + "</p>"
+    want = ("T " + "the whole story " * 20).strip()
+    frame = "<body><nav>menu</nav><div class='sidebar'>links</div>{}<footer>us</footer>"
+    for words in ("page no-sidebar", "content with-sidebar", "elementor-widget", "search-results", "wrapper navbar-fixed"):
+        for inner in ("<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "<div class='text'><main>{}</main></div>"):
+            assert extract(frame.format(f"<div class='{words}'>{inner.format(text)}</div>"), None) == want
+    assert extract(frame.format(f"<main><div class='content with-sidebar'><article>{text}</article></div></main>"), None) == want
+    assert extract(frame.format(f"<form action='/x'><div class='header'>site</div><article>{text}</article></form>"), None) == want
+    assert extract(frame.format(f"<form><div>{text}</div></form>"), None) == want
+    # Many comments stay out beside a short article.
+    short = "<div><p>short</p></div><div id='comments'><article>" + "a reader says " * 90 + "</article></div>"
+    assert extract(frame.format(short), None) == "short"
+
+
 def test_wrappers_align_pages():
     pages = [wrapper(parse(page(f"title {i}", "".join(f"<p>{i} {k}</p>" for k in range(i)) + "<h2>Same</h2>" * (i % 2)))) for i in range(6)]
     whole = pages[0]

@@ -15,6 +15,7 @@ from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import learn_and_identify
 from rollwise.llm.lempel_ziv import substring_dedup
 from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
+from rollwise.llm.ptolemaic import centroid_clusters
 from rollwise.llm.staging import staged
 from rollwise.llm.warc import archived
 from rollwise.llm.wrappers import extract_text
@@ -102,6 +103,11 @@ def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(_table(spark, sf_dir, "pages"))
 
 
+def op12_ptolemaic_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every vector."""
+    return centroid_clusters(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -115,9 +121,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_grace_dedup,
         op9_minhash_containment,
         op10_warc_segments,
+        op12_ptolemaic_clustering,
     )
 }
 
+
+
+def _clustering_sql(rounds: int = 3) -> str:
+    """The rounds of the clustering written out one after the other."""
+    apart = "list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS (
+            SELECT k.r, k.vec_id, k.v, c.c, {apart} AS d FROM kept k CROSS JOIN c{r} c
+            QUALIFY row_number() OVER (PARTITION BY k.r ORDER BY d, c.c) = 1
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS (
+            SELECT c, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+                SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v
+                FROM (SELECT c, i, sum(x) AS s, count(*) AS n FROM (SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY c, i) GROUP BY c
+            ) m USING (c)
+        )""")
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::HUGEINT) AS v
+            FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+        ), c0 AS (
+            SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS c, v FROM kept ORDER BY sha256('1:' || vec_id), v LIMIT 16
+        ), {",".join(steps)}, per AS (
+            SELECT c, sum(d)::BIGINT AS cluster_inertia FROM a{rounds} GROUP BY c
+        )
+        SELECT vec_id, c::INT AS cluster, d AS distance, cluster_inertia, (SELECT sum(cluster_inertia)::BIGINT FROM per) AS inertia,
+            sha256(array_to_string(f.v, ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN per USING (c) JOIN c{rounds} f USING (c)"""
+
+
 _SPACES = r"[\x20\x09-\x0D]+"
 _WORD = r"[^\x20\x09-\x0D]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -213,6 +254,7 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             coalesce(doc_id = min(doc_id) OVER same, (min(doc_id) OVER same) IS NULL) AS kept, sha256(content) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY content)""",
+    "op12_ptolemaic_clustering": _clustering_sql(),
     "op9_minhash_containment": rf"""
         WITH texts AS (
             SELECT doc_id AS id, false AS item, list_filter(string_split_regex({_LOWER}, '{_SPACES}'), lambda x: x <> '') AS w FROM documents

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rollwise.llm.chat import END, NEWLINE, START, format_chats, read_loss, read_turns, text_part
 from rollwise.llm.containment import contained_items
+from rollwise.llm.divergence import source_divergence
 from rollwise.llm.grace import exact_dedup
 from rollwise.llm.interleave import interleaved_shards
 from rollwise.llm.jaccard_join import jaccard_join
@@ -103,6 +104,11 @@ def op10_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived(_table(spark, sf_dir, "pages"))
 
 
+def op11_gustavson_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence between the sources of every language, and the terms that set each apart."""
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
 def op12_ptolemaic_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cluster of every vector."""
     return centroid_clusters(_table(spark, sf_dir, "embeddings"))
@@ -121,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_grace_dedup,
         op9_minhash_containment,
         op10_warc_segments,
+        op11_gustavson_divergence,
         op12_ptolemaic_clustering,
     )
 }
@@ -254,6 +261,41 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             coalesce(doc_id = min(doc_id) OVER same, (min(doc_id) OVER same) IS NULL) AS kept, sha256(content) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY content)""",
+    "op11_gustavson_divergence": rf"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM documents
+        ), words AS (
+            SELECT r, lang, source, unnest(w) AS term FROM texts
+        ), kept AS (
+            SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM texts
+        ), counts AS (
+            SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), cells AS (
+            SELECT g.lang, g.source, k.term, coalesce(n, 0)::HUGEINT AS n
+            FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), shares AS (
+            SELECT *, 1 + (1000000000 * (n + 2)) // (sum(n) OVER (PARTITION BY lang, source) + 2 * count(*) OVER (PARTITION BY lang, source)) AS p FROM cells
+        ), whole AS (
+            SELECT lang, term, 1 + (1000000000 * (sum(n) + 2)) // (sum(sum(n)) OVER (PARTITION BY lang) + 2 * count(*) OVER (PARTITION BY lang)) AS q
+            FROM cells GROUP BY lang, term
+        ), pairs AS (
+            SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+            FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY x.lang, x.source, y.source
+        ), terms AS (
+            SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+        ), parts AS (
+            SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value
+            FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+            LEFT JOIN pairs p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+            UNION ALL
+            SELECT lang, source, 'term', item, value FROM terms
+        )
+        SELECT lang, source, part, item, value::BIGINT AS value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+        FROM parts QUALIFY part = 'pair' OR rank <= 10""",
     "op12_ptolemaic_clustering": _clustering_sql(),
     "op9_minhash_containment": rf"""
         WITH texts AS (

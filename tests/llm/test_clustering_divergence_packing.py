@@ -5,7 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
+from collections import Counter
 
+from rollwise.llm.divergence import source_divergence
 from rollwise.llm.ptolemaic import centroid_clusters, start_clusters
 
 
@@ -60,3 +63,55 @@ def test_clusters_of_few_or_no_vectors(spark):
     assert [(r.cluster, r.distance, r.inertia) for r in centroid_clusters(few, clusters=4, dims=2).collect()] == [(0, 0, 0)] * 2
     none = centroid_clusters(few.limit(0), clusters=4, dims=2)
     assert none.count() == 0 and none.columns == centroid_clusters(few, clusters=4, dims=2).columns
+
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def plain_divergence(rows, least, top):
+    docs = [(lang or "", source or "", [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]) for text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        held = Counter(t for d in own for t in set(d[2]))
+        kept = sorted(t for t in held if held[t] >= least)
+        counts = {s: Counter(t for d in own if d[1] == s for t in d[2] if held[t] >= least) for s in {d[1] for d in own}}
+
+        def shares(count):
+            return {t: 1 + 10**9 * (count[t] + 2) // (sum(count.values()) + 2 * len(kept)) for t in kept}
+
+        def f(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        p = {s: shares(c) for s, c in counts.items()}
+        q = shares(sum(counts.values(), Counter()))
+        for s in counts:
+            pair = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in counts if o != s]
+            term = [(-f(p[s][t], q[t]), t.encode(), t) for t in kept if counts[s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pair)), ("term", sorted(term)[:top])):
+                out += [(lang, s, part, item, -value, i + 1) for i, (value, _, item) in enumerate(found)]
+    return sorted(out)
+
+
+def test_divergence_edge_cases(spark):
+    draw = random.Random(7)
+    vocabulary = ["Alpha", "alpha", "beta", "\u00e9t\u00e9", "\u00c9T\u00c9", "z\U0001f600z", "the", "THE", "of", "x1y", "k\x00k", "a_b", "\u03a3\u03c3"]
+    rows = []
+    for i in range(260):
+        words = draw.choices(vocabulary, k=draw.randrange(0, 12)) + ["the"] * (i % 4)
+        rows.append((" ".join(words), draw.choice(["en", "de", None, ""]), draw.choice(["hot"] * 5 + ["a", "b", "\uffee", "\U0001f600", None, ""])))
+    rows += [(None, "en", "silent"), ("", "en", "blank"), ("... 123", "en", "marks"), ("lone words here", "xx", "only"), ("same again", "yy", "s1"), ("same again", "yy", "s2")]
+    rows += [("a\tlong " * 30000, "en", "long")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "text string, lang string, source string, part int, value int").repartition(6)
+    want = plain_divergence(rows, 10, 3)
+    got = source_divergence(df, top=3, block=3)
+    assert sorted(map(tuple, got.select("lang", "source", "part", "item", "value", "rank").collect())) == want
+    assert sorted(map(tuple, source_divergence(df.select("source", "text", "lang"), top=3).collect())) == want
+    assert source_divergence(df.limit(0)).count() == 0
+
+
+def test_divergence_of_a_wide_term_sends_sums_not_pairs(spark):
+    """A term in every source: as many sums as pairs of groups, whatever the number of documents."""
+    rows = [(" ".join(["the", "of", f"w{i % 7}"]), "en", f"s{i % 30:02}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    assert sorted(map(tuple, source_divergence(df, top=5).collect())) == plain_divergence(rows, 10, 5)

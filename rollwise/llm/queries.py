@@ -16,12 +16,14 @@ from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import learn_and_identify
 from rollwise.llm.lempel_ziv import substring_dedup
 from rollwise.llm.mixture import SEED, identity, source_targets, with_copies, word_count
+from rollwise.llm.packing import packed
 from rollwise.llm.ptolemaic import centroid_clusters
 from rollwise.llm.staging import staged
 from rollwise.llm.warc import archived
 from rollwise.llm.wrappers import extract_text
 
 SHARDS = 40
+TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +116,13 @@ def op12_ptolemaic_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document."""
+    import public_tokenizers
+
+    return packed(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), ids=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -129,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_warc_segments,
         op11_gustavson_divergence,
         op12_ptolemaic_clustering,
+        op13_vector_packing,
     )
 }
 

@@ -6,9 +6,16 @@ import hashlib
 import math
 import random
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
 
 from rollwise.llm.divergence import source_divergence
+from rollwise.llm.packing import Bin, packed, placements, sequences
 from rollwise.llm.ptolemaic import centroid_clusters, start_clusters
 
 
@@ -115,3 +122,88 @@ def test_divergence_of_a_wide_term_sends_sums_not_pairs(spark):
     rows = [(" ".join(["the", "of", f"w{i % 7}"]), "en", f"s{i % 30:02}") for i in range(1200)]
     df = spark.createDataFrame(rows, "text string, lang string, source string")
     assert sorted(map(tuple, source_divergence(df, top=5).collect())) == plain_divergence(rows, 10, 5)
+
+
+def one_by_one(lengths, of):
+    """Remainders of the bins when pieces are placed singly."""
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        need = (length, 1, length * length)
+        best = None
+        for i, left in enumerate(bins):
+            if all(x >= y for x, y in zip(left, need)):
+                parts = [(x / c, y / c) for x, y, c in zip(left, need, of.capacities)]
+                if of.select == "norm":
+                    score = float(np.array([(x - y) ** 2 for x, y in parts]) @ np.array(of.weights))
+                else:
+                    score = -float(np.array([x * y for x, y in parts]) @ np.array(of.weights))
+                if best is None or (score, left) < best[:2]:
+                    best = (score, left, i)
+        if best is None:
+            bins.append(of.capacities)
+            best = (0, bins[-1], len(bins) - 1)
+        bins[best[2]] = tuple(x - y for x, y in zip(best[1], need))
+    return sorted(bins)
+
+
+@pytest.mark.parametrize("of", [Bin(40), Bin(40, pieces=5), Bin(40, cost=700), Bin(40, select="dot"), Bin(40, pieces=4, cost=900, select="dot")])
+def test_ranges_of_pieces_go_where_single_pieces_would(of):
+    draw = random.Random(9)
+    for size in (0, 1, 30, 400):
+        lengths = [min(int(draw.expovariate(0.12)) + 1, 26) for _ in range(size)]
+        used = defaultdict(list)
+        plan = placements(Counter(lengths), of)
+        for (length, rank, each, first, offset), after in zip(plan, [*plan[1:], (0, 0)]):
+            end = after[1] if after[0] == length else Counter(lengths)[length]
+            for r in range(end - rank):
+                used[first + r // each].append((offset + r % each * length, length))
+        left = []
+        for own in used.values():
+            own.sort()
+            assert [o for o, _ in own] == [sum(x for _, x in own[:i]) for i in range(len(own))]
+            left.append((of.tokens - sum(x for _, x in own), of.capacities[1] - len(own), of.capacities[2] - sum(x * x for _, x in own)))
+        assert all(min(x) >= 0 for x in left) and sorted(left) == one_by_one(lengths, of)
+
+
+def test_packed_documents(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    draw = random.Random(10)
+    words = ["It's", "we'LL", "na\u00efve", "e\u0301t\u00e9", "\u0301x", "<|endoftext|>", "a\u00a0b", "\u2003", "12.5", "\u4f60\u597d", "don't...", "\U0001f600", "\u03a3", "x" * 300, "\x1c\x85y"]
+    rows = [(i, " ".join(draw.choices(words, k=draw.randrange(0, 60))), draw.choice("ab")) for i in range(120)]
+    rows += [(500, None, "a"), (501, "", "a"), (502, " \t\n", "a"), (None, "no id", None), (7, "twice", "a"), (7, "twice", "a"), (503, "long text\n" * 3000, "b")]
+    rows += [(600 + i, "the same words again and again", "hot") for i in range(300)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, task string, length int").repartition(6)
+    of = Bin(256, pieces=40, cost=50000 + 256 * 256)
+    tokenizer = Tokenizer.from_file(path)
+    want = []
+    for doc, text, _ in rows:
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+        for n, lo in enumerate(range(0, len(ids), 256)):
+            data = np.array(ids[lo : lo + 256], "<u4").tobytes()
+            want.append((str(doc), n, lo, len(data) // 4, zlib.crc32(data)))
+    for ids in (True, False):
+        out = packed(df, path, of, ids=ids)
+        got = out.collect()
+        assert sorted((str(r.doc_id), r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+        held = defaultdict(list)
+        for r in got:
+            held[r.sequence_id].append((r.offset, r.length))
+        for own in held.values():
+            own.sort()
+            assert [o for o, _ in own] == [sum(x for _, x in own[:i]) for i in range(len(own))]
+            assert sum(x for _, x in own) <= 256 and len(own) <= 40 and sum(x * x for _, x in own) <= 50000 + 256 * 256
+        left = sorted((256 - sum(x for _, x in o), 40 - len(o), of.cost - sum(x * x for _, x in o)) for o in held.values())
+        assert left == one_by_one([r.length for r in got], of)
+    whole = {r.sequence_id: r for r in sequences(packed(df, path, of)).collect()}
+    assert sum(len(r.ids) for r in whole.values()) == 4 * sum(r[3] for r in want)
+    assert sorted(zlib.crc32(r.ids[4 * a : 4 * b]) for r in whole.values() for a, b in zip(r.offsets, [*r.offsets[1:], len(r.ids) // 4])) == sorted(r[4] for r in want)
+    none = packed(df.limit(0), path)
+    assert none.count() == 0 and "sequence_id" in none.columns
+
+
+def test_packing_query_fills_sequences(spark):
+    from rollwise.llm.queries import QUERIES
+
+    rows = QUERIES["op13_vector_packing"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == {r.doc_id for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    assert len({r.sequence_id for r in rows}) <= 1 + -(-sum(r.length for r in rows) // 4096)

@@ -10,10 +10,12 @@ item a candidate of the document, which is then verified by exact containment: a
 A window's bin can only agree where the window holds one of the items' own signature values, so the
 other bins of a window are never computed. An item with three quarters of its shingles in one window
 is missed only if every shared bin has a smaller hash from the rest of the window (under 1e-6 from
-about ten shared shingles on).
+about ten shared shingles on). Items of up to ``SHORT`` shingles have an exact way beside it: every one of
+their shingles makes a candidate wherever it occurs, so none of them is missed.
 
 Items go to the executors block by block, ``BLOCK_SHINGLES`` of them at most beside the last item,
-so what is broadcast has a fixed bound and a larger benchmark means more passes.
+so what is broadcast has a fixed bound and a larger benchmark means more passes. What a block has
+found is written, and its broadcast released, before the next block is read.
 
 Defined cases: null and blank texts and items match nothing; a text under five words is one shingle,
 so it matches an equal text only; repeated items and documents are reported each; null ids stay
@@ -35,6 +37,8 @@ from rollwise.llm.words import U64, ngrams, parts, shingle_set, word_hashes
 
 PERCENT = 75
 BLOCK_SHINGLES = 1 << 18
+#: Up to so many shingles, 75 % of an item may be too few for its signature to be safe.
+SHORT = 16
 _BITS = U64((1 << 20) - 1)
 
 
@@ -49,14 +53,16 @@ class ItemIndex:
 
     ids: list
     shingles: list[np.ndarray]
-    #: Class limit -> (sorted values, their items).
+    #: Class limit -> (sorted values, their items); limit 0 holds all shingles of short items.
     classes: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
     present: np.ndarray | None = None
 
     def __post_init__(self) -> None:
         found: dict[int, list[tuple[int, int]]] = {}
         for i, h in enumerate(self.shingles):
-            if len(h):
+            if 0 < len(h) <= SHORT:
+                found.setdefault(0, []).extend((int(v), i) for v in h)
+            elif len(h):
                 limit = _bins(len(h))
                 bins = h >> U64(64 - (4 * limit - 1).bit_length())
                 # Sorted hashes: the first of each bin is its smallest.
@@ -76,6 +82,10 @@ def _candidates(hashes: np.ndarray, at: np.ndarray, index: ItemIndex) -> set[int
     for limit, (values, items) in index.classes.items():
         lo = np.searchsorted(values, hashes[at], "left")
         hi = np.searchsorted(values, hashes[at], "right")
+        if not limit:
+            for a, b in set(zip(lo[hi > lo].tolist(), hi[hi > lo].tolist())):
+                out.update(items[a:b].tolist())
+            continue
         shift = U64(64 - (4 * limit - 1).bit_length())
         for place, a, b in zip(at[hi > lo], lo[hi > lo], hi[hi > lo]):
             new = set(items[a:b].tolist()) - out
@@ -147,7 +157,9 @@ def contained_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT, b
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = spark.createDataFrame([], schema)
     for index in item_blocks(items, block_shingles):
-        found = found.union(texts.mapInArrow(_reporter(spark.sparkContext.broadcast((index.ids, index.shingles)), percent), schema))
+        sent = spark.sparkContext.broadcast((index.ids, index.shingles))
+        found = found.union(staged(texts.mapInArrow(_reporter(sent, percent), schema), "contained"))
+        sent.destroy()
     return found
 
 
@@ -169,8 +181,13 @@ def _reporter(sent, percent: int):
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs`` that contain no item, in place and with all their columns."""
+    sent = None
     for index in item_blocks(items, block_shingles):
-        docs = docs.mapInArrow(_remover(docs.sparkSession.sparkContext.broadcast((index.ids, index.shingles)), percent), docs.schema)
+        if sent is not None:
+            docs = staged(docs, "decontaminated")
+            sent.destroy()
+        sent = docs.sparkSession.sparkContext.broadcast((index.ids, index.shingles))
+        docs = docs.mapInArrow(_remover(sent, percent), docs.schema)
     return docs
 
 

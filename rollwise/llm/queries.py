@@ -271,6 +271,19 @@ SQL: dict[str, str] = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             coalesce(doc_id = min(doc_id) OVER same, (min(doc_id) OVER same) IS NULL) AS kept, sha256(content) AS text_sha256
         FROM texts WINDOW same AS (PARTITION BY content)""",
+    "op10_warc_segments": """
+        WITH payloads AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages
+        ), digests AS (
+            SELECT page_id, strlen(html) AS payload_bytes, h, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest
+            FROM payloads
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM digests
+        )
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+        FROM firsts""",
     "op11_gustavson_divergence": rf"""
         WITH texts AS (
             SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,

@@ -13,8 +13,8 @@ task. Reading takes each file whole, walks its records by their stated lengths,
 continuation records by origin id; only those are shuffled.
 
 Defined cases: null html is an empty payload; a null url is an empty target; rows without page_id
-have one of the records ``urn:page:null``, told apart by a hash of their digest; equal payloads
-whose ids are all null are responses; rows that repeat page_id and html are written once per row and
+have one of the records ``urn:page:null``, told apart by their digest, and revisit a page with an equal
+payload and an id; equal payloads whose ids are all null are responses; rows that repeat page_id and html are written once per row and
 are all of one type; an empty table gives no archive and no rows; other columns are not read.
 """
 
@@ -124,11 +124,13 @@ def with_references(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     digests = staged(pages.select("page_id", F.sha1(html).alias("digest"), F.octet_length(html).alias("bytes")), "digests")
     first = digests.filter(F.col("bytes") >= least).groupBy("digest", "bytes").agg(F.min("page_id").alias("refers_to"))
-    later = digests.distinct().join(first, ["digest", "bytes"]).filter("page_id <> refers_to")
-    # A page_id may go with several payloads; each row takes the entry of its own.
-    earlier = later.groupBy("page_id").agg(F.map_from_entries(F.collect_list(F.struct("digest", "refers_to"))).alias("earlier"))
+    later = digests.distinct().join(first, ["digest", "bytes"]).filter("refers_to IS NOT NULL AND (page_id IS NULL OR page_id <> refers_to)")
+    # A page_id may go with several payloads; each row takes the entry of its own. Rows without one go by payload.
+    key = later.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.col("digest")))
+    earlier = key.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("digest", "refers_to"))).alias("earlier"))
     refers = F.when(F.col("earlier").isNotNull(), F.try_element_at("earlier", F.sha1(html)))
-    return pages.join(earlier, "page_id", "left").select("page_id", "url", "html", refers.alias("refers_to"))
+    keyed = pages.withColumn("key", F.coalesce(F.col("page_id").cast("string"), F.sha1(html)))
+    return keyed.join(earlier, "key", "left").select("page_id", "url", "html", refers.alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST_REVISIT) -> None:

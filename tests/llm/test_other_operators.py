@@ -14,7 +14,7 @@ from plain import level_targets, words
 from pyspark.sql import functions as F
 
 from rollwise.llm import chat, warc
-from rollwise.llm.interleave import interleaved_shards
+from rollwise.llm.interleave import drawn, interleaved_shards
 from rollwise.llm.language_mixture import CLASSES, Model, _trigrams, identify, learn, learn_and_identify, mixture
 from rollwise.llm.mixture import mixed, source_targets, word_count
 from rollwise.llm.wrappers import align, article_path, extract, extract_text, infer_wrappers, parse, wrapper
@@ -243,6 +243,46 @@ def test_shards_match_the_mixture(spark, shards, chunk):
     assert interleaved_shards(docs.limit(0), shards).count() == 0
 
 
+def test_shards_follow_the_draws(spark):
+    """Every row's shard and slot worked out again from the numbers drawn, in plain Python."""
+    rng = random.Random(16)
+    rows = [(i if i % 9 else None, rng.choice(["a"] * 4 + ["b", None]), f"t{i % 50}", i) for i in range(500)] + [(3, "a", "same", 1)] * 90
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, n int").repartition(4)
+    keys = drawn(docs, 7, "source", "doc_id", 10**6).select("row.*", "source", "tie", "at").collect()
+    order = sorted(((r.source is not None, (r.source or "").encode()), r.at, r.tie, i) for i, r in enumerate(keys))
+    whole, rank, placed = Counter(x[0] for x in order), Counter(), []
+    for source, at, tie, i in order:
+        rank[source] += 1
+        placed.append(((2 * rank[source] - 1) / (2 * whole[source]), source, at, tie, i))
+    placed.sort()
+    want, sizes = [], Counter()
+    for position, (*_, i) in enumerate(placed):
+        shard = position * 7 // len(placed)
+        want.append((str(tuple(keys[i])[:4]), shard, sizes[shard]))
+        sizes[shard] += 1
+    for chunk in (1000, 6):
+        got = [(str(tuple(r)[:4]), r.shard, r.slot) for r in interleaved_shards(docs, 7, chunk_rows=chunk).collect()]
+        # The 90 equal rows are drawn apart once they are more than a chunk.
+        single = [x for x in got if "same" not in x[0]]
+        assert len(got) == len(want)
+        if chunk > 90:
+            assert sorted(got) == sorted(want)
+        else:
+            assert sorted(x[0] for x in got) == sorted(x[0] for x in want) and len(single) == 500
+            assert max(Counter(x[1] for x in got).values()) - min(Counter(x[1] for x in got).values()) <= 1
+
+
+def test_shards_take_columns_of_any_name_and_type(spark):
+    names = ["doc_id", "source", "text", "_hash", "_source", "_n", "_rank", "rank", "at", "chunk", "band", "row", "SHARD", "a.b", "c`d"]
+    docs = spark.range(60).select(
+        *[F.col("id").cast("string").alias(n) for n in names], F.create_map(F.lit(1), F.col("id")).alias("map"), F.array("id").alias("list"), F.struct("id").alias("struct")
+    )
+    out = interleaved_shards(docs, 3)
+    kept = [c for c in docs.columns if c != "SHARD"]
+    assert out.columns == [*kept, "shard", "slot"]
+    assert sorted(str(tuple(r)[:-2]) for r in out.collect()) == sorted(str(tuple(x for x, c in zip(r, docs.columns) if c != "SHARD")) for r in docs.collect())
+
+
 def test_archives_round_trip(spark):
     rng = random.Random(8)
     big = "é€x" * 30_000
@@ -257,7 +297,7 @@ def test_archives_round_trip(spark):
     want = []
     for i, _, html, _ in rows:
         body = (html or "").encode()
-        refers = first.get(html or "") if i is not None and first[html or ""] != i else None
+        refers = first.get(html or "") if first.get(html or "") != i else None
         want.append((i, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode(), "revisit" if refers is not None else "response", refers))
     assert sorted(map(tuple, warc.archived(pages).collect()), key=str) == sorted(want, key=str)
     path = warc.new_path(spark, "warc-test")

@@ -12,11 +12,11 @@ import pytest
 from plain import components, shingles, without_repeats, words
 
 from rollwise.llm.components import connected_components
-from rollwise.llm.containment import contained_items, decontaminated
+from rollwise.llm.containment import ItemIndex, _matches, contained_items, decontaminated
 from rollwise.llm.grace import ContentTable, exact_dedup, grace_merge
 from rollwise.llm.jaccard_join import jaccard_join, link_counts
 from rollwise.llm.lempel_ziv import substring_dedup
-from rollwise.llm.words import ngrams, sequence_key, word_hashes
+from rollwise.llm.words import ngrams, sequence_key, shingle_set, word_hashes
 
 SCHEMA = "doc_id long, text string, source string, shared string, kept int"
 CASES = [None, "", " \t\n", "one", "one two three", "One  TWO three", "a b c d e", "a b c d e f", "É é È", "x" * 200_000 + " y", "nul\x00 \x0b tab"]
@@ -153,6 +153,21 @@ def test_substring_dedup(spark, seed):
     assert digests == {hashlib.sha256(" ".join(k).encode()).hexdigest() for _, _, k in without_repeats(rows[:5])}
 
 
+def test_short_items_are_never_missed():
+    rng = random.Random(17)
+    vocabulary = [f"u{i}" for i in range(4000)]
+    items = [" ".join(rng.choices(vocabulary, k=5 + i % 10)) for i in range(2000)]
+    texts = []
+    for item in items:
+        text = rng.choices(vocabulary, k=300)
+        at = rng.randrange(300)
+        texts.append(" ".join(text[:at] + item.split() + text[at:]))
+    hashes, at = word_hashes(pa.array(items), lower=True)
+    index = ItemIndex(list(range(len(items))), [shingle_set(hashes[a:b]) for a, b in zip(at[:-1], at[1:])])
+    found = {(row, item) for row, item, _ in _matches(pa.record_batch({"text": pa.array(texts)}), index, 75)}
+    assert {(i, i) for i in range(len(items))} <= found
+
+
 def test_contained_items(spark):
     rng = random.Random(7)
     vocabulary = [f"u{i}" for i in range(5000)]

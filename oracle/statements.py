@@ -427,7 +427,7 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
             ) GROUP BY ALL""",
         "refresh_table": f"""SELECT day AS partition_date, count(*) AS row_count,
             CAST(sum(CASE WHEN day BETWEEN {WEB_PERIODS[2][0]} AND {WEB_S1E} THEN page_visits ELSE 0 END) AS BIGINT) AS visits
-            FROM session GROUP BY ALL""",
+            FROM session WHERE day <> {WEB_PERIODS[2][1]} GROUP BY ALL""",
         "scalar_semantics": f"""SELECT bpid, orderid, rectype, {V} AS rounded_value,
             CAST(round(vk / 2) AS BIGINT) AS rounded_half, round(CAST(qty AS DOUBLE) / 7, 3) AS rounded_ratio,
             reportingdate AS reporting_day, orderdate - 35 AS days_before, orderdate + 35 AS days_after,

@@ -30,20 +30,27 @@ def salted_join(
     hot_share: float = HOT_SHARE,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Join on ``key`` where one key may hold much of ``left``, and ``right`` has few rows per key.
+    """Inner or left join on ``key`` where one key, or rows without a key, may hold much of ``left``, and
+    ``right`` has few rows per key.
 
     Keys with more than ``hot_share`` of the rows in ``left`` (counted by ``weight`` where a row stands
     for several) are split over ``salts`` tasks by a hash of ``spread_by``; their rows in ``right`` are
-    repeated once per salt. All other keys join as usual. Fewer than 1 / hot_share keys can be hot:
-    that bound is what makes the set safe to broadcast, and ``left`` is not shuffled to mark them.
+    repeated once per salt. Rows of ``left`` without a key match nothing; a left join keeps them, and they
+    are split likewise, however many there are. All other keys join as usual. Fewer than 1 / hot_share
+    keys can be hot: that bound is what makes the set safe to broadcast, and ``left`` is not shuffled to
+    mark them. ``left`` is read twice.
     """
+    if how == "inner":
+        left = left.filter(F.col(key).isNotNull())
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = left.groupBy(key).agg(rows.alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    hot = F.broadcast(counts.filter(F.col("_rows") > hot_share * total).select(key, F.lit(True).alias("_hot")))
+    often = (F.col("_rows") > hot_share * total) & F.col(key).isNotNull()
+    hot = F.broadcast(counts.filter(often).select(key, F.lit(True).alias("_hot")))
+    spread = F.coalesce(F.col("_hot"), F.col(key).isNull())
     split = left.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
+        "_salt", F.when(spread, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int")
     )
     every_salt = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = right.join(hot, key, "left").withColumn("_salt", F.explode(every_salt))
+    repeated = right.filter(F.col(key).isNotNull()).join(hot, key, "left").withColumn("_salt", F.explode(every_salt))
     return split.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")

@@ -71,13 +71,10 @@ def period_sums(column: str, periods: Iterable[Period], values: dict[str, str])
 def period_columns(long: DataFrame, keys: Sequence[str], periods: Sequence[Period], values: Sequence[str]) -> DataFrame:
     """Turn one row per key and period into one row per key with a column ``<value>_<period>``.
 
-    A period without a row gives NULL, a zero in an existing row stays 0. The rows of a key travel
-    as one map from period to values, which has at most one entry per period; a pivot would carry
-    a buffer of periods x values columns per key through the aggregation instead.
+    A period without a row gives NULL, a zero in an existing row stays 0. Each column is a slot of a
+    hash aggregate over plain values. The rows are dealt by key first, as they are: combining before
+    the exchange, as a pivot does, would send a row of all slots for every single period of a key. A key
+    has one row per period at most, so none is large.
     """
-    by_period = f"map_from_entries(collect_list(struct(period, struct({', '.join(values)})))) AS _by_period"
-    return (
-        long.groupBy(*keys)
-        .agg(F.expr(by_period))
-        .selectExpr(*keys, *[f"_by_period['{p.name}'].{v} AS {v}_{p.name}" for p in periods for v in values])
-    )
+    slots = [F.max(F.when(F.col("period") == p.name, F.col(v))).alias(f"{v}_{p.name}") for p in periods for v in values]
+    return long.select(*keys, "period", *values).repartition(*keys).groupBy(*keys).agg(*slots)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollwise.operators.checks import duplicate_keys
+from rollwise.operators.joins import salted_join
 from rollwise.operators.numbering import number_rows
 from rollwise.operators.periods import period_columns
 from rollwise.operators.repeats import TIMES, repeat_rows, split_copies
@@ -138,11 +139,12 @@ def spine(people: DataFrame, accounts: DataFrame, permission_hist: DataFrame, pa
 
     A partner with several permission rows, or several accounts with positions in a half year,
     multiplies the rows of the population; a missing half year counts as breadth 0. Equal rows
-    stay one row, with their number multiplied into ``_times``.
+    stay one row, with their number multiplied into ``_times``. Both tables are put together first, so
+    the population is joined once, and a partner with much of it, or rows without a partner, are dealt
+    to several tasks, where they are also multiplied.
     """
-    rows = people.join(permission_choices(permission_hist, params), "bpid", "left").join(
-        breadth_choices(accounts), "bpid", "left"
-    )
+    choices = permission_choices(permission_hist, params).join(breadth_choices(accounts), "bpid", "full")
+    rows = salted_join(people, choices, "bpid", F.xxhash64(*people.columns), "left")
     for name in BREADTH:
         rows = rows.withColumn(name, F.explode_outer(name))
     factors = [TIMES, "coalesce(permission_rows, 1L)", *[f"coalesce({name}.accounts, 1L)" for name in BREADTH]]
@@ -155,8 +157,9 @@ def weighted(rows: DataFrame, power: int) -> DataFrame:
     """Rows with ``_times`` as after joining ``power`` tables that repeat each account as ``rows`` does."""
     if power == 0:
         return rows.withColumn(TIMES, F.lit(1).cast("long"))
-    # A missing partner matches nothing, not even itself.
-    same = F.when(F.col("bpid").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy(*ACCOUNT))).otherwise(1)
+    # A missing partner matches nothing, not even itself; such rows are dealt by all they hold.
+    apart = F.when(F.col("bpid").isNull(), F.xxhash64(*rows.columns))
+    same = F.when(F.col("bpid").isNotNull(), F.count(F.lit(1)).over(Window.partitionBy(*ACCOUNT, apart))).otherwise(1)
     counted = rows.withColumn("_same", same)
     return counted.withColumn(TIMES, F.expr(" * ".join(["_same"] * power))).drop("_same")
 
@@ -210,7 +213,9 @@ def prepare(
     """Stage account and partner features; take the population as given or derive it."""
     accounts = stage(account_features(src.positions, params, stage), "accounts")
     partners = stage(partner_features(src, params, web), "partners")
-    return Inputs(src, params, population(src, params) if people is None else people, accounts, partners, stage)
+    if people is None:
+        people = stage(population(src, params), "population")
+    return Inputs(src, params, people, accounts, partners, stage)
 
 
 def transactions(inputs: Inputs) -> DataFrame:

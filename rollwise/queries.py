@@ -78,7 +78,8 @@ def refresh_range(src: Sources, params: Params) -> DataFrame:
 
 @query
 def refresh_table(src: Sources, params: Params) -> DataFrame:
-    """A refresh as it is run on a stored table: the partitions of the range are overwritten."""
+    """A refresh as it is run on a stored table: the partitions of the range are overwritten, and that of
+    a day the source has lost goes, here from an external table."""
     spark = src.session.sparkSession
     rows = src.session.select("ktnr_glob", "wkorbid", "page_visits", "partition_date")
     stale = rows.withColumn("page_visits", F.lit(0).cast("long"))
@@ -86,7 +87,8 @@ def refresh_table(src: Sources, params: Params) -> DataFrame:
     writer = stale.repartition("partition_date").write.partitionBy("partition_date").format("parquet")
     writer.option("path", f"{session_folder(spark)}/{name}").saveAsTable(name)
     newest, second = params.contact_periods[:2]
-    refresh_partitions(rows, name, "partition_date", second.lo, newest.hi)
+    without_a_day = rows.filter(F.col("partition_date") != F.lit(second.hi))
+    refresh_partitions(without_a_day, name, "partition_date", second.lo, newest.hi)
     return spark.table(name).groupBy("partition_date").agg(_rows(), F.sum("page_visits").alias("visits"))
 
 

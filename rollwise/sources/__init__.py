@@ -1,5 +1,5 @@
 from rollwise.sources.sample import sample_params, sample_sources
-from rollwise.sources.sinks import refresh_partitions, refreshed, session_folder, stage, staging, write_durable
+from rollwise.sources.sinks import refresh_partitions, refreshed, scope, session_folder, stage, staging, write_durable
 from rollwise.sources.tables import Sources, read_sources, schema_of
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "sample_params",
     "sample_sources",
     "schema_of",
+    "scope",
     "session_folder",
     "stage",
     "staging",

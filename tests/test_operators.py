@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from hypothesis import given
@@ -17,7 +18,7 @@ from rollwise.operators import assign_period, duplicate_keys, number_rows, repea
 from rollwise.params import Params, equal_periods, half_year_periods
 from rollwise.plans import datamart, positions, web
 from rollwise.plans.population import segment_detail_sql, segment_sql
-from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, stage, staging, write_durable
+from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, scope, sinks, stage, staging, write_durable
 from rollwise.queries import QUERIES
 from rollwise.sources.tables import schema_of
 from tests.random_sources import random_rows, spark_sources
@@ -176,6 +177,34 @@ def test_salted_join_equals_join(spark, how):
     assert sorted(map(str, salted.select("k", "id", "r").collect())) == sorted(map(str, plain.select("k", "id", "r").collect()))
 
 
+def test_hot_and_missing_partners_are_split(spark):
+    """A third of the population has one partner and a fifth has none; each meets in several tasks."""
+    hot = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 == 1, None).otherwise(F.col("id") % 90)
+    people = spark.range(6000).select(hot.alias("bpid"), F.date_add(F.lit(date(1990, 1, 1)), (F.col("id") % 999).cast("int")).alias("accountDate"), "id", F.lit(1).cast("long").alias("_times"))
+    accounts = people.filter("id % 20 < 3").select("bpid", "accountDate", *[((F.col("id") + k) % 4).alias(name) for k, name in enumerate(datamart.BREADTH)]).distinct()
+    history = spark.range(200).selectExpr("id % 80 AS bpid", "DATE'1990-01-01' AS accountDate", "CAST(id % 2 AS INT) AS push_perm", "CAST(id % 3 AS INT) AS nl_perm", "DATE'1990-01-01' AS valid_from", "DATE'9999-12-31' AS valid_to")
+    rows = datamart.spine(people, accounts, history, P)
+    plain = people.join(datamart.permission_choices(history, P), "bpid", "left").join(datamart.breadth_choices(accounts), "bpid", "left")
+    for name in datamart.BREADTH:
+        plain = plain.withColumn(name, F.explode_outer(name))
+    times = " * ".join(["_times", "coalesce(permission_rows, 1L)", *[f"coalesce({name}.accounts, 1L)" for name in datamart.BREADTH]])
+    plain = plain.selectExpr("id", "bpid", f"{times} AS _times", "push_perm", *[f"coalesce({name}.breadth, 0) AS {name}" for name in datamart.BREADTH])
+    assert rows.select(*plain.columns).exceptAll(plain).isEmpty() and plain.exceptAll(rows.select(*plain.columns)).isEmpty()
+    tasks = rows.withColumn("task", F.spark_partition_id()).groupBy("bpid").agg(F.countDistinct("task").alias("tasks"), F.countDistinct("id").alias("n"))
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = {r.bpid: r.tasks for r in tasks.filter("n > 500").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(found) == {7, None} and min(found.values()) > 1
+
+
+def test_period_columns_stay_in_hash_aggregation(sources):
+    wide = positions.position_kpis_wide(sources.positions, sample_params())
+    plan = plan_of(wide)
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "collect_list" not in plan
+
+
 def test_numbers_equal_a_window(spark):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 > 0, "big").when(F.col("id") % 2 == 0, "small").alias("g"),
@@ -229,10 +258,28 @@ def test_tables_and_views_as_sources(spark, sources):
     assert read_sources(spark).positions.schema == schema_of("positions")
 
 
-def test_durable_output_can_be_replaced(spark):
-    for n in (3, 2):
+def test_durable_output_is_replaced_without_a_gap(spark):
+    def content():
+        return sorted(r.id for r in spark.table("durable_output").collect())
+
+    for n in (3, 2, 4):
         write_durable(spark.range(n), "durable_output")
-    assert spark.table("durable_output").count() == 2
+        assert content() == list(range(n))
+    before = spark.table("durable_output")
+    failing = spark.range(5).withColumn("id", F.expr("IF(id = 3, raise_error('stop'), id)"))
+    with pytest.raises(Exception, match="stop"):
+        write_durable(failing, "durable_output")
+    assert content() == [0, 1, 2, 3]
+    # A query planned before the switch still ends, and only the last two contents are kept.
+    write_durable(spark.range(6), "durable_output")
+    assert before.count() == 4 and content() == list(range(6))
+    home = Path(spark.conf.get("spark.sql.warehouse.dir").removeprefix("file:"))
+    assert len(list((home / "durable_output.versions").iterdir())) == 2
+    # Written from its own content, and with other columns.
+    write_durable(spark.table("durable_output").filter("id > 2"), "durable_output")
+    assert content() == [3, 4, 5]
+    write_durable(spark.table("durable_output").selectExpr("id", "CAST(id AS STRING) AS name"), "durable_output")
+    assert spark.table("durable_output").columns == ["id", "name"] and content() == [3, 4, 5]
 
 
 def test_all_outputs_are_written(spark, sources):
@@ -260,21 +307,66 @@ def test_all_outputs_are_written(spark, sources):
     assert counts["permission_hist"] == QUERIES["key_uniqueness"](sources, params).count()
 
 
-def test_refresh_touches_the_range_only(spark):
-    def rows(value, days):
-        data = [(value, date(2001, 1, d)) for d in days]
-        return spark.createDataFrame(data, "v int, day date")
-
-    rows(1, range(1, 11)).write.partitionBy("day").format("parquet").saveAsTable("refreshed_table")
-    source = rows(2, [4, 6, 7, 12])
-    lo, hi = date(2001, 1, 4), date(2001, 1, 7)
-    expected = {(1, d) for d in (1, 2, 3, 8, 9, 10)} | {(2, d) for d in (4, 6, 7)}
-    virtual = refreshed(spark.table("refreshed_table"), source, "day", lo, hi)
+@pytest.fixture(params=["managed", "external"])
+def refreshed_table(spark, request, tmp_path):
+    """Days 1 to 10 with the value 1, as a table of either kind."""
+    name = f"refreshed_{request.param}"
+    writer = _days(spark, 1, range(1, 11)).write.partitionBy("day").format("parquet")
+    (writer.option("path", str(tmp_path / "days")) if request.param == "external" else writer).saveAsTable(name)
+    yield name
+    spark.sql(f"DROP TABLE {name}")
+
+
+def _days(spark, value, days):
+    return spark.createDataFrame([(value, date(2001, 1, d)) for d in days], "v int, day date")
+
+
+def _content(spark, table):
+    rows = [(r.v, r.day.day) for r in spark.table(table).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_refresh_touches_the_range_only(spark, refreshed_table):
+    """Day 5 has vanished from the source, day 11 is new, day 13 lies outside."""
+    source = _days(spark, 2, [4, 6, 7, 11, 13])
+    lo, hi = date(2001, 1, 4), date(2001, 1, 11)
+    expected = {(1, d) for d in (1, 2, 3)} | {(2, d) for d in (4, 6, 7, 11)}
+    virtual = refreshed(spark.table(refreshed_table), source, "day", lo, hi)
     assert {(r.v, r.day.day) for r in virtual.collect()} == expected
     for _ in range(2):
-        refresh_partitions(source, "refreshed_table", "day", lo, hi)
-        assert {(r.v, r.day.day) for r in spark.table("refreshed_table").collect()} == expected
-        assert spark.table("refreshed_table").count() == len(expected)
+        refresh_partitions(source, refreshed_table, "day", lo, hi)
+        assert _content(spark, refreshed_table) == expected
+    # The files are gone too: nothing comes back when the partitions are looked for.
+    spark.sql(f"ALTER TABLE {refreshed_table} RECOVER PARTITIONS")
+    assert _content(spark, refreshed_table) == expected
+    refresh_partitions(source.limit(0), refreshed_table, "day", date(2001, 1, 7), hi)
+    assert _content(spark, refreshed_table) == {x for x in expected if x[1] < 7}
+
+
+@pytest.mark.parametrize("step", ["ADD IF NOT EXISTS", "files", "DROP IF EXISTS"])
+def test_refresh_can_be_repeated_after_a_failure(spark, refreshed_table, step, monkeypatch):
+    source = _days(spark, 2, [4, 6, 11])
+    lo, hi = date(2001, 1, 4), date(2001, 1, 11)
+    with monkeypatch.context() as patched:
+        if step == "files":
+            patched.setattr(sinks, "_remove", lambda *_: (_ for _ in ()).throw(OSError("stop")))
+        else:
+            sql = type(spark).sql
+
+            def failing(self, text, *args, **kwargs):
+                if step in text:
+                    raise OSError("stop")
+                return sql(self, text, *args, **kwargs)
+
+            patched.setattr(type(spark), "sql", failing)
+        with pytest.raises(OSError, match="stop"):
+            refresh_partitions(source, refreshed_table, "day", lo, hi)
+    # What is there is of before or of after, and nothing outside the range has changed.
+    between = _content(spark, refreshed_table)
+    assert {x for x in between if x[1] < 4} == {(1, 1), (1, 2), (1, 3)} and {(2, 4), (2, 6)} <= between
+    refresh_partitions(source, refreshed_table, "day", lo, hi)
+    assert _content(spark, refreshed_table) == {(1, 1), (1, 2), (1, 3), (2, 4), (2, 6), (2, 11)}
 
 
 def test_refresh_with_null_days_and_a_second_partition_column(spark):
@@ -301,8 +393,6 @@ def _files(spark, table):
 
 
 def test_staging_is_removed_after_use_and_after_errors(spark):
-    from pathlib import Path
-
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
     before = set(shared.glob("*"))
     with staging(spark) as keep:
@@ -312,3 +402,17 @@ def test_staging_is_removed_after_use_and_after_errors(spark):
         keep(spark.range(5), "kept")
         1 / 0
     assert set(shared.glob("*")) == before
+
+
+def test_scope_removes_what_its_queries_have_staged(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("*"))
+    with scope(spark):
+        df = stage(spark.range(5), "scoped")
+        with scope(spark):
+            assert stage(df.filter("id > 1"), "inner").count() == 3
+        assert df.count() == 5 and len(set(shared.glob("*")) - before) == 1
+    with pytest.raises(ZeroDivisionError), scope(spark):
+        stage(spark.range(5), "scoped")
+        1 / 0
+    assert set(shared.glob("*")) == before

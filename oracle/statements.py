@@ -474,6 +474,7 @@ def oracle_statements(given: frozenset[str] = frozenset()) -> dict[str, str]:
         "position_kpis_long": _long(*KPIS),
         "position_kpis_wide": _wide(KPIS),
         "lifetime_kpis": "SELECT * FROM lifetime",
+        "lifetime_store": "SELECT * FROM lifetime",
         "return_rates": _wide(("RSQ", "RWQ"), relation="rated"),
         "assortment_breadth": f"""SELECT a.bpid, a.accountDate,
             {', '.join(f'{_age_mask(k, f"coalesce(sort{k}.n, 0)")} AS AnzSorti_S{k}' for k in K6)},

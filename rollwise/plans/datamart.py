@@ -22,7 +22,7 @@ from rollwise.operators.repeats import TIMES, repeat_rows, split_copies
 from rollwise.params import Params
 from rollwise.plans.contacts import FUNNEL, newsletter_funnel, permissions_as_of
 from rollwise.plans.orders import order_quotes, profit_by_period
-from rollwise.plans.population import ACCOUNT, POPULATION_COLUMNS, population, segment_rollup_sql
+from rollwise.plans.population import ACCOUNT, POPULATION_COLUMNS, demand_profile_of, population, segment_rollup_sql
 from rollwise.plans.positions import (
     ACTIVITY_MASKS,
     LIFETIME_NAMES,
@@ -30,7 +30,7 @@ from rollwise.plans.positions import (
     lifetime_kpis_of,
     mask_long,
     masked_sql,
-    order_measures,
+    order_facts,
     period_kpis_of,
     with_activity,
     with_breadth,
@@ -85,15 +85,13 @@ def period_output(k: int) -> list[str]:
     return [f"{name}_S{k}" for name in names]
 
 
-def account_features(positions: DataFrame, params: Params, stage: Stage = stage_in_shared_folder) -> DataFrame:
+def account_features(orders: DataFrame, params: Params) -> DataFrame:
     """All position features, one row per account: half years, breadth, activity masks, lifetime.
 
-    The positions are read and dealt out once; half years and lifetime start from the same staged
-    orders. Rates, masks and flags are computed while each half year is a row, that is once per
+    ``orders`` are the staged ``order_facts``, so the positions are read and dealt out once. Rates, masks and flags are computed while each half year is a row, that is once per
     measure instead of once per measure and half year; the age mask may be, because an account is
     joined to the population by its own opening date.
     """
-    orders = stage(order_measures(positions, params), "orders")
     measures = [*PERIOD_MEASURES, MATERNITY]
     long = with_activity(with_breadth(with_rates(period_kpis_of(orders))))
     long = mask_long(long.select(*ACCOUNT, "period", *measures, "AnzSorti", *ACTIVITY_MASKS), params, measures)
@@ -208,13 +206,25 @@ class Inputs:
 
 
 def prepare(
-    src: Sources, params: Params, stage: Stage = stage_in_shared_folder, people: DataFrame | None = None, web: bool = True
+    src: Sources,
+    params: Params,
+    stage: Stage = stage_in_shared_folder,
+    people: DataFrame | None = None,
+    web: bool = True,
+    orders: DataFrame | None = None,
 ) -> Inputs:
-    """Stage account and partner features; take the population as given or derive it."""
-    accounts = stage(account_features(src.positions, params, stage), "accounts")
-    partners = stage(partner_features(src, params, web), "partners")
+    """Stage what the outputs share; take population and order facts as given or derive them.
+
+    The positions are read once: the population's demand comes from the order facts too.
+    """
+    if orders is None:
+        orders = stage(order_facts(src.positions, params), "orders")
     if people is None:
-        people = stage(population(src, params), "population")
+        people = stage(population(src, params, demand_profile_of(orders, params)), "population")
+    # One row per account, read by the joins of two outputs: bucketed, neither has to move it again. The
+    # other sides of partner joins may hold a partner many times, so these are left for Spark to split.
+    accounts = stage(account_features(orders, params), "accounts", bucket_by=ACCOUNT)
+    partners = stage(partner_features(src, params, web), "partners")
     return Inputs(src, params, people, accounts, partners, stage)
 
 
@@ -300,8 +310,8 @@ def key_counts(src: Sources) -> DataFrame:
 def write_outputs(src: Sources, params: Params, database: str | None = None) -> None:
     """Create or replace the five output tables and the key counts.
 
-    The population is written first and read by the others. What they share is staged once and
-    removed at the end.
+    The positions are read once, for the order facts. The population is written first and read by the
+    others. What they share is staged once and removed at the end.
     """
 
     def write(name: str, df: DataFrame) -> DataFrame:
@@ -311,8 +321,9 @@ def write_outputs(src: Sources, params: Params, database: str | None = None) ->
 
     with staging(src.positions.sparkSession) as stage:
         write(KEY_COUNTS, key_counts(src))
-        people = write("population", population(src, params))
-        inputs = prepare(src, params, stage, people)
+        orders = stage(order_facts(src.positions, params), "orders")
+        people = write("population", population(src, params, demand_profile_of(orders, params)))
+        inputs = prepare(src, params, stage, people, orders=orders)
         write("order_quotes", order_quotes(people, src.order_profit, params))
         write("datamart_transactions", transactions(inputs))
         write("datamart_webshop", webshop(people, src, params, inputs.partners))

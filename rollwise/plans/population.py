@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.functions import day_literal, in_days, round_to_long_sql, valid_at
+from rollwise.functions import day_literal, in_days, in_days_sql, round_to_long_sql, valid_at
 from rollwise.operators.joins import absent_from
 from rollwise.operators.periods import covering_range, period_sums
 from rollwise.params import Params
@@ -122,22 +122,36 @@ def repeat_customer_sql(params: Params) -> str:
     return f"CASE WHEN {opened} AND bbwS2 > 0 THEN 1 ELSE 0 END"
 
 
+def demand_slots(params: Params) -> dict[str, str]:
+    """Sums over positions from which segments and inactivity follow, by column: demand per half year of
+    the reporting date, and demand since the inactivity horizon of accounts at least that old."""
+    since = day_literal(params.inactive_since)
+    demand = f"rectype = {DEMAND}"
+    slots = {f"bbw{p.name}": f"sum(CASE WHEN {demand} AND {in_days_sql('reportingdate', p.lo, p.hi)} THEN kpivaluevk END)" for p in params.periods}
+    return slots | {"nf": f"sum(CASE WHEN {demand} AND accountDate <= {since} AND to_date(reportingdate) >= {since} THEN kpivaluevk END)"}
+
+
+def is_recent_demand(positions: DataFrame, params: Params) -> Column:
+    """Filter form: positions that ``demand_slots`` may count."""
+    since = min(params.inactive_since, *(p.lo for p in params.periods))
+    return (F.col("rectype") == DEMAND) & in_days(positions, "reportingdate", lo=since)
+
+
 def demand_profile(positions: DataFrame, params: Params) -> DataFrame:
     """``demand_by_period`` and ``recent_demand`` of all accounts in one pass over the demand rows."""
-    rows = demand_rows(positions)
-    since = params.inactive_since
-    rows = rows.filter(in_days(rows, "reportingdate", lo=min(since, *(p.lo for p in params.periods))))
-    recent = f"""sum(CASE WHEN accountDate <= {day_literal(since)}
-        AND to_date(reportingdate) >= {day_literal(since)} THEN kpivaluevk END)"""
-    return rows.groupBy(*ACCOUNT).agg(
-        *period_sums("reportingdate", params.periods, {"bbw": "kpivaluevk"}), F.expr(recent).alias("nf")
-    )
+    rows = positions.filter(is_recent_demand(positions, params))
+    return rows.groupBy(*ACCOUNT).agg(*[F.expr(f"{sql} AS {name}") for name, sql in demand_slots(params).items()])
+
+
+def demand_profile_of(orders: DataFrame, params: Params) -> DataFrame:
+    """``demand_profile`` from ``order_facts``."""
+    return orders.groupBy(*ACCOUNT).agg(*[F.sum(name).alias(name) for name in demand_slots(params)])
 
 
-def population(src: Sources, params: Params) -> DataFrame:
+def population(src: Sources, params: Params, demand: DataFrame | None = None) -> DataFrame:
     """One row per eligible account (and per address of it) with age, tenure and segments.
 
-    Whether an account is inactive follows from the same demand rows as its segment, so it is
+    ``demand`` is a ``demand_profile`` that is there already; else the positions are read for it. Whether an account is inactive follows from the same demand rows as its segment, so it is
     tested on the joined row instead of by a second read and an anti join. Partner 0 is the
     absent-key sentinel and is never treated as inactive.
     """
@@ -156,7 +170,7 @@ def population(src: Sources, params: Params) -> DataFrame:
         "NK3": repeat_customer_sql(params),
     }
     return (
-        accounts.join(demand_profile(src.positions, params), list(ACCOUNT), "left")
+        accounts.join(demand_profile(src.positions, params) if demand is None else demand, list(ACCOUNT), "left")
         .filter(~F.coalesce(inactive, F.lit(False)))
         .join(src.address_overview.select(*ACCOUNT), list(ACCOUNT), "left")
         .select(*ACCOUNT, *[F.expr(sql).alias(name) for name, sql in exprs.items()])

@@ -10,9 +10,9 @@ rows per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollwise.functions import (
@@ -26,7 +26,7 @@ from rollwise.functions import (
 from rollwise.functions.categories import CATEGORIES, MATERNITY_PREFIX
 from rollwise.operators.periods import assign_period, period_columns, period_or_null
 from rollwise.params import Params
-from rollwise.plans.population import ACCOUNT
+from rollwise.plans.population import ACCOUNT, demand_slots, is_recent_demand
 
 # Record types of a position.
 DEMAND, CANCEL, GROSS, RETURN, NET, VOUCHER = 1, 3, 5, 6, 91, 701
@@ -134,10 +134,12 @@ LIFETIME_MEASURES = (
 LIFETIME_NAMES = tuple(m.name for m in LIFETIME_MEASURES)
 
 
-def _per_order(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
+def per_order(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure], others: dict[str, str] | None = None) -> DataFrame:
+    """Measures per order and ``keys``: sums, and flags for what is counted."""
     prepared = rows.withColumn("prefix", F.substring("promotionpurchasecd", 1, 2))
     prepared = prepared.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
-    return prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{m.per_order()} AS {m.name}") for m in measures])
+    aggregates = {m.name: m.per_order() for m in measures} | (others or {})
+    return prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{sql} AS {name}") for name, sql in aggregates.items()])
 
 
 def _per_account(per_order: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
@@ -145,7 +147,7 @@ def _per_account(per_order: DataFrame, keys: Sequence[str], measures: Sequence[M
 
 
 def _two_levels(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    return _per_account(_per_order(rows, keys, measures), keys, measures)
+    return _per_account(per_order(rows, keys, measures), keys, measures)
 
 
 def period_positions(positions: DataFrame, params: Params) -> DataFrame:
@@ -169,37 +171,42 @@ def position_kpis_wide(
     return period_columns(position_kpis_long(positions, params, names), ACCOUNT, params.periods, names)
 
 
-def lifetime_positions(positions: DataFrame, params: Params) -> DataFrame:
-    """Positions ordered and reported since the lifetime start, which is before the oldest half year."""
-    return positions.filter(
-        in_days(positions, "reportingdate", params.lifetime_start, params.as_of)
-        & in_days(positions, "orderdate", params.lifetime_start, params.as_of)
-    )
+def in_lifetime(positions: DataFrame, params: Params) -> Column:
+    """Filter form: ordered and reported since the lifetime start, which is before the oldest half year."""
+    days = (params.lifetime_start, params.as_of)
+    return in_days(positions, "reportingdate", *days) & in_days(positions, "orderdate", *days)
 
 
 def lifetime_kpis(positions: DataFrame, params: Params) -> DataFrame:
     """Lifetime totals of positions ordered and reported since the lifetime start."""
-    return _two_levels(lifetime_positions(positions, params), ACCOUNT, LIFETIME_MEASURES)
+    return _two_levels(positions.filter(in_lifetime(positions, params)), ACCOUNT, LIFETIME_MEASURES)
 
 
-def order_measures(positions: DataFrame, params: Params) -> DataFrame:
-    """Half-year and lifetime measures per account, order and half year, in one pass.
+def order_facts(positions: DataFrame, params: Params) -> DataFrame:
+    """All that a run needs of the positions, per account, order and half year, in one pass.
 
-    The half year is NULL for positions that count for the lifetime only: those ordered before the
-    oldest half year, and those reported after the grace range of theirs.
+    Positions are placed in two calendars at once. Half-year measures follow the order date: the half
+    year is NULL for positions that count for the lifetime only, those ordered before the oldest half
+    year and those reported after the grace range of theirs. Demand follows the reporting date and has
+    a column per half year. ``counted`` tells which rows have positions of the lifetime at all; the
+    others hold demand of orders from before it.
     """
-    rows = lifetime_positions(positions, params).withColumn("period", period_or_null("orderdate", params.periods, "reportingdate"))
-    return _per_order(rows, [*ACCOUNT, "period"], [*MEASURES, *LIFETIME_MEASURES])
+    lifetime = F.coalesce(in_lifetime(positions, params), F.lit(False))
+    rows = positions.filter(lifetime | is_recent_demand(positions, params)).withColumn("counted", lifetime)
+    rows = rows.withColumn("period", F.when(F.col("counted"), period_or_null("orderdate", params.periods, "reportingdate")))
+    whole_life = [replace(m, when=f"counted AND {m.when}") for m in LIFETIME_MEASURES]
+    others = {"counted": "bool_or(counted)"} | demand_slots(params)
+    return per_order(rows, [*ACCOUNT, "period"], [*MEASURES, *whole_life], others)
 
 
 def period_kpis_of(orders: DataFrame) -> DataFrame:
-    """``position_kpis_long`` from ``order_measures``."""
+    """``position_kpis_long`` from ``order_facts``."""
     return _per_account(orders.filter("period IS NOT NULL"), [*ACCOUNT, "period"], MEASURES)
 
 
 def lifetime_kpis_of(orders: DataFrame) -> DataFrame:
-    """``lifetime_kpis`` from ``order_measures``; an order counts once whatever its half years."""
-    whole = orders.groupBy(*ACCOUNT, "orderid").agg(
+    """``lifetime_kpis`` from ``order_facts``; an order counts once whatever its half years."""
+    whole = orders.filter("counted").groupBy(*ACCOUNT, "orderid").agg(
         *[F.expr(f"{'sum' if m.kind == 'sum' else 'max'}({m.name}) AS {m.name}") for m in LIFETIME_MEASURES]
     )
     return _per_account(whole, ACCOUNT, LIFETIME_MEASURES)

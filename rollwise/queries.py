@@ -12,7 +12,7 @@ from rollwise.functions import in_days, round_to_long, valid_at
 from rollwise.operators import absent_from, assign_period, duplicate_keys, number_rows, repeat_rows, split_copies
 from rollwise.operators.periods import period_columns
 from rollwise.params import Params
-from rollwise.plans import contacts, datamart, orders, population, positions, web
+from rollwise.plans import contacts, datamart, orders, population, positions, store, web
 from rollwise.plans.population import ACCOUNT
 from rollwise.sources import Sources, refresh_partitions, refreshed, sample_params, sample_sources, session_folder, stage
 
@@ -283,6 +283,17 @@ def lifetime_kpis(src: Sources, params: Params) -> DataFrame:
     return positions.lifetime_kpis(src.positions, params)
 
 
+@query
+def lifetime_store(src: Sources, params: Params) -> DataFrame:
+    """``lifetime_kpis`` from a store that was made before the newest half year was known."""
+    spark = src.positions.sparkSession
+    name = f"lifetime_{uuid4().hex}"
+    newest = params.period(1)
+    store.create_store(src.positions.filter(~in_days(src.positions, "reportingdate", newest.lo, newest.hi)), name, f"{session_folder(spark)}/{name}")
+    store.refresh_store(src.positions, name, newest.lo, newest.hi)
+    return store.lifetime_kpis_from(spark.table(name), params)
+
+
 @query
 def return_rates(src: Sources, params: Params) -> DataFrame:
     long = positions.with_rates(_long(src, params, "Retwert", "RetMenge", "Nabs_ges", "Nums_ges"))

@@ -6,7 +6,7 @@ repeated: new files are complete before the catalog names them, and old ones go
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 from datetime import date
@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from rollwise.functions.scalars import in_days
 
-Stage = Callable[[DataFrame, str], DataFrame]
+#: (df, name, *partition_by, bucket_by=()) -> what was written.
+Stage = Callable[..., DataFrame]
 
 # Fixed value: the name of a partition without a value.
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -65,11 +66,12 @@ def _written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+def stage(df: DataFrame, name: str, *partition_by: str, bucket_by: Sequence[str] = ()) -> DataFrame:
     """Write ``df`` once to the session's shared folder and read it back.
 
     Consumers then share one computation, read only the columns they need, plan with true sizes,
-    and lost executors never cause the work upstream to be repeated.
+    and lost executors never cause the work upstream to be repeated. ``bucket_by`` needs a catalog entry
+    with an end and is heeded inside ``staging`` only.
     """
     return _written(df, f"{session_folder(df.sparkSession)}/{name}-{uuid4().hex}", *partition_by)
 
@@ -78,12 +80,29 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 def staging(spark: SparkSession) -> Iterator[Stage]:
     """Like ``stage``, in a folder that is removed on leaving the block, also after an error.
 
-    Results that read it have to be written or collected inside the block.
+    Results that read it have to be written or collected inside the block. With ``bucket_by``, rows are
+    dealt by those columns into as many buckets as a shuffle has partitions, so every later join or
+    aggregate by them reads the buckets where they are, without another exchange of this side. Spark
+    does not split a bucket, so this is for keys that do not repeat.
     """
-    folder = new_folder(spark)
+    folder, tables = new_folder(spark), []
+
+    def keep(df: DataFrame, name: str, *partition_by: str, bucket_by: Sequence[str] = ()) -> DataFrame:
+        path = f"{folder}/{name}-{uuid4().hex}"
+        if not bucket_by:
+            return _written(df, path, *partition_by)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        tables.append(f"staged_{uuid4().hex}")
+        # Dealt as buckets are, so a task writes one file.
+        writer = df.repartition(buckets, *bucket_by).write.format("parquet").bucketBy(buckets, *bucket_by)
+        writer.option("path", path).saveAsTable(tables[-1])
+        return spark.table(tables[-1])
+
     try:
-        yield lambda df, name: _written(df, f"{folder}/{name}-{uuid4().hex}")
+        yield keep
     finally:
+        for table in tables:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
         _remove(spark, folder)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rollwise.functions import in_days, round_to_long, valid_at
 from rollwise.operators import assign_period, duplicate_keys, number_rows, repeat_rows, salted_join, split_copies
 from rollwise.params import Params, equal_periods, half_year_periods
-from rollwise.plans import datamart, positions, web
+from rollwise.plans import datamart, population, positions, store, web
 from rollwise.plans.population import segment_detail_sql, segment_sql
 from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, scope, sinks, stage, staging, write_durable
 from rollwise.queries import QUERIES
@@ -140,14 +140,77 @@ def test_columns_and_numbers(sources):
         assert sorted(numbers) == list(range(1, len(numbers) + 1))
 
 
-def test_account_features_read_positions_once(sources):
-    orders = positions.order_measures(sources.positions, sample_params())
+def test_everything_follows_from_one_read_of_the_positions(sources):
+    params = sample_params()
+    orders = positions.order_facts(sources.positions, params)
     assert plan_of(orders.groupBy("bpid").count()).split("== Physical Plan ==")[-1].count("Scan") == 1
-    for whole, staged in (
-        (positions.position_kpis_long(sources.positions, sample_params()), positions.period_kpis_of(orders)),
-        (positions.lifetime_kpis(sources.positions, sample_params()), positions.lifetime_kpis_of(orders)),
+    staged = stage(orders, "orders")
+    for whole, of_orders in (
+        (positions.position_kpis_long(sources.positions, params), positions.period_kpis_of(staged)),
+        (positions.lifetime_kpis(sources.positions, params), positions.lifetime_kpis_of(staged)),
+        (population.population(sources, params), population.population(sources, params, population.demand_profile_of(staged, params))),
     ):
-        assert sorted(map(str, whole.collect())) == sorted(map(str, staged.select(whole.columns).collect()))
+        assert sorted(map(str, whole.collect())) == sorted(map(str, of_orders.select(whole.columns).collect()))
+
+
+def test_outputs_read_the_positions_once(spark, sources, tmp_path):
+    """Counted by the columns of each scan of the positions' folder in the plans of a whole run."""
+    for name, df in vars(sources).items():
+        df.write.parquet(str(tmp_path / name))
+    stored = read_sources(spark, folder=str(tmp_path))
+    params, seen = sample_params(), []
+
+    def keep(df, name, *_, **__):
+        seen.append(plan_of(df))
+        return stage(df, name)
+
+    inputs = datamart.prepare(stored, params, keep)
+    seen += [plan_of(df) for df in (datamart.transactions(inputs), datamart.full(inputs))]
+    place = f"{tmp_path.name}/positions"
+    assert sum(p.split("== Physical Plan ==")[-1].count(place) for p in seen) == 1
+
+
+def test_accounts_in_buckets_are_not_exchanged_again(spark, sources):
+    params = sample_params()
+    exchanges = {}
+    for bucketed in (True, False):
+        with staging(spark) as keep:
+            inputs = datamart.prepare(sources, params, keep if bucketed else lambda df, name, *_, **__: keep(df, name))
+            before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            try:
+                plan = plan_of(datamart.with_features(inputs.people.withColumns({n: F.lit(0) for n in datamart.BREADTH}), inputs.accounts, inputs.partners, params))
+            finally:
+                spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+            exchanges[bucketed] = plan.split("== Physical Plan ==")[-1].count("Exchange hashpartitioning")
+    assert exchanges == {True: 3, False: 4}
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("staged_")]
+
+
+def test_store_gives_lifetime_values_of_any_day(spark, sources, tmp_path):
+    """A new day is read alone, of the positions; the result is that of a full run."""
+    placed = sources.positions.withColumn("month", F.trunc("reportingdate", "month"))
+    placed.write.partitionBy("month").parquet(str(tmp_path / "positions"))
+    given = spark.read.parquet(str(tmp_path / "positions"))
+    today = date(2001, 7, 20)
+    known = given.filter(in_days(given, "reportingdate", hi=today - timedelta(days=1)))
+    store.create_store(known, "lifetime_store", str(tmp_path / "store"))
+    read = []
+    real = store.refresh_partitions
+    try:
+        store.refresh_partitions = lambda source, *args: (read.append(source.inputFiles()), read.append(plan_of(source)), real(source, *args))
+        store.refresh_store(given.filter((F.col("month") >= F.lit(date(2001, 7, 1))) & in_days(given, "reportingdate", hi=today)), "lifetime_store", today, today)
+    finally:
+        store.refresh_partitions = real
+    assert "reportingdate" in read[1].split("PushedFilters")[1][:400]
+    for anchor in (today + timedelta(days=1), today - timedelta(days=200)):
+        params = Params(anchor=anchor)
+        upto = given.filter(in_days(given, "reportingdate", hi=today))
+        want = positions.lifetime_kpis(upto, params)
+        assert sorted(map(str, store.lifetime_kpis_from(spark.table("lifetime_store"), params).select(want.columns).collect())) == sorted(map(str, want.collect()))
+    plan = plan_of(store.lifetime_kpis_from(spark.table("lifetime_store"), Params(anchor=today + timedelta(days=1))))
+    assert "reporting_month" in plan.split("PartitionFilters")[1][:300]
+    spark.sql("DROP TABLE lifetime_store")
 
 
 def test_style_interest_splits_hot_sessions(sources):

@@ -14,7 +14,7 @@ counts and the placements, nothing else. Tasks tokenize, and afterwards give the
 length its sequence and place. r comes from two levels: the place among the pieces of that length in
 the task, and the number of them in earlier tasks, so no task meets all pieces of a frequent length.
 
-Words are tokenized once per task where they repeat: text is split at ASCII white space, so the
+Words are tokenized once where they repeat: text is split at ASCII white space or finer, so the
 tokenizer must not join tokens across it (word-level pre-tokenizers that drop white space do not).
 
 Defined cases: a null text is empty and has the end id alone; repeated rows and null doc_ids are
@@ -24,10 +24,15 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
+import json
+import os
+import re
+import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +49,8 @@ END_ID = 1
 #: Tokens, pieces and attention cost; a full sequence of one document costs as much as it has tokens.
 WEIGHTS = (1.0, 0.05, 0.05)
 _CACHE = 1 << 19
+#: Pieces that go to the tokenizer in one call, which holds much beside their ids.
+_AT_ONCE = 1 << 13
 _PIECE = 1 << 22
 
 
@@ -138,34 +145,132 @@ def placements(counts: dict[int, int], of: Bin) -> list[tuple[int, int, int, int
     return sorted(out)
 
 
-class _Words:
-    """Token ids of words, kept while they repeat."""
+# The rules of tokenizers that lower the case and split words by kind of character.
+_WORD_NORMALIZER = ["NFC", "Replace", "Lowercase"]
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Texts of these characters are split alike by Python's classes, and are in normal form.
+_PLAIN = re.compile("[\t-\r\x20-~\u00a1\u00a7\u00a9\u00ab\u00ae\u00b0\u00b6\u00b7\u00bb\u00bf\u00c0-\u012f\u0131-\u017f\u2010-\u2015\u2018-\u201f\u2026]*")
+_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|[^\sa-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+")
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+class _Numbered(dict):
+    """Numbers keys in the order in which they are first asked for; ``new`` has those since it was emptied."""
 
-    def ids(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """The ids of each text; texts are split into words a few megabytes at a time."""
-        for text in texts:
-            found, pos = [np.zeros(0, np.uint32)], 0
-            while pos < len(text):
-                end = text.find(b" ", pos + _PIECE)
-                end = len(text) if end < 0 else end
-                words = text[pos:end].split()
-                new = list(set(words).difference(self.known))
-                if new:
-                    if len(self.known) > _CACHE:
-                        self.known.clear()
-                        new = list(set(words))
-                    encoded = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-                    self.known.update(zip(new, (e.ids for e in encoded)))
-                found.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.uint32))
-                pos = end
-            yield np.concatenate(found)
+    def __init__(self):
+        self.new = []
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
+def _words(path: str) -> _Words:
+    """The tokenizer at ``path``, loaded once in a Python worker, which serves many tasks."""
+    kept = vars(sys.modules.setdefault("rollwise_kept", ModuleType("rollwise_kept")))
+    if path not in kept:
+        kept[path] = _Words(path)
+    return kept[path]
 
 
+class _Words:
+    """Token ids of texts. What a text consists of is tokenized once, as it repeats.
+
+    A text of plain characters is split as a word-level tokenizer splits it, if the given one is of
+    that kind, and its pieces go to the tokenizer's model; any other text is split at ASCII white space
+    and its words go to the whole tokenizer.
+    """
+
+    def __init__(self, path: str):
+        # Tasks run side by side already.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        normal, split = (json.loads(x.__getstate__()) if x else {} for x in (self.whole.normalizer, self.whole.pre_tokenizer))
+        steps = [x["type"] for x in normal.get("normalizers", [])]
+        patterns = [x.get("pattern", {}).get("Regex") for x in split.get("pretokenizers", [])]
+        added = self.whole.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join(re.escape(x.content) for x in added) or "(?!)")
+        self.model, suffix = None, getattr(self.whole.model, "end_of_word_suffix", None)
+        if steps == _WORD_NORMALIZER and patterns == [_WORD_PATTERN, None] and suffix:
+            self.model = Tokenizer(self.whole.model)
+            split = [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            self.model.pre_tokenizer = pre_tokenizers.Sequence(split)
+            vocabulary = self.whole.get_vocab()
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[n for token, n in vocabulary.items() if token.endswith(suffix)]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        """Numbers of pieces and of words; the ids of number n are ids[starts[n] : starts[n + 1]], by kind."""
+        self.numbers = (_Numbered(), _Numbered())
+        self.starts = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.known = [np.zeros(0, np.uint32), np.zeros(0, np.uint32)]
+
+    def _encoded(self, kind: int, new: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some pieces or words one after the other, and how many each has."""
+        if kind == 0:
+            # In one go: every piece ends with the one token that has the suffix of word ends.
+            flat = np.array(self.model.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends[flat])
+            if len(ends) != len(new):
+                raise ValueError("the tokenizer does not end every piece with its suffix")
+            return flat, np.diff(ends, prepend=-1)
+        found = [e.ids for e in self.whole.encode_batch_fast(new, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum())), sizes
+
+    def _learn(self, kind: int) -> None:
+        new, starts, known = self.numbers[kind].new, [self.starts[kind]], [self.known[kind]]
+        for lo in range(0, len(new), _AT_ONCE):
+            ids, sizes = self._encoded(kind, new[lo : lo + _AT_ONCE])
+            starts.append(starts[-1][-1] + np.cumsum(sizes))
+            known.append(ids)
+        self.starts[kind], self.known[kind] = np.concatenate(starts), np.concatenate(known)
+        new.clear()
+
+    def _stretches(self, text: str) -> Iterator[str]:
+        """A text a few megabytes at a time, cut at white space."""
+        pos = 0
+        while pos < len(text):
+            cut = _BLANK.search(text, pos + _PIECE)
+            end = cut.start() if cut else len(text)
+            yield text[pos:end]
+            pos = end
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if max(map(len, self.numbers)) > _CACHE:
+            self._clear()
+        split = []
+        for text in texts:
+            plain = self.model is not None and _PLAIN.fullmatch(text) and not self.special.search(text)
+            kind, number = (0, self.numbers[0].__getitem__) if plain else (1, self.numbers[1].__getitem__)
+            found = [np.zeros(0, np.int64)]
+            for stretch in self._stretches(text):
+                pieces = _SPLIT.findall(stretch.lower()) if plain else _CHUNK.findall(stretch)
+                found.append(np.fromiter(map(number, pieces), np.int64, len(pieces)))
+            split.append((kind, np.concatenate(found)))
+        out: list = [None] * len(texts)
+        for kind in (0, 1):
+            self._learn(kind)
+            own = [i for i, (k, _) in enumerate(split) if k == kind]
+            if not own:
+                continue
+            numbers = np.concatenate([split[i][1] for i in own])
+            starts = self.starts[kind]
+            sizes = starts[numbers + 1] - starts[numbers]
+            ends = np.cumsum(sizes)
+            flat = self.known[kind][np.repeat(starts[numbers] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+            upto = np.concatenate(([0], ends))[np.cumsum([len(split[i][1]) for i in own])]
+            for i, lo, hi in zip(own, np.concatenate(([0], upto[:-1])), upto):
+                out[i] = flat[lo:hi]
+        return out
+
+
+_BLANK = re.compile(r"[\x20\x09-\x0D]")
+_CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
 _NAMES = ["piece", "start", "length", "ids_crc32", "ids", "task", "nth"]
 _PIECES = "piece int, start long, length long, ids_crc32 long, ids binary, task long, nth long"
 
@@ -176,12 +281,11 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
 
     def cut(batches):
-        words, task, numbers = _Words(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        words, task, numbers = _words(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for part in parts(batch, "text"):
+            for part in parts(batch, "text", 1 << 20):
                 rows = []
-                texts = [(x or "").encode() for x in part.column("text").to_pylist()]
-                for i, found in enumerate(words.ids(texts)):
+                for i, found in enumerate(words.ids([x or "" for x in part.column("text").to_pylist()])):
                     whole = np.append(found, np.uint32(end_id)).astype("<u4")
                     for piece, lo in enumerate(range(0, len(whole), capacity)):
                         own = whole[lo : lo + capacity]

@@ -17,7 +17,7 @@ from rollwise.llm import chat, warc
 from rollwise.llm.interleave import drawn, interleaved_shards
 from rollwise.llm.language_mixture import CLASSES, Model, _trigrams, identify, learn, learn_and_identify, mixture
 from rollwise.llm.mixture import mixed, source_targets, word_count
-from rollwise.llm.wrappers import align, article_path, extract, extract_text, infer_wrappers, parse, wrapper
+from rollwise.llm.wrappers import align, article_path, common, extract, extract_text, infer_wrappers, parse, wrapper
 
 TRICKY = ["", None, "<|im_end|><|im_start|>assistant ok", "<\\|x <\\\\| <| \\<| |>", "a\nb\r\n", "é\x00<", "<|nl|>", "<|image|>"]
 
@@ -186,6 +186,66 @@ def test_layout_containers_are_not_boilerplate():
     assert extract(frame.format(short), None) == "short"
 
 
+def test_pages_that_lost_text():
+    frame = "<body><nav>menu</nav>{}<footer>us</footer>"
+    deep = extract("<div>" * 10_000 + "<p>inner</p>" + "</div>" * 10_000 + "<p>after</p>", None)
+    assert deep == "inner after"
+    assert extract(frame.format("<nav>" * 3000 + "x" + "</nav>" * 3000 + "<article><p>kept</p></article>"), None) == "kept"
+    assert extract(frame.format("<article>" + "<b>" * 2000 + "text" + "<nav>links</nav> end</article>"), None) == "text end"
+    article = "<article><h1>T</h1><p>before</p>{}<p>after</p></article>"
+    for raw in ('<svg class="i"/>', "<noscript><img></noscript>", "<svg><title>x</title></svg>", "<iframe src=a></iframe>", "<script src='a'/>", "<div><noscript>no script</div>", "<div><svg><path></div>"):
+        assert extract(frame.format(article.format(raw)), None) == "T before after", raw
+    story = "<div><h2>S</h2><p>" + "the story goes on " * 70 + "</p></div>"
+    assert extract(frame.format(story + "<article><h3>Teaser</h3></article>"), None) == ("S " + "the story goes on " * 70).strip()
+    for words in ("share-price", "search-results", "ad-hoc", "notice-board", "table-of-contents", "alert-level"):
+        assert extract(frame.format(article.format(f"<div class='{words}'>body</div>")), None) == "T before body after", words
+    for words in ("ad", "ads top", "ad-slot", "advert-box", "social-share", "share-buttons", "notice", "cookie-notice", "related-posts", "newsletter-signup", "post-comments", "ad-1", "widget"):
+        assert extract(frame.format(article.format(f"<div class='{words}'>not this</div>")), None) == "T before after", words
+
+
+def test_common_subsequence_is_longest():
+    rng = random.Random(18)
+    for _ in range(300):
+        a, b = (rng.choices("abcd", k=rng.randrange(9)) for _ in range(2))
+        length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                length[i + 1][j + 1] = length[i][j] + 1 if a[i] == b[j] else max(length[i][j + 1], length[i + 1][j])
+        found = common(a, b)
+        assert len(found) == length[-1][-1] and all(a[i] == b[j] for i, j in found)
+        assert all(x < u and y < v for (x, y), (u, v) in zip(found, found[1:]))
+    long = [str(i % 700) for i in range(6000)]
+    assert len(common(long, long[::2])) == 3000
+
+
+def test_template_of_a_host(spark):
+    """Two templates on one host; texts by hand. What all pages of a template's place share goes, headings stay."""
+    first = "<body><div class='top-bar'>Shop</div><div class='story'><h1>{t}</h1><div>All prices include <b>tax</b> and everything else that the law asks us to print on every page</div><h2>Details</h2><p>{a}</p><p>{b}</p></div><div class='x12 col'>Call us</div></body>"
+    second = "<body><article id='post-{i}' class='post-{i}'><h1>{t}</h1><p>{a}</p><div class='more'>{b}</div></article><div class='latest'>other news of this day</div></body>"
+    rows, want = [], {}
+    for i in range(24):
+        values = {"i": i, "t": f"title {i}", "a": f"one {i} " + "long enough to count " * 3, "b": f"two {i} " + "and some more " * 2}
+        host, template = ("one.example", first) if i % 3 else ("two.example", second)
+        rows.append((i, f"https://{host}/{i}", template.format(**values)))
+        parts = [values["t"], *(["Details"] if i % 3 else []), values["a"], values["b"]]
+        want[i] = " ".join(" ".join(parts).split())
+    for parts, fan in ((1, 32), (7, 32), (5, 2)):
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(parts)
+        assert {r.page_id: r.text for r in extract_text(pages).collect()} == want
+        rules = sorted(map(tuple, infer_wrappers(pages, fan).select("host", "path", "template").collect()))
+        assert [r[0] for r in rules] == ["one.example", "two.example"]
+
+
+def test_wrappers_do_not_depend_on_how_pages_are_dealt(spark):
+    rng = random.Random(19)
+    rows = [(i, "http://h/", page(f"t{i}", "".join(rng.choice(["<p>x</p>", "<h2>y</h2>", "<ul><li>z</ul>", f"<div class='c{i % 5}'>v</div>"]) for _ in range(rng.randrange(6))))) for i in range(80)]
+    found = set()
+    for parts in (1, 3, 8):
+        pages = spark.createDataFrame(rng.sample(rows, len(rows)), "page_id long, url string, html string").repartition(parts)
+        found.add(infer_wrappers(pages, fan=4).first()["wrapper"])
+    assert len(found) == 1
+
+
 def test_wrappers_align_pages():
     pages = [wrapper(parse(page(f"title {i}", "".join(f"<p>{i} {k}</p>" for k in range(i)) + "<h2>Same</h2>" * (i % 2)))) for i in range(6)]
     whole = pages[0]

@@ -12,12 +12,14 @@ smaller doc_id are removed. Steps:
    with the block is extended both ways as far as it goes; anchors inside a factor already found are
    skipped. Factors of 50 words or more are duplicate spans.
 3. *Factor boundaries.* A window that crosses the end of a factor may still occur in another document
-   than the reference. Whoever has it also has the words from the anchor up to the boundary, so only
-   boundaries that several documents share are looked at, window by window, by their hashes.
+   than the reference, which then leaves that window open too. An anchor sends its open windows once, as
+   hashes: 42 + 1 at most for each of its two boundaries. They are summed up by hash to the smallest and
+   largest document, in tasks first, so what a group of near copies has in common meets as one row.
 4. *Removal.* Spans are joined with the texts by row.
 
 A passage in a third of all documents gives each of them one reference, never pairs among them, and
-the join with reference blocks can be split by Spark.
+the joins with the index and with reference blocks can be split by Spark. No join meets boundaries of
+one document with those of another: every window is looked up once among those that several share.
 
 Defined cases: null and blank texts have no words; documents without doc_id lose nothing and are no
 reference; rows that repeat a doc_id do not count as smaller than each other; overlapping repeats
@@ -124,15 +126,10 @@ _SEGMENT_TYPES = [pa.int64()] * 4 + [pa.bool_()] + [pa.binary()] * 3
 _SEGMENTS = "reference long, block long, row long, doc_id long, smaller boolean, seeds binary, cuts binary, words binary"
 
 
-def _hash(words: np.ndarray) -> int:
-    return int(ngrams(words, len(words)).view(np.int64)[0])
-
-
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Factors of a document against one reference block, and the windows at their boundaries.
 
-    kind 0: the factor [a, b). kind 1: a boundary, a its hash, with the anchor's windows that no
-    factor covers (starts, hashes).
+    kind 0: the factor [a, b). kind 1: the windows of an anchor that no factor covers (starts, hashes).
     """
     for batch in batches:
         rows = []
@@ -165,11 +162,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 open_ = [s for s in range(low, low + count) if s < begin or s + WINDOW > end]
                 if open_:
                     hashes = ngrams(own[open_[0] - lo : open_[-1] + WINDOW - lo], WINDOW)
-                    hashes = hashes[np.array(open_) - open_[0]].tobytes()
-                    if begin > low:
-                        rows.append((1, row, doc, _hash(own[begin - 1 - lo : anchor + GRAM - lo]), -1, np.array(open_).tobytes(), hashes))
-                    if end < low + count + WINDOW - 1:
-                        rows.append((1, row, doc, _hash(own[anchor - lo : end + 1 - lo]), 1, np.array(open_).tobytes(), hashes))
+                    rows.append((1, row, doc, None, None, np.array(open_).tobytes(), hashes[np.array(open_) - open_[0]].tobytes()))
         if rows:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _PARSED_TYPES)], _PARSED_NAMES)
 
@@ -202,12 +195,19 @@ def _kept(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[pa.RecordB
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.string()))], ["doc_id", "n_words", "n_removed", "kept"])
 
 
+def open_windows(parsed: DataFrame) -> DataFrame:
+    """(row, doc_id, start, hash) of each window that crosses a boundary of its anchor's factor."""
+    return parsed.filter("kind = 1").mapInArrow(_windows, "row long, doc_id long, start long, hash long")
+
+
 def duplicate_spans(docs: DataFrame) -> DataFrame:
     """Word ranges [a, b) of each row (by its hash ``row``) of ``docs`` (row, doc_id, text)."""
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     anchors = staged(docs.mapInArrow(_anchors, "gram long, doc_id long, row long, place long"), "anchors")
     first = F.min(F.struct("doc_id", "place", "row"))
     index = anchors.groupBy("gram").agg(first.alias("first"), F.max("doc_id").alias("top")).filter("top > first.doc_id")
+    # Written, so that the join has an exchange of its own and Spark can split the anchors of one gram.
+    index = staged(index, "index")
     found = anchors.join(index.select("gram", "first"), "gram").filter("NOT (row = first.row AND place = first.place)")
     seeds = staged(found.select("row", "place", F.col("first.row").alias("reference"), F.shiftright(F.col("first.place"), 12).alias("other"), F.expr("first.doc_id < doc_id").alias("smaller")), "seeds")
 
@@ -219,10 +219,9 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     parsed = segments.filter("row IS NOT NULL").join(blocks, ["reference", "block"])
     parsed = staged(parsed.mapInArrow(_parse, _PARSED), "factors")
 
-    edges = parsed.filter("kind = 1")
-    live = edges.groupBy("a", "b").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("a", "b")
-    windows = staged(edges.join(live, ["a", "b"], "left_semi").mapInArrow(_windows, "row long, doc_id long, start long, hash long").distinct(), "windows")
+    windows = open_windows(parsed)
     earliest = windows.groupBy("hash").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi")
+    earliest = staged(earliest.select("hash", "lo"), "earliest")
     crossing = windows.join(earliest, "hash").filter("doc_id > lo").select("row", F.col("start").alias("a"), (F.col("start") + WINDOW).alias("b"))
     whole = parsed.filter("kind = 0").select("row", "a", "b")
     return whole.union(crossing)

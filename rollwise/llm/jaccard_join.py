@@ -55,32 +55,23 @@ BLOCK_SHINGLES = 2 << 20
 #: Links in one Arrow batch, about; a text's links stay together.
 LINKS = 1 << 20
 
-_LOW = U64((1 << 40) - 1)
 _COMMON = 1 << 24
 
 
-def _ids(hashes: np.ndarray, buckets: int) -> np.ndarray:
-    """40 bits of the hash below the number of its bucket."""
-    return ((hashes >> U64(40)) % U64(buckets)) << U64(40) | hashes & _LOW
+def _bucket(ids: np.ndarray, buckets: int) -> np.ndarray:
+    return ((ids >> U64(40)) % U64(buckets)).astype(np.int64)
 
 
-def _pack(ids: np.ndarray, width: int = 5) -> bytes:
-    """The low ``width`` bytes of each number."""
-    return np.ascontiguousarray(ids.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+def _pack(ids: np.ndarray) -> bytes:
+    """Shingle ids, which are their whole 64-bit hashes at any size of the input."""
+    return ids.astype("<u8").tobytes()
 
 
-def _unpack(raw: bytes, width: int = 5) -> np.ndarray:
-    out = np.zeros((len(raw) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
-    return out.view("<u8").ravel().astype(U64)
+def _unpack(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, "<u8").astype(U64)
 
 
-def _width(buckets: int) -> int:
-    """Bytes of a shingle id; common shingles count as a bucket of their own."""
-    return -(-(40 + buckets.bit_length()) // 8)
-
-
-def _summary(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Iterator[pa.RecordBatch]:
+def _summary(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Misra-Gries summary of a task's shingles: counts fall short by at most their sum / size."""
     ids, counts = np.zeros(0, U64), np.zeros(0, np.int64)
     total = 0
@@ -90,7 +81,7 @@ def _summary(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Iter
             sets = [shingle_set(words[a:b]) for a, b in zip(at[:-1], at[1:])]
             new = np.concatenate(sets) if sets else np.zeros(0, U64)
             total += len(new)
-            found, of = np.unique(_ids(new, buckets), return_counts=True)
+            found, of = np.unique(new, return_counts=True)
             both = np.concatenate((ids, found))
             ids, inverse = np.unique(both, return_inverse=True)
             counts = np.bincount(inverse, np.concatenate((counts, of)), len(ids)).astype(np.int64)
@@ -100,12 +91,12 @@ def _summary(batches: Iterator[pa.RecordBatch], buckets: int, size: int) -> Iter
     yield pa.record_batch({"id": pa.array(np.append(ids.view(np.int64), -1)), "n": pa.array(np.append(counts, total))})
 
 
-def common_shingles(docs: DataFrame, buckets: int, size: int = SUMMARY, stage: Stage = staged) -> np.ndarray:
+def common_shingles(docs: DataFrame, size: int = SUMMARY, stage: Stage = staged) -> np.ndarray:
     """Shingles held by a share of at least 2 / size of all (text, shingle) pairs; sorted by
     (count, id). Never more than ``size`` of them, whatever the input."""
 
     def task(batches):
-        yield from _summary(batches, buckets, size)
+        yield from _summary(batches, size)
 
     sums = stage(docs.select("text").mapInArrow(task, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")), "summary")
     total = sums.filter("id = -1").agg(F.max("n")).first()[0] or 0
@@ -124,7 +115,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray)
             task += 1
             words, at = word_hashes(part.column("text"), lower=True)
             texts = [words[a:b] for a, b in zip(at[:-1], at[1:])]
-            sets = [np.unique(_ids(shingle_set(x), buckets)) for x in texts]
+            sets = [shingle_set(x) for x in texts]
             sizes = np.array([len(x) for x in sets], np.int64)
             ids = np.concatenate(sets)
             owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
@@ -143,7 +134,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray)
                 out.write_batch(head)
             rows = [(task % buckets, task, 0, np.bincount(owner[is_common], minlength=len(sets)).astype("<u4").tobytes(), order[where[is_common]].astype("<u4").tobytes(), sink.getvalue().to_pybytes())]
             ids, owner = ids[~is_common], owner[~is_common]
-            bucket = (ids >> U64(40)).astype(np.int64)
+            bucket = _bucket(ids, buckets)
             by = np.argsort(bucket, kind="stable")
             ids, owner, bucket = ids[by], owner[by], bucket[by]
             cuts = np.flatnonzero(np.diff(bucket)) + 1
@@ -185,7 +176,7 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _order(table: pa.Table, percent: int, buckets: int) -> pa.Table:
+def _order(table: pa.Table, percent: int, common: np.ndarray) -> pa.Table:
     """Rare-first shared shingles of each text of a block; none where unshared ones fill the prefix."""
     rows = table.to_pylist()
     head = next(r for r in rows if r["kind"] == 0)
@@ -197,20 +188,19 @@ def _order(table: pa.Table, percent: int, buckets: int) -> pa.Table:
         owners.append(np.repeat(np.arange(len(held)), held))
         if r["kind"] == 0:
             rank = np.frombuffer(r["ids"], "<u4").astype(np.int64)
-            ids.append(rank.astype(U64) | U64(buckets << 40))
+            ids.append(common[rank])
             ranks.append(rank + _COMMON)
         else:
             m = len(owners[-1])
-            ids.append(_unpack(r["ids"][: 5 * m]) | U64(r["bucket"] << 40))
-            ranks.append(np.frombuffer(r["ids"][5 * m :], "<u2").astype(np.int64))
+            ids.append(_unpack(r["ids"][: 8 * m]))
+            ranks.append(np.frombuffer(r["ids"][8 * m :], "<u2").astype(np.int64))
     owner, ids, rank = np.concatenate(owners), np.concatenate(ids), np.concatenate(ranks)
     by = np.lexsort((ids, rank, owner))
     ids = ids[by]
     shared = np.bincount(owner, minlength=len(n))
     at = np.concatenate(([0], np.cumsum(shared)))
     stays = (n > 0) & (shared >= _need(n, percent))
-    width = _width(buckets)
-    lists = [_pack(ids[at[i] : at[i + 1]], width) if s else None for i, s in enumerate(stays)]
+    lists = [_pack(ids[at[i] : at[i + 1]]) if s else None for i, s in enumerate(stays)]
     weight = np.bincount(owner, np.log2(np.minimum(rank, 65535)), len(n)) / np.maximum(n, 1)
     return pa.table({
         "doc_id": texts.column("doc_id"), "n": pa.array(n), "alone": pa.array(n - shared), "central": pa.array(weight),
@@ -218,13 +208,13 @@ def _order(table: pa.Table, percent: int, buckets: int) -> pa.Table:
     })
 
 
-def _postings(batches: Iterator[pa.RecordBatch], percent: int, width: int) -> Iterator[pa.RecordBatch]:
+def _postings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """The prefix shingles of each text that other texts hold, with their positions."""
     for batch in batches:
         docs, tokens, places, sizes, alones, centrals = [], [], [], [], [], []
         for doc, n, alone, central, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "n", "alone", "central", "shared"))):
             count = int(n - _need(np.int64(n), percent) + 1) - alone
-            ids = _unpack(raw, width)[: max(0, count)]
+            ids = _unpack(raw)[: max(0, count)]
             tokens.append(ids.view(np.int64))
             places.append(np.arange(len(ids)) + alone)
             for to, x in ((docs, doc), (sizes, n), (alones, alone), (centrals, central)):
@@ -233,29 +223,29 @@ def _postings(batches: Iterator[pa.RecordBatch], percent: int, width: int) -> It
             yield pa.record_batch([pa.array(np.concatenate(x)) for x in (tokens, docs, sizes, places, alones, centrals)], ["token", "doc", "n", "place", "alone", "central"])
 
 
-def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [np.bincount((_unpack(raw, width) % U64(CLASSES)).astype(np.int64), minlength=CLASSES).tolist() for raw in batch.column("shared").to_pylist()]
+        rows = [np.bincount((_unpack(raw) % U64(CLASSES)).astype(np.int64), minlength=CLASSES).tolist() for raw in batch.column("shared").to_pylist()]
         yield pa.record_batch([batch.column("doc"), batch.column("n"), pa.array(rows, pa.list_(pa.int32()))], ["doc", "n", "signature"])
 
 
-def _overlaps(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         both = [
-            len(np.intersect1d(_unpack(x, width), _unpack(y, width), assume_unique=True))
+            len(np.intersect1d(_unpack(x), _unpack(y), assume_unique=True))
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
         ]
         yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), batch.column("na"), batch.column("nb")], ["a", "b", "both", "na", "nb"])
 
 
-def _near(table: pa.Table, percent: int, width: int, skip: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+def _near(table: pa.Table, percent: int, skip: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """(x, all others near it) by row number, for each text of a block that is not in component ``skip``.
 
     Where two cuts meet, pairs within one cut are left to the task of that cut.
     """
     n, cut, component = (np.asarray(table.column(c)) for c in ("n", "cut", "component"))
     apart = len(np.unique(cut)) > 1 or table.column("i")[0] != table.column("j")[0]
-    lists = [_unpack(raw, width) for raw in table.column("shared").to_pylist()]
+    lists = [_unpack(raw) for raw in table.column("shared").to_pylist()]
     sizes = np.array([len(x) for x in lists])
     _, token = np.unique(np.concatenate(lists), return_inverse=True)
     held = np.argsort(token, kind="stable")
@@ -274,7 +264,7 @@ def _near(table: pa.Table, percent: int, width: int, skip: int | None = None) ->
         yield x, close[(close != x) & ((cut[close] != cut[x]) | (not apart))]
 
 
-def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
     """Links between texts of different components in a block, as many as join components."""
     doc = np.asarray(table.column("doc"))
     parent: dict[int, int] = {}
@@ -289,7 +279,7 @@ def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
     # A pair of the largest component needs no look, any other has a member outside it.
     largest = max(set(component), key=component.count)
     links = []
-    for x, close in _near(table, percent, width, largest):
+    for x, close in _near(table, percent, largest):
         for y in close:
             if (rx := root(component[x])) != (ry := root(component[int(y)])):
                 parent[max(rx, ry)] = min(rx, ry)
@@ -297,12 +287,12 @@ def _block_links(table: pa.Table, percent: int, width: int) -> pa.Table:
     return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
-def _partners(table: pa.Table, percent: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
+def _partners(table: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(doc, the other docs near it) for each doc of a block; rows that repeat a doc are one."""
     table = table.sort_by("doc")
     doc = np.asarray(table.column("doc"))
     near: list[np.ndarray] = []
-    for x, close in _near(table, percent, width):
+    for x, close in _near(table, percent):
         near.append(doc[close])
         if x + 1 == len(doc) or doc[x + 1] != doc[x]:
             others = np.unique(np.concatenate(near))
@@ -310,11 +300,11 @@ def _partners(table: pa.Table, percent: int, width: int) -> Iterator[tuple[int,
             near = []
 
 
-def _all_links(table: pa.Table, percent: int, width: int) -> Iterator[pa.RecordBatch]:
+def _all_links(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
     """Every link of a block, once."""
     none = np.zeros(0, np.int64)
     a, b, held = [none], [none], 0
-    for doc, others in _partners(table, percent, width):
+    for doc, others in _partners(table, percent):
         lower = others[others < doc]
         a.append(np.full(len(lower), doc))
         b.append(lower)
@@ -325,9 +315,9 @@ def _all_links(table: pa.Table, percent: int, width: int) -> Iterator[pa.RecordB
     yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
-def _block_counts(table: pa.Table, percent: int, width: int) -> pa.Table:
+def _block_counts(table: pa.Table, percent: int) -> pa.Table:
     """How many docs of a block are near each of its docs."""
-    found = [(doc, len(others)) for doc, others in _partners(table, percent, width)]
+    found = [(doc, len(others)) for doc, others in _partners(table, percent)]
     return pa.table({"doc": pa.array([d for d, _ in found], pa.int64()), "n_links": pa.array([n for _, n in found], pa.int64())})
 
 
@@ -352,7 +342,7 @@ def _possible(percent: int) -> F.Column:
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent: int, width: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """(a, b) of ``pairs`` whose similarity suffices; every pair is looked at once."""
     sa = signatures.select(F.col("doc").alias("a"), F.col("n").alias("na"), F.col("signature").alias("sa"))
     sb = signatures.select(F.col("doc").alias("b"), F.col("n").alias("nb"), F.col("signature").alias("sb"))
@@ -362,7 +352,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, signatures: DataFrame, percent
     ys = texts.select(F.col("doc").alias("b"), F.col("shared").alias("y"))
 
     def overlaps(batches):
-        yield from _overlaps(batches, width)
+        yield from _overlaps(batches)
 
     counted = left.join(xs, "a").join(ys, "b").mapInArrow(overlaps, "a long, b long, both long, na long, nb long")
     return counted.filter(f"both * 100 >= {percent} * (na + nb - both)").select("a", "b")
@@ -418,21 +408,20 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(max(16, -(-volume // bucket_bytes)), (1 << 22) - 1))
-    width = _width(buckets)
-    common = common_shingles(docs, buckets, summary, stage)
+    common = common_shingles(docs, summary, stage)
     shared_common = spark.sparkContext.broadcast(common)
 
     def blocks(batches):
         yield from _blocks(batches, buckets, shared_common.value)
 
     def order(table):
-        return _order(table, percent, buckets)
+        return _order(table, percent, shared_common.value)
 
     def prefix(batches):
-        yield from _postings(batches, percent, width)
+        yield from _postings(batches, percent)
 
     def signature(batches):
-        yield from _signatures(batches, width)
+        yield from _signatures(batches)
 
     counted = docs.mapInArrow(blocks, _ROWS).groupBy("bucket").applyInArrow(_count, _ROWS)
     ordered = stage(counted.groupBy("block").applyInArrow(order, "doc_id long, n long, alone long, central double, key binary, shared binary"), "rare-first")
@@ -453,7 +442,7 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
         .select(F.col("doc").alias("x"), F.col("m.doc").alias("y"), F.col("n").alias("nx"), F.col("m.n").alias("ny"), F.col("place").alias("px"), F.col("m.place").alias("py"), F.col("alone").alias("ax"), F.col("m.alone").alias("ay"))
     )
     pairs = stage(_pairs(near, percent), "central-pairs")
-    links = stage(_verified(pairs, texts, signatures, percent, width), "central-links")
+    links = stage(_verified(pairs, texts, signatures, percent), "central-links")
     labels = stage(connected_components(links, stage), "central-components")
 
     label = F.coalesce("component", "doc")
@@ -467,7 +456,7 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
     cuts = _cut(members, sizes, block_shingles)
 
     def block_links(table):
-        return _block_links(table, percent, width)
+        return _block_links(table, percent)
 
     more = stage(cuts.groupBy("block", "i", "j").applyInArrow(block_links, "a long, b long"), "block-links")
     components = labels
@@ -476,10 +465,10 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
         components = stage(connected_components(labels.toDF("a", "b").union(more), stage), "components")
 
     def all_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _all_links(pa.Table.from_batches(batches), percent, width)
+        yield from _all_links(pa.Table.from_batches(batches), percent)
 
     def counts(table):
-        return _block_counts(table, percent, width)
+        return _block_counts(table, percent)
 
     groups = components.withColumnRenamed("node", "doc").withColumn("block", F.col("component"))
     members = texts.select("doc", "n", "shared").distinct().join(groups, "doc")

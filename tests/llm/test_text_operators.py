@@ -7,6 +7,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from plain import components, shingles, without_repeats, words
@@ -90,6 +91,18 @@ def test_jaccard_join(spark, seed, options):
         assert 100 * len(x & y) >= 75 * len(x | y)
 
 
+def test_shingles_that_share_their_low_bits_stay_apart(spark, monkeypatch):
+    """With hashes that differ in their upper half alone, sizes and links are still those of the texts."""
+    from rollwise.llm import jaccard_join as module
+
+    real = module.shingle_set
+    monkeypatch.setattr(module, "shingle_set", lambda words: np.unique(real(words) & np.uint64(0xFFFFFFFF00000000)))
+    texts = dict(enumerate(corpus(31)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join(frame(spark, list(texts.items())))[0].collect()}
+    want = components(texts)
+    assert got == {i: (len(shingles(t)), want[i]) for i, t in texts.items()}
+
+
 def test_jaccard_join_of_one_wide_group(spark):
     """Copies that are near a common text but mostly not near each other."""
     rng = random.Random(5)

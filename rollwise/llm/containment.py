@@ -181,14 +181,16 @@ def _reporter(sent, percent: int):
 
 def decontaminated(docs: DataFrame, items: DataFrame, percent: int = PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """The rows of ``docs`` that contain no item, in place and with all their columns."""
-    sent = None
+    names, sent = docs.columns, None
+    # Python functions over frames take no names with dots.
+    docs = docs.toDF(*[c if c == "text" else f"c{i}" for i, c in enumerate(names)])
     for index in item_blocks(items, block_shingles):
         if sent is not None:
             docs = staged(docs, "decontaminated")
             sent.destroy()
         sent = docs.sparkSession.sparkContext.broadcast((index.ids, index.shingles))
         docs = docs.mapInArrow(_remover(sent, percent), docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def _remover(sent, percent: int):

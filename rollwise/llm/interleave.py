@@ -22,14 +22,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollwise.llm.staging import named
+
 CHUNK_ROWS = 4096
 _DRAWS = 16**15
 
 
-def _named(column: str) -> Column:
-    return F.col("`" + column.replace("`", "``") + "`")
-
-
 def draw(seed: int, *parts: Column) -> Column:
     """A number from 0 to 16**15 - 1 out of a seed and texts, null ones included."""
     digest = F.md5(F.to_json(F.array(F.lit(str(seed)), *parts)))
@@ -67,9 +65,9 @@ def drawn(docs: DataFrame, seed: int, source: str, key: str, chunk_rows: int) ->
     """(row, source, at, tie): the rows as structs, with the number each is ordered by in its source."""
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     large = [c for c in kept if c.lower() == "text"]
-    others = F.to_json(F.struct(*[_named(c) for c in kept if c not in large]))
-    tie = F.xxhash64(*[_named(c).cast("string") for c in large], others)
-    rows = docs.select(F.struct(*[_named(c) for c in kept]).alias("row"), _named(source).alias("source"), _named(key).cast("string").alias("key"), tie.alias("tie"))
+    others = F.to_json(F.struct(*[named(c) for c in kept if c not in large]))
+    tie = F.xxhash64(*[named(c).cast("string") for c in large], others)
+    rows = docs.select(F.struct(*[named(c) for c in kept]).alias("row"), named(source).alias("source"), named(key).cast("string").alias("key"), tie.alias("tie"))
     rows = rows.withColumn("draw", draw(seed, F.col("key"), F.col("tie").cast("string")))
     # Equal rows alone have equal draws: where they are many, they are told apart by place.
     many = rows.groupBy("draw").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk_rows).select(F.col("draw").alias("many"))

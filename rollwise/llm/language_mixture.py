@@ -25,6 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rollwise.llm.words import U64, parts, utf8
 
@@ -167,8 +168,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         yield from _predict(batches, Model(*sent.value))
 
     kept = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return docs.mapInArrow(task, f"{schema}{', ' if kept else ''}lang_pred string, score double, lang_shares map<string, double>")
+    added = T.StructType.fromDDL("lang_pred string, score double, lang_shares map<string, double>")
+    return docs.mapInArrow(task, T.StructType([*kept, *added.fields]))
 
 
 def held_out(key: str = "doc_id") -> Column:

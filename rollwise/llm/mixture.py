@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.llm.staging import staged
+from rollwise.llm.staging import named, staged
 from rollwise.operators.numbering import number_rows
 
 SEED = "mixture-1"
@@ -79,5 +79,5 @@ def with_copies(docs: DataFrame, targets: DataFrame, seed: str = SEED) -> DataFr
 def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
     """The mixture itself: rows of ``docs`` (doc_id, text, source and others), each as often as taken."""
     targets = source_targets(docs.select("source", word_count("text").alias("size")), weights, share, cap)
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "source", identity().alias("identity"))
+    rows = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("row"), "source", identity().alias("identity"))
     return with_copies(rows, targets, seed).select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

@@ -12,9 +12,11 @@ from pathlib import Path
 import duckdb
 import pytest
 from compare import assert_same
-from plain import components, shingles
+from plain import components, level_targets, shingles, words
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from rollwise.llm.mixture import SEED
 from rollwise.llm.queries import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
@@ -68,6 +70,9 @@ def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     extra = spark.createDataFrame([(9001, None, None, None, 0), (9002, "12 34", "en", "src0", 5), (None, "no id here at all", "en", None, 1)], docs.schema)
     docs = docs.union(extra)
+    # Names that the operators use themselves, names with dots, and types that have no order.
+    others = ("a.b", "row", "document", "copies", "target", "lang_pred", "component_id", "rank")
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("n_chars").cast("string")).alias(n) for n in others], F.create_map(F.lit("k"), F.col("n_chars")).alias("map"))
     items = [shingles(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     for name, stage in corpus_pipeline.STAGES:
         given, columns = docs.collect(), docs.columns
@@ -85,10 +90,30 @@ def test_pipeline(spark):
             clean = [d for d, t in texts.items() if not any(100 * len(shingles(t) & i) >= 75 * len(i) for i in items)]
             assert sorted(map(str, (r.doc_id for r in kept))) == sorted(map(str, clean))
         elif name == "source_mixture":
-            assert {r.doc_id for r in kept} <= set(texts) and max(Counter(r.doc_id for r in kept).values()) <= 2
+            sizes = Counter()
+            for r in given:
+                sizes[r.source] += len(words(r.text))
+            targets = level_targets(sizes)
+            want = Counter()
+            for r in given:
+                rate = targets[r.source] / sizes[r.source] if sizes[r.source] else 0.0
+                key = str(r.doc_id) if r.doc_id is not None else hashlib.md5((r.text or "").encode()).hexdigest()
+                draw = int(hashlib.md5(f"{SEED}:{key}".encode()).hexdigest()[:13], 16) / 16**13
+                want[(r.doc_id, r.text)] += int(rate) + (draw < rate % 1)
+            assert Counter((r.doc_id, r.text) for r in kept) == +want
         else:
             assert Counter(r.doc_id for r in kept) == Counter(r.doc_id for r in given)
-    empty = docs.select(*columns).limit(0)
+            sizes = Counter(r.shard for r in kept)
+            assert set(sizes) == set(range(40)) and max(sizes.values()) - min(sizes.values()) <= 1
+            slots = {s: sorted(r.slot for r in kept if r.shard == s) for s in sizes}
+            assert all(x == list(range(sizes[s])) for s, x in slots.items())
+            for source, n in Counter(r.source for r in kept).items():
+                held = Counter(r.shard for r in kept if r.source == source)
+                assert all(abs(held[s] - n / 40) <= 2 for s in sizes)
+        # What is kept is kept whole.
+        others_of = {(r.doc_id, r.text): tuple(r[c] for c in others) for r in given}
+        assert all(tuple(r[c] for c in others) == others_of[(r.doc_id, r.text)] for r in kept)
+    empty = docs.drop("shard", "slot").limit(0)
     for _, stage in corpus_pipeline.STAGES:
-        empty = stage(spark, empty, SF).select(*columns)
-    assert empty.count() == 0
+        empty = stage(spark, empty, SF).drop("shard", "slot")
+    assert empty.columns == columns and empty.count() == 0

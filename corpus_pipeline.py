@@ -21,7 +21,7 @@ from rollwise.llm.interleave import interleaved_shards
 from rollwise.llm.jaccard_join import jaccard_join
 from rollwise.llm.language_mixture import UNKNOWN, held_out, identify, learn
 from rollwise.llm.mixture import mixed
-from rollwise.llm.staging import staged
+from rollwise.llm.staging import named, staged
 from rollwise.sources.sinks import staging
 
 SHARDS = 40
@@ -30,10 +30,10 @@ SHARDS = 40
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; ``lang`` is filled in where it is missing."""
     model = learn(docs.filter(~held_out()).select("text", "lang"))
-    whole = docs.select(F.struct(*docs.columns).alias("document"), "text")
+    whole = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("document"), "text")
     known = identify(whole, model).filter(F.col("lang_pred") != UNKNOWN)
-    columns = [F.coalesce("document.lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"document.`{c}`") for c in docs.columns]
-    return known.select(*columns)
+    filled = F.coalesce("document.lang", "lang_pred").alias("lang")
+    return known.select(*[filled if c == "lang" else F.col("document").getField(c).alias(c) for c in docs.columns])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
         groups, _ = jaccard_join(docs, stage=stage)
         # Only these doc_ids are kept of what the join has written.
         gone = staged(groups.filter("component_id <> doc_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*[named(c) for c in docs.columns])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,8 @@ def session(cpus: str, folder: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", f"{folder}/shared")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        # A run has more generated classes than the default of 100 holds, and would compile them each time.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -74,7 +74,9 @@ def period_columns(long: DataFrame, keys: Sequence[str], periods: Sequence[Perio
     A period without a row gives NULL, a zero in an existing row stays 0. Each column is a slot of a
     hash aggregate over plain values. The rows are dealt by key first, as they are: combining before
     the exchange, as a pivot does, would send a row of all slots for every single period of a key. A key
-    has one row per period at most, so none is large.
+    has one row per period at most, so none is large. Slots compare numbers, not the periods' names.
     """
-    slots = [F.max(F.when(F.col("period") == p.name, F.col(v))).alias(f"{v}_{p.name}") for p in periods for v in values]
-    return long.select(*keys, "period", *values).repartition(*keys).groupBy(*keys).agg(*slots)
+    number = "CASE period " + " ".join(f"WHEN '{p.name}' THEN {k}" for k, p in enumerate(periods)) + " END"
+    placed = long.select(*keys, F.expr(number).alias("slot"), *values).repartition(*keys)
+    slots = [F.expr(f"max(CASE WHEN slot = {k} THEN {v} END) AS {v}_{p.name}") for k, p in enumerate(periods) for v in values]
+    return placed.groupBy(*keys).agg(*slots)

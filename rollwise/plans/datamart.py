@@ -88,9 +88,10 @@ def period_output(k: int) -> list[str]:
 def account_features(orders: DataFrame, params: Params) -> DataFrame:
     """All position features, one row per account: half years, breadth, activity masks, lifetime.
 
-    ``orders`` are the staged ``order_facts``, so the positions are read and dealt out once. Rates, masks and flags are computed while each half year is a row, that is once per
-    measure instead of once per measure and half year; the age mask may be, because an account is
-    joined to the population by its own opening date.
+    ``orders`` are the staged ``order_facts``, so the positions are read and dealt out once. Rates, masks
+    and flags are computed while each half year is a row, that is once per measure instead of once per
+    measure and half year; the age mask may be, because an account is joined to the population by its own
+    opening date.
     """
     measures = [*PERIOD_MEASURES, MATERNITY]
     long = with_activity(with_breadth(with_rates(period_kpis_of(orders))))

@@ -122,13 +122,21 @@ def repeat_customer_sql(params: Params) -> str:
     return f"CASE WHEN {opened} AND bbwS2 > 0 THEN 1 ELSE 0 END"
 
 
-def demand_slots(params: Params) -> dict[str, str]:
-    """Sums over positions from which segments and inactivity follow, by column: demand per half year of
-    the reporting date, and demand since the inactivity horizon of accounts at least that old."""
+def demand_prepared(params: Params) -> dict[str, str]:
+    """Columns that place a position in the calendar of the reporting date, once for all slots: its half
+    year by number, its demand in cents (whole numbers sum faster), and that of old enough accounts."""
     since = day_literal(params.inactive_since)
-    demand = f"rectype = {DEMAND}"
-    slots = {f"bbw{p.name}": f"sum(CASE WHEN {demand} AND {in_days_sql('reportingdate', p.lo, p.hi)} THEN kpivaluevk END)" for p in params.periods}
-    return slots | {"nf": f"sum(CASE WHEN {demand} AND accountDate <= {since} AND to_date(reportingdate) >= {since} THEN kpivaluevk END)"}
+    places = " ".join(f"WHEN {in_days_sql('reportingdate', p.lo, p.hi)} THEN {k}" for k, p in enumerate(params.periods))
+    cents = f"CASE WHEN rectype = {DEMAND} THEN CAST(kpivaluevk * 100 AS BIGINT) END"
+    recent = f"CASE WHEN rectype = {DEMAND} AND accountDate <= {since} AND to_date(reportingdate) >= {since} THEN CAST(kpivaluevk * 100 AS BIGINT) END"
+    return {"reported_in": f"CASE {places} END", "demand_cents": cents, "recent_cents": recent}
+
+
+def demand_slots(params: Params) -> dict[str, str]:
+    """Sums from which segments and inactivity follow, by column: demand in cents per half year of the
+    reporting date, and demand since the inactivity horizon of accounts at least that old."""
+    slots = {f"bbw{p.name}": f"sum(CASE WHEN reported_in = {k} THEN demand_cents END)" for k, p in enumerate(params.periods)}
+    return slots | {"nf": "sum(recent_cents)"}
 
 
 def is_recent_demand(positions: DataFrame, params: Params) -> Column:
@@ -138,8 +146,9 @@ def is_recent_demand(positions: DataFrame, params: Params) -> Column:
 
 
 def demand_profile(positions: DataFrame, params: Params) -> DataFrame:
-    """``demand_by_period`` and ``recent_demand`` of all accounts in one pass over the demand rows."""
+    """``demand_by_period`` and ``recent_demand`` of all accounts, in cents, in one pass over the demand rows."""
     rows = positions.filter(is_recent_demand(positions, params))
+    rows = rows.withColumns({name: F.expr(sql) for name, sql in demand_prepared(params).items()})
     return rows.groupBy(*ACCOUNT).agg(*[F.expr(f"{sql} AS {name}") for name, sql in demand_slots(params).items()])
 
 

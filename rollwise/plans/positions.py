@@ -26,7 +26,7 @@ from rollwise.functions import (
 from rollwise.functions.categories import CATEGORIES, MATERNITY_PREFIX
 from rollwise.operators.periods import assign_period, period_columns, period_or_null
 from rollwise.params import Params
-from rollwise.plans.population import ACCOUNT, demand_slots, is_recent_demand
+from rollwise.plans.population import ACCOUNT, demand_prepared, demand_slots, is_recent_demand
 
 # Record types of a position.
 DEMAND, CANCEL, GROSS, RETURN, NET, VOUCHER = 1, 3, 5, 6, 91, 701
@@ -194,6 +194,7 @@ def order_facts(positions: DataFrame, params: Params) -> DataFrame:
     lifetime = F.coalesce(in_lifetime(positions, params), F.lit(False))
     rows = positions.filter(lifetime | is_recent_demand(positions, params)).withColumn("counted", lifetime)
     rows = rows.withColumn("period", F.when(F.col("counted"), period_or_null("orderdate", params.periods, "reportingdate")))
+    rows = rows.withColumns({name: F.expr(sql) for name, sql in demand_prepared(params).items()})
     whole_life = [replace(m, when=f"counted AND {m.when}") for m in LIFETIME_MEASURES]
     others = {"counted": "bool_or(counted)"} | demand_slots(params)
     return per_order(rows, [*ACCOUNT, "period"], [*MEASURES, *whole_life], others)

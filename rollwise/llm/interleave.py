@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollwise.llm.staging import named
+from rollwise.llm.staging import named, staged
 
 CHUNK_ROWS = 4096
 _DRAWS = 16**15
@@ -69,8 +69,10 @@ def drawn(docs: DataFrame, seed: int, source: str, key: str, chunk_rows: int) ->
     tie = F.xxhash64(*[named(c).cast("string") for c in large], others)
     rows = docs.select(F.struct(*[named(c) for c in kept]).alias("row"), named(source).alias("source"), named(key).cast("string").alias("key"), tie.alias("tie"))
     rows = rows.withColumn("draw", draw(seed, F.col("key"), F.col("tie").cast("string")))
-    # Equal rows alone have equal draws: where they are many, they are told apart by place.
-    many = rows.groupBy("draw").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk_rows).select(F.col("draw").alias("many"))
+    # Equal rows alone have equal draws: where they are many, they are told apart by place. Such draws are
+    # written first, so that Spark knows their size and moves no row to meet them while they are few.
+    many = rows.groupBy("draw").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > chunk_rows)
+    many = staged(many.select(F.col("draw").alias("many")), "repeated")
     spread = rows.withColumn("id", F.monotonically_increasing_id().cast("string")).join(many, F.col("draw") == F.col("many"), "left")
     apart = draw(seed, F.col("draw").cast("string"), F.col("id"))
     return spread.select("row", "source", "tie", F.when(F.col("many").isNull(), F.col("draw")).otherwise(apart).alias("at"))

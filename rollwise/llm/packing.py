@@ -18,8 +18,8 @@ Words are tokenized once where they repeat: text is split at ASCII white space o
 tokenizer must not join tokens across it (word-level pre-tokenizers that drop white space do not).
 
 Defined cases: a null text is empty and has the end id alone; repeated rows and null doc_ids are
-packed as documents of their own; ties between bins go to the smaller remainder; no documents give no
-rows; other columns are not read.
+packed as documents of their own; ties between bins go to the smaller remainder; a piece that alone
+exceeds a capacity is an error; no documents give no rows; other columns are not read.
 """
 
 from __future__ import annotations

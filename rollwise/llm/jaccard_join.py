@@ -45,7 +45,9 @@ from rollwise.sources.sinks import Stage
 
 PERCENT = 75
 #: Bytes of text whose shingles meet in one bucket.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
+#: Buckets at least: their number and 7 bytes then tell a 64-bit shingle id.
+LEAST_BUCKETS = 256
 #: Counters of a frequency summary: a shingle above 2 / SUMMARY of all is surely in the list.
 SUMMARY = 1 << 15
 #: Classes of the suffix signature.
@@ -55,6 +57,7 @@ BLOCK_SHINGLES = 2 << 20
 #: Links in one Arrow batch, about; a text's links stay together.
 LINKS = 1 << 20
 
+_LOW = U64((1 << 40) - 1)
 _COMMON = 1 << 24
 
 
@@ -71,6 +74,25 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u8").astype(U64)
 
 
+def _shorten(ids: np.ndarray, buckets: int) -> np.ndarray:
+    """What is left to tell of ids whose bucket is known: 56 bits, without loss."""
+    return (ids >> U64(40)) // U64(buckets) << U64(40) | ids & _LOW
+
+
+def _restore(short: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    return ((short >> U64(40)) * U64(buckets) + U64(bucket)) << U64(40) | short & _LOW
+
+
+def _pack_short(short: np.ndarray) -> bytes:
+    return np.ascontiguousarray(short.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def _unpack_short(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+    return out.view("<u8").ravel().astype(U64)
+
+
 def _summary(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Misra-Gries summary of a task's shingles: counts fall short by at most their sum / size."""
     ids, counts = np.zeros(0, U64), np.zeros(0, np.int64)
@@ -141,7 +163,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], buckets: int, common: np.ndarray)
             for lo, hi in zip([0, *cuts], [*cuts, len(ids)]):
                 if hi > lo:
                     held = np.bincount(owner[lo:hi], minlength=len(sets)).astype("<u4")
-                    rows.append((int(bucket[lo]), task, 1, held.tobytes(), _pack(ids[lo:hi]), b""))
+                    rows.append((int(bucket[lo]), task, 1, held.tobytes(), _pack_short(_shorten(ids[lo:hi], buckets)), b""))
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), _ROW_TYPES)], _ROW_NAMES)
 
 
@@ -156,7 +178,7 @@ def _count(table: pa.Table) -> pa.Table:
     own = [r for r in rows if r["kind"] == 1]
     out = [tuple(r[c] for c in _ROW_NAMES) for r in rows if r["kind"] == 0]
     if own:
-        lists = [_unpack(r["ids"]) for r in own]
+        lists = [_unpack_short(r["ids"]) for r in own]
         low, inverse, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
         frequency = counts[inverse]
         at = 0
@@ -166,7 +188,7 @@ def _count(table: pa.Table) -> pa.Table:
             held = np.frombuffer(r["held"], "<u4")
             owner = np.repeat(np.arange(len(held)), held)[f > 1]
             if len(owner):
-                raw = _pack(ids[f > 1]) + np.minimum(f[f > 1], 65535).astype("<u2").tobytes()
+                raw = _pack_short(ids[f > 1]) + np.minimum(f[f > 1], 65535).astype("<u2").tobytes()
                 out.append((r["bucket"], r["block"], 1, np.bincount(owner, minlength=len(held)).astype("<u4").tobytes(), raw, b""))
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, _ROW_TYPES)], _ROW_NAMES)
 
@@ -176,7 +198,7 @@ def _need(n: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * n // 100)
 
 
-def _order(table: pa.Table, percent: int, common: np.ndarray) -> pa.Table:
+def _order(table: pa.Table, percent: int, buckets: int, common: np.ndarray) -> pa.Table:
     """Rare-first shared shingles of each text of a block; none where unshared ones fill the prefix."""
     rows = table.to_pylist()
     head = next(r for r in rows if r["kind"] == 0)
@@ -192,8 +214,8 @@ def _order(table: pa.Table, percent: int, common: np.ndarray) -> pa.Table:
             ranks.append(rank + _COMMON)
         else:
             m = len(owners[-1])
-            ids.append(_unpack(r["ids"][: 8 * m]))
-            ranks.append(np.frombuffer(r["ids"][8 * m :], "<u2").astype(np.int64))
+            ids.append(_restore(_unpack_short(r["ids"][: 7 * m]), r["bucket"], buckets))
+            ranks.append(np.frombuffer(r["ids"][7 * m :], "<u2").astype(np.int64))
     owner, ids, rank = np.concatenate(owners), np.concatenate(ids), np.concatenate(ranks)
     by = np.lexsort((ids, rank, owner))
     ids = ids[by]
@@ -407,7 +429,7 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     volume = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(max(16, -(-volume // bucket_bytes)), (1 << 22) - 1))
+    buckets = int(min(max(LEAST_BUCKETS, -(-volume // bucket_bytes)), (1 << 22) - 1))
     common = common_shingles(docs, summary, stage)
     shared_common = spark.sparkContext.broadcast(common)
 
@@ -415,7 +437,7 @@ def joined(docs: DataFrame, percent: int, bucket_bytes: int, summary: int, block
         yield from _blocks(batches, buckets, shared_common.value)
 
     def order(table):
-        return _order(table, percent, shared_common.value)
+        return _order(table, percent, buckets, shared_common.value)
 
     def prefix(batches):
         yield from _postings(batches, percent)

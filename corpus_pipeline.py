@@ -30,10 +30,11 @@ SHARDS = 40
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language; ``lang`` is filled in where it is missing."""
     model = learn(docs.filter(~held_out()).select("text", "lang"))
-    whole = docs.select(F.struct(*[named(c) for c in docs.columns]).alias("document"), "text")
-    known = identify(whole, model).filter(F.col("lang_pred") != UNKNOWN)
-    filled = F.coalesce("document.lang", "lang_pred").alias("lang")
-    return known.select(*[filled if c == "lang" else F.col("document").getField(c).alias(c) for c in docs.columns])
+    # The text goes to the tasks once; the other columns may have any names.
+    rest = F.struct(*[named(c) for c in docs.columns if c != "text"]).alias("document")
+    known = identify(docs.select(rest, "text"), model, keep_text=True).filter(F.col("lang_pred") != UNKNOWN)
+    filled = {"text": F.col("text"), "lang": F.coalesce("document.lang", "lang_pred").alias("lang")}
+    return known.select(*[filled.get(c, F.col("document").getField(c).alias(c)) for c in docs.columns])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

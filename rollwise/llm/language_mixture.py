@@ -35,6 +35,10 @@ SMOOTHING = 0.5
 PENALTY = 2.0
 ROUNDS = 12
 UNKNOWN = "und"
+#: Bytes of text that a task handles at once; with a model, divided by its languages. Arrays of numbers
+#: take some 50 times as much, next to the executor's heap.
+SLICE = 1 << 18
+SLICE_OF_ALL = 1 << 20
 
 _LETTER = re.compile(r"[^\W\d_]")
 _BYTES = np.full(256, 0x20, np.uint8)
@@ -69,7 +73,7 @@ def _trigrams(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.n
 def _learn(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     seen: dict[str, np.ndarray] = {}
     for batch in batches:
-        for part in parts(batch, "text"):
+        for part in parts(batch, "text", SLICE):
             classes, count, owner, _ = _trigrams(part.column("text"), width)
             labels = np.array(part.column("lang").to_pylist(), object)
             for lang in set(labels.tolist()):
@@ -143,9 +147,10 @@ def mixture(texts: pa.Array, model: Model, penalty: float = PENALTY) -> np.ndarr
     return shares
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    size = max(1 << 16, (8 << 20) // max(1, len(model.languages)))
+def _predict(batches: Iterator[pa.RecordBatch], model: Model, keep_text: bool = False) -> Iterator[pa.RecordBatch]:
+    size = max(1 << 16, SLICE_OF_ALL // max(1, len(model.languages)))
     for batch in batches:
+        kept = [c for c in batch.schema.names if keep_text or c != "text"]
         for part in parts(batch, "text", size):
             shares = mixture(part.column("text"), model)
             letters = np.array([bool(t and _LETTER.search(t)) for t in part.column("text").to_pylist()])
@@ -155,19 +160,19 @@ def _predict(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Rec
             score = [float(min(1.0, s[t])) if k else 0.0 for s, t, k in zip(shares, top, known)]
             sets = [{model.languages[i]: float(s[i]) for i in np.flatnonzero(s)} if k else {} for s, k in zip(shares, known)]
             yield pa.record_batch(
-                [*(part.column(c) for c in part.schema.names if c != "text"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array([list(x.items()) for x in sets], pa.map_(pa.string(), pa.float64()))],
-                [*(c for c in part.schema.names if c != "text"), "lang_pred", "score", "lang_shares"],
+                [*(part.column(c) for c in kept), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array([list(x.items()) for x in sets], pa.map_(pa.string(), pa.float64()))],
+                [*kept, "lang_pred", "score", "lang_shares"],
             )
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """lang_pred, score (its share) and lang_shares for each row of ``docs``, in place of ``text``."""
+def identify(docs: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
+    """lang_pred, score (its share) and lang_shares for each row of ``docs``, in place of ``text`` or beside it."""
     sent = docs.sparkSession.sparkContext.broadcast((model.languages, model.probability))
 
     def task(batches):
-        yield from _predict(batches, Model(*sent.value))
+        yield from _predict(batches, Model(*sent.value), keep_text)
 
-    kept = [f for f in docs.schema.fields if f.name != "text"]
+    kept = [f for f in docs.schema.fields if keep_text or f.name != "text"]
     added = T.StructType.fromDDL("lang_pred string, score double, lang_shares map<string, double>")
     return docs.mapInArrow(task, T.StructType([*kept, *added.fields]))
 

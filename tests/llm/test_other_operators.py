@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rollwise.llm import chat, warc
 from rollwise.llm.interleave import drawn, interleaved_shards
-from rollwise.llm.language_mixture import CLASSES, Model, _trigrams, identify, learn, learn_and_identify, mixture
+from rollwise.llm.language_mixture import CLASSES, Model, _learn, _predict, _trigrams, identify, learn, learn_and_identify, mixture
 from rollwise.llm.mixture import mixed, source_targets, word_count
 from rollwise.llm.wrappers import align, article_path, common, extract, extract_text, infer_wrappers, parse, wrapper
 
@@ -120,6 +121,22 @@ def test_languages(spark):
     assert learn_and_identify(spark.createDataFrame(rows, schema).limit(0)).count() == 0
 
 
+def test_language_tasks_take_memory_by_the_slice():
+    import numpy as np
+
+    texts = [f"Wort{i % 977} und mehr Text der Zeile {i}, " * 100 for i in range(1500)]
+    batch = pa.record_batch({"text": pa.array(texts), "lang": pa.array([("de", "en")[i % 2] for i in range(1500)])})
+    assert batch.nbytes > 4 << 20
+    model = Model(["de", "en"], np.full((CLASSES, 2), 1 / CLASSES, np.float32))
+    for task in (lambda: _learn(iter([batch]), CLASSES), lambda: _predict(iter([batch]), model)):
+        tracemalloc.start()
+        for _ in task():
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 64 << 20
+
+
 @pytest.mark.parametrize("spoken", [4, 5, 7])
 def test_mixture_of_many_languages(spoken):
     import numpy as np

@@ -1,4 +1,4 @@
-from rollwise.functions.categories import big_size_sql, category_sql, style_category_sql
+from rollwise.functions.categories import big_size_sql, in_category_sql, style_category_sql
 from rollwise.functions.scalars import (
     day_literal,
     in_days,
@@ -11,8 +11,8 @@ from rollwise.functions.scalars import (
 
 __all__ = [
     "big_size_sql",
-    "category_sql",
     "day_literal",
+    "in_category_sql",
     "in_days",
     "in_days_sql",
     "ratio_sql",

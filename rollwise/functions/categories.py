@@ -1,7 +1,8 @@
 """Assortment categories of an article code, decided by its first two characters.
 
-The categories of order positions are disjoint, so one expression yields the category once per
-row and every measure compares it, instead of each measure testing its own prefix list.
+The categories of order positions are disjoint. Each measure tests its own prefix list, inside its
+aggregate: one expression for all categories would stand in the method that handles a row, which the
+JVM runs uncompiled once it is longer than 8,000 bytes.
 """
 
 from __future__ import annotations
@@ -47,11 +48,11 @@ def _case(branches: dict[str, str]) -> str:
     return f"CASE {arms} END"
 
 
-def category_sql(prefix: str) -> str:
-    """Category of an order position by its two-character prefix; NULL outside all categories."""
-    branches = {name: _in(prefix, values) for name, values in PREFIXES.items()}
-    branches["Tex"] = f"startswith({prefix}, '{TEX_FIRST_CHARACTER}')"
-    return _case(branches)
+def in_category_sql(prefix: str, name: str) -> str:
+    """Whether an order position with this two-character prefix is of the category ``name``."""
+    if name in PREFIXES:
+        return _in(prefix, PREFIXES[name])
+    return f"startswith({prefix}, '{TEX_FIRST_CHARACTER}')"
 
 
 def style_category_sql(prefix: str) -> str:

@@ -56,6 +56,12 @@ def period_or_null(column: str, periods: Sequence[Period], reporting: str) -> Co
     return F.expr(f"CASE WHEN {whole} THEN {_by_period_sql(column, periods, names)} END")
 
 
+def period_number_sql(column: str, periods: Sequence[Period]) -> str:
+    """Position in ``periods`` of the disjoint period the day of ``column`` falls in, else NULL."""
+    whole = in_days_sql(column, min(p.lo for p in periods), max(p.hi for p in periods))
+    return f"CASE WHEN {whole} THEN {_by_period_sql(column, periods, [str(k) for k in range(len(periods))])} END"
+
+
 def period_sums(column: str, periods: Iterable[Period], values: dict[str, str]) -> list[Column]:
     """One conditional sum per period and value, NULL when no row qualifies.
 

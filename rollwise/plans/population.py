@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollwise.functions import day_literal, in_days, in_days_sql, round_to_long_sql, valid_at
+from rollwise.functions import day_literal, in_days, round_to_long_sql, valid_at
 from rollwise.operators.joins import absent_from
-from rollwise.operators.periods import covering_range, period_sums
+from rollwise.operators.periods import covering_range, period_number_sql, period_sums
 from rollwise.params import Params
 from rollwise.sources.tables import Sources
 
@@ -124,19 +124,17 @@ def repeat_customer_sql(params: Params) -> str:
 
 def demand_prepared(params: Params) -> dict[str, str]:
     """Columns that place a position in the calendar of the reporting date, once for all slots: its half
-    year by number, its demand in cents (whole numbers sum faster), and that of old enough accounts."""
-    since = day_literal(params.inactive_since)
-    places = " ".join(f"WHEN {in_days_sql('reportingdate', p.lo, p.hi)} THEN {k}" for k, p in enumerate(params.periods))
+    year by number and its demand in cents (whole numbers sum faster)."""
     cents = f"CASE WHEN rectype = {DEMAND} THEN CAST(kpivaluevk * 100 AS BIGINT) END"
-    recent = f"CASE WHEN rectype = {DEMAND} AND accountDate <= {since} AND to_date(reportingdate) >= {since} THEN CAST(kpivaluevk * 100 AS BIGINT) END"
-    return {"reported_in": f"CASE {places} END", "demand_cents": cents, "recent_cents": recent}
+    return {"reported_in": period_number_sql("reportingdate", params.periods), "demand_cents": cents}
 
 
 def demand_slots(params: Params) -> dict[str, str]:
     """Sums from which segments and inactivity follow, by column: demand in cents per half year of the
     reporting date, and demand since the inactivity horizon of accounts at least that old."""
+    since = day_literal(params.inactive_since)
     slots = {f"bbw{p.name}": f"sum(CASE WHEN reported_in = {k} THEN demand_cents END)" for k, p in enumerate(params.periods)}
-    return slots | {"nf": "sum(recent_cents)"}
+    return slots | {"nf": f"sum(CASE WHEN accountDate <= {since} AND to_date(reportingdate) >= {since} THEN demand_cents END)"}
 
 
 def is_recent_demand(positions: DataFrame, params: Params) -> Column:

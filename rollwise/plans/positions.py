@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from rollwise.functions import (
     big_size_sql,
-    category_sql,
     day_literal,
+    in_category_sql,
     in_days,
     ratio_sql,
     round_to_long_sql,
@@ -60,16 +60,15 @@ class Measure:
         return f"max({self.name})"
 
 
-# Columns prepared once per position, so that no measure repeats a rounding or a prefix lookup.
+# Columns prepared once per position, so that no measure repeats a rounding. Long tests that few measures
+# need stay in their aggregates, each of which Spark gives a method of its own: Java compiles no method of
+# more than 8,000 bytes, and the one that prepares a position would become that long.
 UNITS, VALUE = "units", "value"
 PREPARED = {
     UNITS: round_to_long_sql("kpivalueqty"),
     VALUE: round_to_long_sql("kpivaluevk"),
     "online": f"catalogtypeid IN {ONLINE_CATALOGUES}",
     "channel": "upper(orderchannelcd)",
-    "category": category_sql("prefix"),
-    "maternity": f"prefix = '{MATERNITY_PREFIX}'",
-    "big_size": big_size_sql("prefix", "promotionpurchasecd", "itemsize"),
 }
 
 
@@ -108,14 +107,14 @@ MEASURES = (
         Measure(
             f"{name}BM_ges",
             "sum",
-            _rectype(DEMAND, f"category = '{name}'"),
+            _rectype(DEMAND, in_category_sql("prefix", name)),
             "kpivalueqty" if name in _UNROUNDED else UNITS,
         )
         for name in CATEGORIES
     ],
-    Measure("RiesigBM_ges", "sum", _rectype(DEMAND, "big_size"), UNITS),
+    Measure("RiesigBM_ges", "sum", _rectype(DEMAND, big_size_sql("prefix", "promotionpurchasecd", "itemsize")), UNITS),
     Measure("Nutzung_VKB", "orders", _rectype(VOUCHER)),
-    Measure("Umstand_BM", "sum", _rectype(DEMAND, "maternity"), UNITS),
+    Measure("Umstand_BM", "sum", _rectype(DEMAND, f"prefix = '{MATERNITY_PREFIX}'"), UNITS),
 )
 MEASURE_NAMES = tuple(m.name for m in MEASURES)
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
@@ -18,7 +21,7 @@ from rollwise.operators import assign_period, duplicate_keys, number_rows, repea
 from rollwise.params import Params, equal_periods, half_year_periods
 from rollwise.plans import datamart, population, positions, store, web
 from rollwise.plans.population import segment_detail_sql, segment_sql
-from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, scope, sinks, stage, staging, write_durable
+from rollwise.sources import read_sources, refresh_partitions, refreshed, sample_params, sample_sources, scope, sinks, stage, staging, write_durable
 from rollwise.queries import QUERIES
 from rollwise.sources.tables import schema_of
 from tests.random_sources import random_rows, spark_sources
@@ -479,3 +482,26 @@ def test_scope_removes_what_its_queries_have_staged(spark):
         stage(spark.range(5), "scoped")
         1 / 0
     assert set(shared.glob("*")) == before
+
+
+def test_order_facts_stay_compiled(spark, tmp_path):
+    rows = {
+        "customer": "1L AS c_custkey, 1 AS c_nationkey, 'BUILDING' AS c_mktsegment",
+        "orders": "1L AS o_orderkey, 1L AS o_custkey, 'O' AS o_orderstatus, 1D AS o_totalprice, TIMESTAMP_NTZ'2001-01-01 00:00:00' AS o_orderdate, '5-LOW' AS o_orderpriority",
+        "lineitem": "1L AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, 1 AS l_linenumber, 1D AS l_quantity, 1D AS l_extendedprice, 'N' AS l_returnflag",
+        "part": "1L AS p_partkey, 1 AS p_size",
+        "events": "1L AS event_id, TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts, 1L AS user_id, 'view' AS event_type, 1D AS value",
+    }
+    for name, columns in rows.items():
+        spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        orders = positions.order_facts(sample_sources(spark, str(tmp_path)).positions, sample_params())
+        said = io.StringIO()
+        with contextlib.redirect_stdout(said):
+            orders.explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # Java runs methods of more than 8,000 bytes uncompiled.
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", said.getvalue())]
+    assert sizes and max(sizes) < 7500

@@ -79,7 +79,7 @@ def literal_position_kpis(src: Sources, params: Params) -> DataFrame:
         source = src.positions
         rows = source.filter(
             in_days(source, "orderdate", p.lo, p.hi) & in_days(source, "reportingdate", p.lo, p.last_reporting_day)
-        ).withColumn("prefix", F.substring("promotionpurchasecd", 1, 2))
+        )
         rows = rows.withColumns({name: F.expr(sql) for name, sql in positions.PREPARED.items()})
         aggregates = [
             f"count(DISTINCT CASE WHEN {m.when} THEN orderid END) AS {m.name}_{p.name}"

@@ -6,6 +6,7 @@ from rollwise.functions.scalars import (
     ratio_sql,
     round_to_long,
     round_to_long_sql,
+    upper_sql,
     valid_at,
 )
 
@@ -19,5 +20,6 @@ __all__ = [
     "round_to_long",
     "round_to_long_sql",
     "style_category_sql",
+    "upper_sql",
     "valid_at",
 ]

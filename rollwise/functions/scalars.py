@@ -22,14 +22,28 @@ def round_to_long_sql(expr: str) -> str:
     return f"CAST(round({expr}) AS BIGINT)"
 
 
+def upper_sql(text: str, letters: str) -> str:
+    """``upper(text)`` as far as tests for the capital ASCII ``letters`` can tell.
+
+    Plain ASCII texts only have these letters exchanged, which is much cheaper than Unicode's rules; those
+    are kept for all other texts, where a capital may come from a ligature or a letter without a dot.
+    """
+    plain = f"octet_length({text}) = char_length({text})"
+    return f"CASE WHEN {plain} THEN translate({text}, '{letters.lower()}', '{letters}') ELSE upper({text}) END"
+
+
 def ratio_sql(part: str, whole: str) -> str:
     """``part / whole`` as double, NULL unless ``whole`` is positive."""
     return f"CASE WHEN {whole} > 0 THEN {part} / {whole} END"
 
 
 def in_days_sql(column: str, lo: date, hi: date) -> str:
-    """Day of ``column`` within the closed range, for expressions above the scan."""
-    return f"to_date({column}) BETWEEN {day_literal(lo)} AND {day_literal(hi)}"
+    """Day of ``column``, a date or a timestamp, within the closed range, for expressions above the scan.
+
+    Beside a timestamp, Spark reads a date literal as its midnight, once; the column stays bare, since
+    taking the day of each timestamp passes through calendar objects.
+    """
+    return f"({column} >= {day_literal(lo)} AND {column} < {day_literal(hi + timedelta(days=1))})"
 
 
 def _bound(dtype: T.DataType, day: date) -> Column:

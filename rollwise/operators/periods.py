@@ -29,7 +29,7 @@ def _by_period_sql(column: str, periods: Sequence[Period], results: Sequence[str
     """
     tests = [in_days_sql(column, p.lo, p.hi) for p in periods]
     if _adjacent(periods):
-        tests = [f"to_date({column}) >= {day_literal(p.lo)}" for p in periods]
+        tests = [f"{column} >= {day_literal(p.lo)}" for p in periods]
     return "CASE " + " ".join(f"WHEN {test} THEN {result}" for test, result in zip(tests, results)) + " END"
 
 

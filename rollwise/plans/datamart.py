@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rollwise.functions.categories import CATEGORIES
 from rollwise.operators.checks import duplicate_keys
 from rollwise.operators.joins import salted_join
 from rollwise.operators.numbering import number_rows
@@ -26,6 +27,7 @@ from rollwise.plans.population import ACCOUNT, POPULATION_COLUMNS, demand_profil
 from rollwise.plans.positions import (
     ACTIVITY_MASKS,
     LIFETIME_NAMES,
+    MEASURE_NAMES,
     activity_mask_sql,
     lifetime_kpis_of,
     mask_long,
@@ -70,6 +72,12 @@ PERIOD_MEASURES = (
 MATERNITY = "Umstand_BM"
 # How many half years have newsletter counts, order profit and breadth.
 FUNNEL_PERIODS, PROFIT_OUTPUT_PERIODS, BREADTH_PERIODS = 6, 4, 6
+# Position measures that the outputs are made of; breadth needs all categories.
+ORDER_MEASURES = tuple(
+    name
+    for name in MEASURE_NAMES
+    if name in (*PERIOD_MEASURES, MATERNITY, *ACTIVITY_MASKS.values(), *(f"{c}BM_ges" for c in CATEGORIES))
+)
 PERMISSIONS = ("push_perm", "nl_perm")
 BREADTH = tuple(f"AnzSorti_S{k}" for k in range(1, BREADTH_PERIODS + 1))
 
@@ -169,7 +177,14 @@ def partner_features(src: Sources, params: Params, web: bool = True) -> DataFram
     if web:
         parts.append(web_features_wide(src.session, src.session_hist, params))
         parts.append(style_interest(src.session, src.session_hist, src.styleview, params).select("bpid", *STYLE_OUTPUT))
-    return reduce(lambda left, right: left.join(right, "bpid", "full"), [p.filter("bpid IS NOT NULL") for p in parts])
+    # The columns of a part pass the joins as one: the method that hands on a row of a full join would
+    # become too long to be compiled with all of them.
+    packed = [
+        part.filter("bpid IS NOT NULL").select("bpid", F.struct(*[c for c in part.columns if c != "bpid"]).alias(f"part{k}"))
+        for k, part in enumerate(parts)
+    ]
+    joined = reduce(lambda left, right: left.join(right, "bpid", "full"), packed)
+    return joined.select("bpid", *[f"part{k}.*" for k in range(len(parts))])
 
 
 def with_features(rows: DataFrame, accounts: DataFrame, partners: DataFrame, params: Params) -> DataFrame:
@@ -219,7 +234,7 @@ def prepare(
     The positions are read once: the population's demand comes from the order facts too.
     """
     if orders is None:
-        orders = stage(order_facts(src.positions, params), "orders")
+        orders = stage(order_facts(src.positions, params, ORDER_MEASURES), "orders")
     if people is None:
         people = stage(population(src, params, demand_profile_of(orders, params)), "population")
     # One row per account, read by the joins of two outputs: bucketed, neither has to move it again. The
@@ -322,7 +337,7 @@ def write_outputs(src: Sources, params: Params, database: str | None = None) ->
 
     with staging(src.positions.sparkSession) as stage:
         write(KEY_COUNTS, key_counts(src))
-        orders = stage(order_facts(src.positions, params), "orders")
+        orders = stage(order_facts(src.positions, params, ORDER_MEASURES), "orders")
         people = write("population", population(src, params, demand_profile_of(orders, params)))
         inputs = prepare(src, params, stage, people, orders=orders)
         write("order_quotes", order_quotes(people, src.order_profit, params))

@@ -134,7 +134,7 @@ def demand_slots(params: Params) -> dict[str, str]:
     reporting date, and demand since the inactivity horizon of accounts at least that old."""
     since = day_literal(params.inactive_since)
     slots = {f"bbw{p.name}": f"sum(CASE WHEN reported_in = {k} THEN demand_cents END)" for k, p in enumerate(params.periods)}
-    return slots | {"nf": f"sum(CASE WHEN accountDate <= {since} AND to_date(reportingdate) >= {since} THEN demand_cents END)"}
+    return slots | {"nf": f"sum(CASE WHEN accountDate <= {since} AND reportingdate >= {since} THEN demand_cents END)"}
 
 
 def is_recent_demand(positions: DataFrame, params: Params) -> Column:

@@ -10,7 +10,7 @@ rows per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,7 @@ from rollwise.functions import (
     in_days,
     ratio_sql,
     round_to_long_sql,
+    upper_sql,
 )
 from rollwise.functions.categories import CATEGORIES, MATERNITY_PREFIX
 from rollwise.operators.periods import assign_period, period_columns, period_or_null
@@ -39,7 +40,9 @@ PHONE, INTERNET, MAIL = "T", "I", "S"
 class Measure:
     """``value`` summed, orders counted, or a flag raised, over the rows that satisfy ``when``.
 
-    ``kind`` is "sum", "orders" or "any". All texts are SQL over the prepared position columns.
+    ``kind`` is "sum", "cents", "orders" or "any". All texts are SQL over the prepared position columns.
+    "cents" is the sum of a decimal value: hundredths are summed as whole numbers, which need no object
+    per row, up to the account, where they become a decimal again.
     """
 
     name: str
@@ -50,11 +53,15 @@ class Measure:
     def per_order(self) -> str:
         if self.kind == "sum":
             return f"sum(CASE WHEN {self.when} THEN {self.value} END)"
+        if self.kind == "cents":
+            return f"sum(CASE WHEN {self.when} THEN CAST({self.value} * 100 AS BIGINT) END)"
         return f"max(CASE WHEN {self.when} THEN 1 ELSE 0 END)"
 
     def per_account(self) -> str:
         if self.kind == "sum":
             return f"sum({self.name})"
+        if self.kind == "cents":
+            return f"CAST(sum({self.name}) * 0.01BD AS DECIMAL(38,2))"
         if self.kind == "orders":
             return f"sum(CASE WHEN orderid IS NOT NULL THEN {self.name} ELSE 0 END)"
         return f"max({self.name})"
@@ -64,11 +71,13 @@ class Measure:
 # need stay in their aggregates, each of which Spark gives a method of its own: Java compiles no method of
 # more than 8,000 bytes, and the one that prepares a position would become that long.
 UNITS, VALUE = "units", "value"
+# What only demand is asked for is worked out for demand only.
 PREPARED = {
+    "prefix": f"CASE WHEN rectype = {DEMAND} THEN substring(promotionpurchasecd, 1, 2) END",
     UNITS: round_to_long_sql("kpivalueqty"),
     VALUE: round_to_long_sql("kpivaluevk"),
     "online": f"catalogtypeid IN {ONLINE_CATALOGUES}",
-    "channel": "upper(orderchannelcd)",
+    "channel": f"CASE WHEN rectype = {DEMAND} THEN {upper_sql('orderchannelcd', PHONE + INTERNET + MAIL)} END",
 }
 
 
@@ -106,7 +115,7 @@ MEASURES = (
     *[
         Measure(
             f"{name}BM_ges",
-            "sum",
+            "cents" if name in _UNROUNDED else "sum",
             _rectype(DEMAND, in_category_sql("prefix", name)),
             "kpivalueqty" if name in _UNROUNDED else UNITS,
         )
@@ -131,12 +140,18 @@ LIFETIME_MEASURES = (
     Measure("LifetimeOrdersOffline", "orders", _rectype(DEMAND, f"channel IN ('{PHONE}', '{MAIL}')")),
 )
 LIFETIME_NAMES = tuple(m.name for m in LIFETIME_MEASURES)
+# Lifetime measures that are the same, per order, as one of a half year.
+LIFETIME_TWINS = {
+    whole.name: m.name
+    for whole in LIFETIME_MEASURES
+    for m in MEASURES
+    if (whole.kind, whole.when, whole.value) == (m.kind, m.when, m.value)
+}
 
 
 def per_order(rows: DataFrame, keys: Sequence[str], measures: Sequence[Measure], others: dict[str, str] | None = None) -> DataFrame:
     """Measures per order and ``keys``: sums, and flags for what is counted."""
-    prepared = rows.withColumn("prefix", F.substring("promotionpurchasecd", 1, 2))
-    prepared = prepared.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
+    prepared = rows.withColumns({name: F.expr(sql) for name, sql in PREPARED.items()})
     aggregates = {m.name: m.per_order() for m in measures} | (others or {})
     return prepared.groupBy(*keys, "orderid").agg(*[F.expr(f"{sql} AS {name}") for name, sql in aggregates.items()])
 
@@ -181,32 +196,35 @@ def lifetime_kpis(positions: DataFrame, params: Params) -> DataFrame:
     return _two_levels(positions.filter(in_lifetime(positions, params)), ACCOUNT, LIFETIME_MEASURES)
 
 
-def order_facts(positions: DataFrame, params: Params) -> DataFrame:
+def order_facts(positions: DataFrame, params: Params, names: Sequence[str] = MEASURE_NAMES) -> DataFrame:
     """All that a run needs of the positions, per account, order and half year, in one pass.
 
     Positions are placed in two calendars at once. Half-year measures follow the order date: the half
     year is NULL for positions that count for the lifetime only, those ordered before the oldest half
     year and those reported after the grace range of theirs. Demand follows the reporting date and has
-    a column per half year. ``counted`` tells which rows have positions of the lifetime at all; the
-    others hold demand of orders from before it.
+    a column per half year. ``counted`` tells which rows are of the lifetime; the others hold demand of
+    orders from before it. Every column costs each position and each order, so there are only the
+    half-year measures ``names``, those the lifetime shares with them, and what the lifetime has alone.
     """
     lifetime = F.coalesce(in_lifetime(positions, params), F.lit(False))
     rows = positions.filter(lifetime | is_recent_demand(positions, params)).withColumn("counted", lifetime)
     rows = rows.withColumn("period", F.when(F.col("counted"), period_or_null("orderdate", params.periods, "reportingdate")))
     rows = rows.withColumns({name: F.expr(sql) for name, sql in demand_prepared(params).items()})
-    whole_life = [replace(m, when=f"counted AND {m.when}") for m in LIFETIME_MEASURES]
-    others = {"counted": "bool_or(counted)"} | demand_slots(params)
-    return per_order(rows, [*ACCOUNT, "period"], [*MEASURES, *whole_life], others)
+    needed = {*names, *LIFETIME_TWINS.values()}
+    measures = [m for m in MEASURES if m.name in needed] + [m for m in LIFETIME_MEASURES if m.name not in LIFETIME_TWINS]
+    return per_order(rows, [*ACCOUNT, "period", "counted"], measures, demand_slots(params))
 
 
 def period_kpis_of(orders: DataFrame) -> DataFrame:
-    """``position_kpis_long`` from ``order_facts``."""
-    return _per_account(orders.filter("period IS NOT NULL"), [*ACCOUNT, "period"], MEASURES)
+    """``position_kpis_long`` from ``order_facts``, of the measures these have."""
+    measures = [m for m in MEASURES if m.name in orders.columns]
+    return _per_account(orders.filter("period IS NOT NULL"), [*ACCOUNT, "period"], measures)
 
 
 def lifetime_kpis_of(orders: DataFrame) -> DataFrame:
     """``lifetime_kpis`` from ``order_facts``; an order counts once whatever its half years."""
-    whole = orders.filter("counted").groupBy(*ACCOUNT, "orderid").agg(
+    shared = {name: F.col(twin) for name, twin in LIFETIME_TWINS.items() if name not in orders.columns}
+    whole = orders.filter("counted").withColumns(shared).groupBy(*ACCOUNT, "orderid").agg(
         *[F.expr(f"{'sum' if m.kind == 'sum' else 'max'}({m.name}) AS {m.name}") for m in LIFETIME_MEASURES]
     )
     return _per_account(whole, ACCOUNT, LIFETIME_MEASURES)

@@ -62,25 +62,36 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         salutationid="c_nationkey % 3",
     )
     sizes = table("part").select("p_partkey", "p_size")
-    owned = orders.join(customers, F.expr(partner("o_custkey")) == F.col("bpid"))
+    # Values of an order are derived once per order.
+    placed = orders.selectExpr(
+        "o_orderkey",
+        "o_custkey",
+        # Some orders come late in the evening of their day.
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) + IF(o_orderkey % 5 = 0, INTERVAL '86399' SECOND, INTERVAL '0' SECOND) AS ordered",
+        "CAST(o_orderdate AS DATE) AS order_day",
+        "CASE o_orderkey % 9 WHEN 0 THEN 'I' WHEN 1 THEN 'i' WHEN 2 THEN 'T' WHEN 3 THEN 't' WHEN 4 THEN 'S' "
+        "WHEN 5 THEN 's' WHEN 6 THEN NULL ELSE o_orderpriority END AS channel",
+        "o_orderstatus",
+        "o_orderpriority",
+    )
+    owned = placed.join(customers.select("bpid", "accountDate"), F.expr(partner("o_custkey")) == F.col("bpid"))
+    # Joined by order last, so that an order's lines stay together for whoever groups by order.
     lines = (
         table("lineitem")
-        .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(sizes, F.col("l_partkey") == F.col("p_partkey"))
+        .join(owned, F.col("l_orderkey") == F.col("o_orderkey"))
         # Values of a line are derived once; then it yields one row per record type it takes part in.
         .selectExpr(
             "bpid",
             "accountDate",
-            # Some orders come late in the evening of their day.
-            "CAST(o_orderdate AS TIMESTAMP_NTZ) + IF(o_orderkey % 5 = 0, INTERVAL '86399' SECOND, INTERVAL '0' SECOND) AS o_orderdate",
-            "date_add(CAST(o_orderdate AS DATE), 7 * l_linenumber) AS reportingdate",
+            "ordered",
+            "CAST(date_add(order_day, 7 * l_linenumber) AS TIMESTAMP_NTZ) AS reportingdate",
             "o_orderkey",
             "CAST(l_quantity AS DECIMAL(18,2)) AS quantity",
             "CAST(l_extendedprice AS DECIMAL(18,2)) AS price",
             "l_returnflag",
             "CASE l_suppkey % 4 WHEN 0 THEN 20 WHEN 1 THEN 60 WHEN 2 THEN 10 END AS catalogtypeid",
-            "CASE o_orderkey % 9 WHEN 0 THEN 'I' WHEN 1 THEN 'i' WHEN 2 THEN 'T' WHEN 3 THEN 't' WHEN 4 THEN 'S' "
-            "WHEN 5 THEN 's' WHEN 6 THEN NULL ELSE o_orderpriority END AS channel",
+            "channel",
             "IF(l_partkey % 41 = 0, '4', CAST(100 + l_partkey * 7 % 800 AS STRING)) AS code",
             "CASE WHEN p_size >= 46 THEN 'XL' ELSE CAST(p_size AS STRING) END AS size",
             """explode(array(
@@ -96,7 +107,7 @@ def sample_sources(spark: SparkSession, sf_dir: str) -> Sources:
         lines,
         bpid="bpid",
         accountDate="accountDate",
-        orderdate="o_orderdate",
+        orderdate="ordered",
         reportingdate="reportingdate",
         rectype="rectype",
         orderid="o_orderkey",

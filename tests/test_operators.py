@@ -15,8 +15,9 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollwise.functions import in_days, round_to_long, valid_at
+from rollwise.functions import in_days, in_days_sql, round_to_long, upper_sql, valid_at
 from rollwise.operators import assign_period, duplicate_keys, number_rows, repeat_rows, salted_join, split_copies
 from rollwise.params import Params, equal_periods, half_year_periods
 from rollwise.plans import datamart, population, positions, store, web
@@ -505,3 +506,70 @@ def test_order_facts_stay_compiled(spark, tmp_path):
     # Java runs methods of more than 8,000 bytes uncompiled.
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", said.getvalue())]
     assert sizes and max(sizes) < 7500
+
+
+def test_partner_features_stay_compiled(spark, sources):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        said = io.StringIO()
+        with contextlib.redirect_stdout(said):
+            datamart.partner_features(sources, sample_params()).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", said.getvalue())]
+    assert sizes and max(sizes) < 8000
+
+
+def test_a_position_passes_no_calendar_or_decimal_buffer(sources):
+    orders = positions.order_facts(sources.positions, sample_params(), datamart.ORDER_MEASURES)
+    assert not [name for name, kind in orders.dtypes if kind.startswith("decimal")]
+    assert {"StornoWert_ges", "Nabs_katbez", "LifetimeNetSalesAmt"}.isdisjoint(orders.columns)
+    plan = plan_of(orders).split("== Physical Plan ==")[-1]
+    assert not re.search(r"cast\((orderdate|reportingdate)#\d+ as date\)", plan)
+
+
+def test_cents_and_shared_lifetime_measures(spark):
+    """Unrounded quantities to the cent; demand from before the lifetime beside an order of it."""
+    params = sample_params()
+    early = (params.lifetime_start - timedelta(days=1)).isoformat()
+    day = params.period(1).lo.isoformat()
+    rows = [
+        (1, day, day, 1, 7, "0.07", "10.50", "651"),
+        (1, day, day, 1, 7, "-123456789012345.99", "1.00", "651"),
+        (1, day, day, 5, 8, "2.50", "-2.50", "651"),
+        (1, early, day, 1, 9, "4.00", "3.00", "651"),
+        (1, day, day, 1, None, None, None, "651"),
+    ]
+    taken = spark.createDataFrame(
+        [(b, o, r, t, i, q, v, c) for b, o, r, t, i, q, v, c in rows],
+        "bpid long, orderdate string, reportingdate string, rectype int, orderid long, q string, v string, promotionpurchasecd string",
+    ).selectExpr(
+        "bpid", "DATE'1995-01-01' AS accountDate", "CAST(orderdate AS TIMESTAMP_NTZ) AS orderdate",
+        "CAST(reportingdate AS TIMESTAMP_NTZ) + INTERVAL '86399' SECOND AS reportingdate", "rectype", "orderid",
+        "CAST(q AS DECIMAL(18,2)) AS kpivalueqty", "CAST(v AS DECIMAL(18,2)) AS kpivaluevk", "20 AS catalogtypeid",
+        "'i' AS orderchannelcd", "promotionpurchasecd", "'1' AS itemsize",
+    )
+    orders = stage(positions.order_facts(taken, params), "orders")
+    half = positions.period_kpis_of(orders).collect()
+    assert [(r.period, str(r.BadeBM_ges), r.Orders_ges, r.brums_ges) for r in half] == [("S1", "-123456789012345.92", 1, -3)]
+    assert positions.period_kpis_of(orders).schema["BadeBM_ges"].dataType == T.DecimalType(38, 2)
+    (life,) = positions.lifetime_kpis_of(orders).collect()
+    assert (life.LifeTimeOrders, life.LifetimeOrdersOnline, life.LifetimeGrossSalesAmt, life.LifetimeNetSalesAmt) == (1, 1, -3, None)
+    (demand,) = population.demand_profile_of(orders, params).collect()
+    assert (demand.bbwS1, demand.nf) == (1450, 1450)
+
+
+def test_upper_sql_agrees_with_upper(spark):
+    texts = ["", "i", "Tis", "1-URGENT", "stück", "\u0131", "\u017f", "\ufb01", "\ufb06", "\u1e97", "ß", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "c string")
+    tests = [f"contains(u, '{x}')" for x in "TIS"] + [f"u = '{x}'" for x in "TIS"]
+    results = [rows.selectExpr("c", f"{sql} AS u").selectExpr("c", *tests).collect() for sql in (upper_sql("c", "TIS"), "upper(c)")]
+    assert results[0] == results[1] and any(r[1] for r in results[0] if r[0] == "\u1e97")
+
+
+@pytest.mark.parametrize("kind", ["DATE", "TIMESTAMP_NTZ", "TIMESTAMP"])
+def test_in_days_sql_takes_dates_and_timestamps(spark, kind):
+    texts = ["2001-01-31 23:59:59.999999", "2001-02-01 00:00:00", "2001-02-28 23:59:59.999999", "2001-03-01 00:00:00", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(f"CAST(t AS {kind}) AS t")
+    found = [r[0] for r in rows.selectExpr(in_days_sql("t", date(2001, 2, 1), date(2001, 2, 28))).collect()]
+    assert found == [False, True, True, False, None]
